@@ -36,10 +36,17 @@ def same(a: str, b: str, cols, prefix_a: str = "", prefix_b: str = "") -> str:
     return " and ".join(f"{a}.{prefix_a}{c} is not distinct from {b}.{prefix_b}{c}" for c in cols)
 
 
-KEY_SQL = (
-    "concat_ws('_', type, study_id, phenotype_id, bio_feature, lead_chrom, "
-    "cast(lead_pos as varchar(12)), lead_ref, lead_alt)"
-)
+
+
+def key_sql(p: str = "") -> str:
+    """SQL: the readable signal key, of columns with prefix ``p``."""
+    return (
+        f"concat_ws('_', {p}type, {p}study_id, {p}phenotype_id, {p}bio_feature, {p}lead_chrom, "
+        f"cast({p}lead_pos as varchar(12)), {p}lead_ref, {p}lead_alt)"
+    )
+
+
+KEY_SQL = key_sql()
 
 # The overlap table in SQL, over the recipe ``credset``.
 OVERLAP_CTES = [

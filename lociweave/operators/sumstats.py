@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.functions.scalars import (
@@ -74,12 +74,13 @@ def _wildcard_keys(phenotype, bio_feature):
 def window_join(
     signals: DataFrame,
     rows: DataFrame,
-    window_kb: int,
+    window_kb: int | Column,
     min_maf: float | None = None,
     bucket_bp: int = BUCKET_BP,
 ) -> DataFrame:
     """Each signal's dataset rows within ``window_kb`` of its lead variant.
 
+    ``window_kb`` is a number or a column over ``signals``.
     Returns ``sid``, ``lead_pos`` and the columns of ``rows`` that are not dataset
     keys. ``rows`` is any per-dataset variant table (summary statistics, top loci).
 
@@ -93,12 +94,14 @@ def window_join(
     exactly one bucket. Hot buckets are left to the adaptive skew join, which can
     split the large side because nothing above relies on this join's partitioning.
     """
-    span = 1000 * window_kb
+    half = F.lit(window_kb) if isinstance(window_kb, int) else window_kb
+    lo, hi = F.col("lead_pos") - F.col("span"), F.col("lead_pos") + F.col("span")
     keyed = signals.select(
         "sid",
         "study_id",
         F.col("lead_chrom").alias("chrom"),
         "lead_pos",
+        (1000 * half).alias("span"),
         _wildcard_keys(F.col("phenotype_id"), F.col("bio_feature")).alias("pattern"),
         F.coalesce("phenotype_id", F.lit("")).alias("pk"),
         F.coalesce("bio_feature", F.lit("")).alias("bk"),
@@ -106,8 +109,7 @@ def window_join(
         "bucket",
         F.explode(
             F.sequence(
-                F.floor((F.col("lead_pos") - span) / bucket_bp).cast("int"),
-                F.floor((F.col("lead_pos") + span) / bucket_bp).cast("int"),
+                F.floor(lo / bucket_bp).cast("int"), F.floor(hi / bucket_bp).cast("int")
             )
         ),
     )
@@ -128,7 +130,7 @@ def window_join(
     )
     return (
         keyed.join(sources, ["study_id", "pattern", "pk", "bk", "chrom", "bucket"])
-        .filter(in_window(F.col("pos"), F.col("lead_pos"), window_kb))
+        .filter(F.col("pos").between(lo, hi))
         .select("sid", "lead_pos", *payload)
     )
 
