@@ -390,18 +390,27 @@ ONE_CTES = [
 ]
 
 
-def _one_lead(t):
-    """Signals with exactly one other lead within the window, conditioned on it."""
+def _conditioning_inputs(t, kb: int):
+    """Windowed rows, leads to condition on and their LD, as a run keeps them."""
+    windowed = t.derived(
+        f"windowed_{kb}", lambda: SS.window_join(signals(t), t("sumstats"), kb, 0.01)
+    )
+    conds = t.derived(
+        f"cond_list_{kb}", lambda: SS.cond_list(signals(t), windowed, t("top_loci"), kb)
+    )
+    ld = t.derived(
+        f"cond_ld_{kb}", lambda: L.ld_pairs(conds.select(*VARIANT), t("panel"), 2 * kb, 0.0)
+    )
+    return windowed, conds, ld
 
-    def build():
-        windowed = SS.window_join(signals(t), t("sumstats"), ONE_KB, 0.01)
-        conds = SS.cond_list(signals(t), windowed, t("top_loci"), ONE_KB)
-        single = conds.groupBy("sid").count().filter("count = 1").select("sid")
-        conds = conds.join(single, "sid", "left_semi")
-        ld = L.ld_pairs(conds.select(*VARIANT), t("panel"), 2 * ONE_KB, 0.0)
-        return C.conditional_sumstats(windowed.join(single, "sid", "left_semi"), conds, ld)
 
-    return build()
+def _one_lead(t):
+    """Signals with exactly one other lead within the window, conditioned on it."""
+    windowed, conds, ld = _conditioning_inputs(t, ONE_KB)
+    single = conds.groupBy("sid").count().filter("count = 1").select("sid")
+    return C.conditional_sumstats(
+        windowed.join(single, "sid", "left_semi"), conds.join(single, "sid", "left_semi"), ld
+    )
 
 
 @query(
@@ -422,7 +431,7 @@ def _(t):
     ONE_CTES,
 )
 def _(t):
-    windowed = SS.window_join(signals(t), t("sumstats"), ONE_KB, 0.01)
+    windowed, _, _ = _conditioning_inputs(t, ONE_KB)
     merged = C.merge_conditional(windowed, _one_lead(t))
     out = _keyed(t, merged).select("sid", *VARIANT, "beta", "beta_cond", "se_cond")
     return rounded(out, "beta_cond", "se_cond")
@@ -431,12 +440,8 @@ def _(t):
 @query("conditional_sumstats_many")
 def _(t):
     # several leads per signal: needs a matrix inverse, checked against brute force
-    windowed = SS.window_join(signals(t), t("sumstats"), 500, 0.01)
-    conds = SS.cond_list(signals(t), windowed, t("top_loci"), 500)
-    ld = L.ld_pairs(conds.select(*VARIANT), t("panel"), 1000, 0.0)
-    return _keyed(t, C.conditional_sumstats(windowed, conds, ld)).select(
-        "sid", *VARIANT, "beta", "se", "pval"
-    )
+    out = C.conditional_sumstats(*_conditioning_inputs(t, 500))
+    return _keyed(t, out).select("sid", *VARIANT, "beta", "se", "pval")
 
 
 @query(

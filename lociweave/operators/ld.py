@@ -18,8 +18,7 @@ from lociweave.schemas import GRCH38_CHROM_LENGTHS, VARIANT
 WINDOW_SIZE = 3_000_000
 WINDOW_STEP = 1_000_000
 
-# Tiles of the panel for the correlation kernel.
-TILE_BP = 100_000
+# Largest tile of the panel for the correlation kernel, in rows and in variants.
 TILE_CARRIERS = 250_000
 TILE_VARIANTS = 1_000
 SAMPLE_BLOCK = 16_384
@@ -173,32 +172,29 @@ def ld_pairs(
     window_kb: int,
     min_r2: float = 0.05,
     n_samples: int | None = None,
-    tile_bp: int = TILE_BP,
 ) -> DataFrame:
     """Correlation of each index variant with every variant within ``window_kb``.
 
     Returns ``lead_{chrom,pos,ref,alt}, tag_{...}, r, r2`` for r2 >= ``min_r2``,
     each index variant itself included; variants without variation have no row.
 
-    Spark cuts the panel into tiles of bounded size and brings every tile of index
-    variants together with the tiles around it; a task multiplies two dosage blocks.
+    Spark cuts the panel into tiles as wide as the window, crowded ones into sub-tiles
+    of bounded size, and brings every tile of index variants together with its own and
+    the two next to it; a task multiplies two dosage blocks.
     The alternative, joining carriers sample by sample, would shuffle one row per
     sample and pair of variants. Dosage sums are exact integers either way.
     """
     if n_samples is None:
         n_samples = panel_size(panel)
-    window_bp = 1000 * window_kb
+    window_bp = tile_bp = 1000 * window_kb
     tiled = _tiles(panel.select(*VARIANT, "sample_id", "dosage"), tile_bp)
     wanted = broadcast_if_small(index.select(*VARIANT).distinct())
     index_rows = tiled.join(wanted, VARIANT, "left_semi")
 
-    reach = window_bp // tile_bp + 1
     near = (
         index_rows.select("chrom", "tile", "sub")
         .distinct()
-        .withColumn(
-            "tile2", F.explode(F.sequence(F.col("tile") - reach, F.col("tile") + reach))
-        )
+        .withColumn("tile2", F.explode(F.sequence(F.col("tile") - 1, F.col("tile") + 1)))
     )
     present = tiled.select(
         "chrom", F.col("tile").alias("tile2"), F.col("sub").alias("sub2")
