@@ -14,7 +14,6 @@ from lociweave.schemas import (
     COLOC_KEYS,
     COLOC_STATS,
     DEDUP_KEYS,
-    DEDUP_KEYS_ENRICHED,
     MERGE_KEYS,
     MERGE_KEYS_PROCESSED,
     VARIANT,
@@ -46,6 +45,8 @@ def _flip_sql(src: str, cols) -> str:
     return straight + " union all " + flipped
 
 
+# Left and right dataset of one chromosome: coarse enough that tests share a key.
+COARSE_KEYS = ["left_study", "left_chrom", "right_type", "right_study", "right_bio_feature", "right_phenotype"]
 TIE = "right_chrom, right_pos, right_ref, right_alt, is_flipped"
 GENE = (
     "case when {s}_type = 'eqtl' then coalesce({s}l.gene_id, {s}_phenotype)"
@@ -149,6 +150,18 @@ def _(t):
     return P.dedup_keep_best(sym).select(*ALL, "is_flipped")
 
 
+@query(
+    "dedup_keep_best_dataset",
+    f"select {csv(ALL)}, is_flipped from (select *, row_number() over (partition by {csv(COARSE_KEYS)} order by coloc_h4 desc, left_pos, left_ref, left_alt, {TIE}) as rn from gwas_left) x where rn = 1",
+    ["coloc_raw"],
+    _process_ctes(0)[:3],
+)
+def _(t):
+    sym = P.left_gwas_only(P.make_symmetric(t("coloc_raw")))
+    order = [F.desc("coloc_h4"), F.asc("left_pos"), F.asc("left_ref"), F.asc("left_alt"), *P.best_first(sym)[1:]]
+    return P.keep_rank(sym, COARSE_KEYS, order).select(*ALL, "is_flipped")
+
+
 @query(
     "gene_id_map",
     f"select {KEYS}, is_flipped, left_gene_id, right_gene_id from genes",
@@ -244,14 +257,17 @@ def _merge_sql(new: str, prev: str, new_cols, prev_cols, keys) -> str:
     )
 
 
+_PAIR_KEYS = ["left_study", "left_chrom", "left_ref", "right_study", "right_phenotype"]
+
+
 @query(
     "drop_duplicates_subset",
-    f"select {csv([*DEDUP_KEYS, 'coloc_h4', 'right_pos'])} from (select *, row_number() over (partition by {csv(DEDUP_KEYS)} order by {_dedup_order(ALL, DEDUP_KEYS)}) as rn from coloc_raw) x where rn = 1",
+    f"select {csv([*_PAIR_KEYS, 'coloc_h4', 'right_pos', 'left_pos'])} from (select *, row_number() over (partition by {csv(_PAIR_KEYS)} order by {_dedup_order(ALL, _PAIR_KEYS)}) as rn from coloc_raw) x where rn = 1",
     ["coloc_raw"],
 )
 def _(t):
-    return merge.drop_duplicates_subset(t("coloc_raw"), DEDUP_KEYS).select(
-        *DEDUP_KEYS, "coloc_h4", "right_pos"
+    return merge.drop_duplicates_subset(t("coloc_raw"), _PAIR_KEYS).select(
+        *_PAIR_KEYS, "coloc_h4", "right_pos", "left_pos"
     )
 
 
@@ -364,7 +380,7 @@ ENRICH_CTES = [
     ("withbeta", BETA_JOIN),
     (
         "ranked",
-        f"select *, row_number() over (partition by {csv(DEDUP_KEYS_ENRICHED)} order by coloc_h4 desc, {TIE}, left_var_right_study_pval nulls first, left_var_right_study_beta nulls first) as rn from withbeta",
+        f"select *, row_number() over (partition by {csv(COARSE_KEYS)} order by coloc_h4 desc, {TIE}, left_pos, left_ref, left_alt, left_var_right_study_pval nulls first, left_var_right_study_beta nulls first) as rn from withbeta",
     ),
 ]
 BETAS = ["left_var_right_study_beta", "left_var_right_study_se", "left_var_right_study_pval"]
@@ -390,14 +406,25 @@ def _(t):
     return _enrich_out(enrich.join_betas(_undeduplicated(t), t("sumstats")))
 
 
+@query(
+    "join_betas_rows_added",
+    "select (select count(*) from withbeta) - (select count(*) from proc0) as n_added",
+    ["coloc_raw", "sumstats"],
+    ENRICH_CTES,
+)
+def _(t):
+    before = _undeduplicated(t)
+    return enrich.rows_added(before, enrich.join_betas(before, t("sumstats")))
+
+
 @query("dedup_keep_rank", _enrich_sql("rn = 1"), ["coloc_raw", "sumstats"], ENRICH_CTES)
 def _(t):
-    return _enrich_out(enrich.enrich(_undeduplicated(t), t("sumstats"))[0])
+    return _enrich_out(enrich.enrich(_undeduplicated(t), t("sumstats"), COARSE_KEYS)[0])
 
 
 @query("keep_duplicates", _enrich_sql("rn = 2"), ["coloc_raw", "sumstats"], ENRICH_CTES)
 def _(t):
-    return _enrich_out(enrich.enrich(_undeduplicated(t), t("sumstats"))[1])
+    return _enrich_out(enrich.enrich(_undeduplicated(t), t("sumstats"), COARSE_KEYS)[1])
 
 
 _LOCI = [

@@ -48,22 +48,33 @@ def join_betas(coloc: DataFrame, sumstats: DataFrame) -> DataFrame:
 
 
 def _order(df: DataFrame):
-    return [*best_first(df), F.asc("left_var_right_study_pval"), F.asc("left_var_right_study_beta")]
+    rest = ["left_pos", "left_ref", "left_alt", "left_var_right_study_pval", "left_var_right_study_beta"]
+    return [*best_first(df), *[F.asc(c) for c in rest]]
 
 
-def dedup_keep_rank(df: DataFrame, rank: int) -> DataFrame:
-    return keep_rank(df, DEDUP_KEYS_ENRICHED, _order(df), rank)
+def dedup_keep_rank(
+    df: DataFrame, rank: int, keys: list[str] = DEDUP_KEYS_ENRICHED
+) -> DataFrame:
+    return keep_rank(df, keys, _order(df), rank)
 
 
-def keep_duplicates(df: DataFrame) -> DataFrame:
+def keep_duplicates(df: DataFrame, keys: list[str] = DEDUP_KEYS_ENRICHED) -> DataFrame:
     """The second row of every duplicated test, for auditing."""
-    return dedup_keep_rank(df, 2)
+    return dedup_keep_rank(df, 2, keys)
 
 
-def enrich(coloc: DataFrame, sumstats: DataFrame) -> tuple[DataFrame, DataFrame]:
+def enrich(
+    coloc: DataFrame, sumstats: DataFrame, keys: list[str] = DEDUP_KEYS_ENRICHED
+) -> tuple[DataFrame, DataFrame]:
     """(results with effect sizes, audit of duplicates)."""
     merged = join_betas(coloc, sumstats)
-    return dedup_keep_rank(merged, 1), keep_duplicates(merged)
+    return dedup_keep_rank(merged, 1, keys), keep_duplicates(merged, keys)
+
+
+def rows_added(before: DataFrame, after: DataFrame) -> DataFrame:
+    """How many rows a join has added; more than none means duplicates in its input."""
+    signed = before.select(F.lit(-1).alias("n")).unionAll(after.select(F.lit(1).alias("n")))
+    return signed.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n_added"))
 
 
 def filter_top_loci_match(

@@ -53,7 +53,7 @@ def grid_join(
     )
 
     def cells(df: DataFrame, own: str, other: str, own_strip: str, other_strip: str):
-        payload = [F.col(c) for c in df.columns]
+        payload = [F.col(f"`{c}`") for c in df.columns]
         strip = F.pmod(F.xxhash64(*payload), F.coalesce(F.col(own), F.lit(1))).cast("int")
         copies = F.sequence(F.lit(0), F.coalesce(F.col(other), F.lit(1)) - 1)
         return df.join(F.broadcast(hot), on, "left").select(
