@@ -576,3 +576,40 @@ def _(t):
     # frequencies above 0.9 recorded as 1: those variants cannot be tested
     broken = reduced(t).withColumn("eaf", F.when(F.col("eaf") > 0.9, 1.0).otherwise(F.col("eaf")))
     return _keyed(t, A.unusable_rows(broken))
+
+
+@query(
+    "coloc_abf_left_window",
+    ABF_SQL,
+    ["credset", "sumstats"],
+    [
+        *ABF_CTES[: [n for n, _ in ABF_CTES].index("info")],
+        ("red_wide", window_sql(1_000_000, where=f"not ({MAF} < 0.01)")),
+        *[
+            (n, body.replace("join red b", "join red_wide b").replace("join info ir", "join info_wide ir"))
+            for n, body in [
+                ABF_CTES[[n for n, _ in ABF_CTES].index("info")],
+                (
+                    "info_wide",
+                    "select sid, n_total as n, n_cases, is_cc from (select *, row_number() over (partition by sid order by pos, ref, alt) as rn from red_wide where beta is not null) x where rn = 1",
+                ),
+                *ABF_CTES[[n for n, _ in ABF_CTES].index("info") + 1 :],
+            ]
+        ],
+    ],
+)
+def _(t):
+    # both sides within 500 kb of the left lead
+    wide = SS.window_join(signals(t), t("sumstats"), 1000, 0.01)
+    out = A.coloc_abf(manifest(t).select(*A.PAIR), reduced(t), right_reduced=wide)
+    return rounded(_keyed_pairs(t, out), *HS)
+
+
+@query("coloc_abf_pvalues")
+def _(t):
+    # as if only p-values were known: needs an inverse normal, checked in the tests
+    rows = reduced(t).withColumn("s", F.col("n_cases") / F.col("n_total"))
+    quant = A.pvalue_dataset(rows, type_is_cc=False)
+    shared = A.harmonise_pair(manifest(t).select(*A.PAIR), quant, ("z", "v", "prior_sd"))
+    shared = shared.filter("left_z is not null and right_z is not null")
+    return rounded(_keyed_pairs(t, A.coloc_abf_pvalues(shared, A.PAIR)), *HS)

@@ -78,17 +78,24 @@ def unusable_rows(reduced: DataFrame) -> DataFrame:
     )
 
 
-def harmonise_pair(pairs: DataFrame, reduced: DataFrame, cols=("beta", "se", "eaf")) -> DataFrame:
+def harmonise_pair(
+    pairs: DataFrame,
+    reduced: DataFrame,
+    cols=("beta", "se", "eaf"),
+    right_reduced: DataFrame | None = None,
+) -> DataFrame:
     """The variants both signals of a pair have, with both sides' statistics.
 
-    ``pairs`` has the two signal ids; anything else it holds is kept. The first
+    ``pairs`` has the two signal ids; anything else it holds is kept. Each signal's
+    rows are centred on its own lead. To centre both on the left lead, pass rows of a
+    wider window as ``right_reduced``: the left rows then set the window. The first
     join is on the left signal, where one popular signal can meet very many pairs,
     so it is cut into cells; the second is on (right signal, variant).
     """
     left = reduced.select(
         F.col("sid").alias("left_sid"), *VARIANT, *[F.col(c).alias(f"left_{c}") for c in cols]
     )
-    right = reduced.select(
+    right = (reduced if right_reduced is None else right_reduced).select(
         F.col("sid").alias("right_sid"), *VARIANT, *[F.col(c).alias(f"right_{c}") for c in cols]
     )
     return grid_join(pairs, left, ["left_sid"]).join(right, ["right_sid", *VARIANT])
@@ -197,6 +204,7 @@ def coloc_abf(
     p2: float = 1e-4,
     p12: float = 1e-5,
     rows_per_slice: int = ROWS_PER_SLICE,
+    right_reduced: DataFrame | None = None,
 ) -> DataFrame:
     """Five posteriors per pair: ``left_sid, right_sid, coloc_n_vars, coloc_h0..h4``.
 
@@ -205,11 +213,12 @@ def coloc_abf(
     have more rows than ``rows_per_slice``. Everything after is one row per pair.
     A pair without shared variants has no row.
     """
-    info = study_type_prop(reduced)
+    info = {"left": study_type_prop(reduced)}
+    info["right"] = info["left"] if right_reduced is None else study_type_prop(right_reduced)
     tests = pairs.select(*PAIR).distinct()
     for side in ("left", "right"):
         tests = tests.join(
-            info.select(
+            info[side].select(
                 F.col("sid").alias(f"{side}_sid"),
                 F.col("n").alias(f"{side}_n"),
                 F.col("is_cc").alias(f"{side}_cc"),
@@ -227,7 +236,11 @@ def coloc_abf(
     )
 
     (lv, lz), (rv, rz) = _side("left"), _side("right")
-    shared = harmonise_pair(tests.select(*PAIR, "n_slices"), usable_rows(reduced)).select(
+    shared = harmonise_pair(
+        tests.select(*PAIR, "n_slices"),
+        usable_rows(reduced),
+        right_reduced=None if right_reduced is None else usable_rows(right_reduced),
+    ).select(
         *PAIR,
         F.pmod(F.xxhash64(*VARIANT), F.col("n_slices")).cast("int").alias("slice"),
         "left_eaf",
