@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from lociweave.functions.scalars import eaf_to_maf, is_number
 from lociweave.functions.stats import z_from_p
-from lociweave.operators.skew import grid_join
+from lociweave.operators.skew import grid_join, hashed_join
 from lociweave.operators.sumstats import filter_null_beta
 from lociweave.schemas import VARIANT
 
@@ -98,7 +98,7 @@ def harmonise_pair(
     right = (reduced if right_reduced is None else right_reduced).select(
         F.col("sid").alias("right_sid"), *VARIANT, *[F.col(c).alias(f"right_{c}") for c in cols]
     )
-    return grid_join(pairs, left, ["left_sid"]).join(right, ["right_sid", *VARIANT])
+    return hashed_join(grid_join(pairs, left, ["left_sid"]), right, ["right_sid", *VARIANT])
 
 
 def _side(p: str):

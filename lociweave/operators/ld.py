@@ -82,14 +82,23 @@ def index_variants(coloc: DataFrame) -> DataFrame:
     return coloc.select(*[F.col(f"left_{c}").alias(c) for c in VARIANT]).distinct()
 
 
-def _tiles(panel: DataFrame, tile_bp: int) -> DataFrame:
-    """Panel rows with tile and sub-tile. A variant lies whole in one sub-tile; crowded
-    tiles get as many sub-tiles as keep each within the tile limits."""
-    tiled = panel.withColumn("tile", F.floor(F.col("pos") / tile_bp).cast("int"))
-    per_variant = tiled.groupBy("chrom", "tile", *VARIANT[1:]).agg(F.count(F.lit(1)).alias("n"))
+def variant_vectors(panel: DataFrame) -> DataFrame:
+    """One row per variant with its carriers; at most one entry per panel sample."""
+    carrier = F.struct("sample_id", F.col("dosage").cast("float").alias("dosage"))
+    return (
+        panel.groupBy(*VARIANT)
+        .agg(F.collect_list(carrier).alias("c"))
+        .select(*VARIANT, F.col("c.sample_id").alias("samples"), F.col("c.dosage").alias("dosages"))
+    )
+
+
+def _tiles(vectors: DataFrame, tile_bp: int) -> DataFrame:
+    """Variants with tile and sub-tile. Crowded tiles get as many sub-tiles as keep each
+    within the tile limits."""
+    tiled = vectors.withColumn("tile", F.floor(F.col("pos") / tile_bp).cast("int"))
     crowded = (
-        per_variant.groupBy("chrom", "tile")
-        .agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"))
+        tiled.groupBy("chrom", "tile")
+        .agg(F.sum(F.size("samples")).alias("n"), F.count(F.lit(1)).alias("v"))
         .select(
             "chrom",
             "tile",
@@ -99,46 +108,43 @@ def _tiles(panel: DataFrame, tile_bp: int) -> DataFrame:
         )
         .filter("subs > 1")
     )
-    # every entry stands for a full tile's worth of rows or variants
+    # every entry stands for a full tile's worth of carriers or variants
     return tiled.join(F.broadcast(crowded), ["chrom", "tile"], "left").select(
-        *panel.columns,
+        *vectors.columns,
         "tile",
         F.pmod(F.xxhash64(*VARIANT), F.coalesce("subs", F.lit(1))).cast("int").alias("sub"),
     )
 
 
-def _matrix(pdf: pd.DataFrame, samples: pd.Index):
-    """Variants of a tile, their dosage sums and a dense-block accessor."""
-    keys = pdf[["pos", "ref", "alt"]]
-    codes = keys.groupby(["pos", "ref", "alt"], sort=True).ngroup().to_numpy()
-    variants = keys.drop_duplicates().sort_values(["pos", "ref", "alt"]).reset_index(drop=True)
-    cols = samples.get_indexer(pdf["sample_id"])
-    dosage = pdf["dosage"].to_numpy(dtype=np.float32)
-    n = len(variants)
-    total = np.bincount(codes, weights=dosage, minlength=n)
-    squares = np.bincount(codes, weights=dosage * dosage, minlength=n)
+def _dosages(tile: pd.DataFrame, samples: np.ndarray):
+    """Dosage sums per variant of a tile, and its dosages for a range of samples."""
+    rows = np.repeat(np.arange(len(tile)), [len(x) for x in tile["samples"]])
+    cols = np.searchsorted(samples, np.concatenate(tile["samples"].to_list()))
+    dosage = np.concatenate(tile["dosages"].to_list()).astype(np.float32)
+    total = np.bincount(rows, weights=dosage, minlength=len(tile))
+    squares = np.bincount(rows, weights=dosage * dosage, minlength=len(tile))
 
     def block(lo: int, hi: int) -> np.ndarray:
         inside = (cols >= lo) & (cols < hi)
-        out = np.zeros((n, hi - lo), dtype=np.float32)
-        out[codes[inside], cols[inside] - lo] = dosage[inside]
+        out = np.zeros((len(tile), hi - lo), dtype=np.float32)
+        out[rows[inside], cols[inside] - lo] = dosage[inside]
         return out
 
-    return variants, total, squares, block
+    return total, squares, block
 
 
 def _tile_correlations(n_samples: int, window_bp: int, min_r2: float):
     """Correlations between the index variants of one tile and the variants of another."""
+    names = ["chrom", "lead_pos", "lead_ref", "lead_alt", "tag_pos", "tag_ref", "tag_alt", "r"]
 
     def run(index: pd.DataFrame, tags: pd.DataFrame) -> pd.DataFrame:
-        tags = tags.rename(columns=lambda c: c.removeprefix("tag_"))
-        names = ["chrom", "lead_pos", "lead_ref", "lead_alt", "tag_pos", "tag_ref", "tag_alt", "r"]
         if index.empty or tags.empty:
             return pd.DataFrame({c: [] for c in names})
-        samples = pd.Index(np.unique(np.concatenate([index["sample_id"], tags["sample_id"]])))
-        iv, isum, isq, iblock = _matrix(index, samples)
-        tv, tsum, tsq, tblock = _matrix(tags, samples)
-        shared = np.zeros((len(iv), len(tv)))
+        tags = tags.rename(columns=lambda c: c.removeprefix("tag_"))
+        samples = np.unique(np.concatenate([*index["samples"], *tags["samples"]]))
+        isum, isq, iblock = _dosages(index, samples)
+        tsum, tsq, tblock = _dosages(tags, samples)
+        shared = np.zeros((len(index), len(tags)))
         for lo in range(0, len(samples), SAMPLE_BLOCK):
             hi = min(lo + SAMPLE_BLOCK, len(samples))
             shared += iblock(lo, hi) @ tblock(lo, hi).T
@@ -146,17 +152,12 @@ def _tile_correlations(n_samples: int, window_bp: int, min_r2: float):
         var = np.outer(n_samples * isq - isum * isum, n_samples * tsq - tsum * tsum)
         with np.errstate(divide="ignore", invalid="ignore"):
             r = cov / np.sqrt(var)
-        gap = np.abs(np.subtract.outer(iv["pos"].to_numpy(), tv["pos"].to_numpy()))
+        gap = np.abs(np.subtract.outer(index["pos"].to_numpy(), tags["pos"].to_numpy()))
         i, j = np.nonzero((var > 0) & (gap <= window_bp) & (r * r >= min_r2))
-        lead, tag = iv.iloc[i].reset_index(drop=True), tv.iloc[j].reset_index(drop=True)
-        return pd.DataFrame(
-            {
-                "chrom": index["chrom"].iat[0],
-                **{f"lead_{c}": lead[c] for c in ("pos", "ref", "alt")},
-                **{f"tag_{c}": tag[c] for c in ("pos", "ref", "alt")},
-                "r": r[i, j],
-            }
-        )
+        out = {"chrom": np.repeat(index["chrom"].iat[0], len(i))}
+        out |= {f"lead_{c}": index[c].to_numpy()[i] for c in VARIANT[1:]}
+        out |= {f"tag_{c}": tags[c].to_numpy()[j] for c in VARIANT[1:]}
+        return pd.DataFrame({**out, "r": r[i, j]})
 
     return run
 
@@ -187,7 +188,7 @@ def ld_pairs(
     if n_samples is None:
         n_samples = panel_size(panel)
     window_bp = tile_bp = 1000 * window_kb
-    tiled = _tiles(panel.select(*VARIANT, "sample_id", "dosage"), tile_bp)
+    tiled = _tiles(variant_vectors(panel), tile_bp)
     wanted = broadcast_if_small(index.select(*VARIANT).distinct())
     index_rows = tiled.join(wanted, VARIANT, "left_semi")
 

@@ -12,7 +12,7 @@ from lociweave.functions.scalars import (
     maf_at_least,
     variant_id,
 )
-from lociweave.operators.skew import broadcast_if_small
+from lociweave.operators.skew import broadcast_if_small, hashed_join
 from lociweave.schemas import SUMSTATS, VARIANT
 
 # Positions are joined by bucket first; finer than the windows, so that few rows
@@ -129,7 +129,7 @@ def window_join(
         *payload,
     )
     return (
-        keyed.join(sources, ["study_id", "pattern", "pk", "bk", "chrom", "bucket"])
+        hashed_join(keyed, sources, ["study_id", "pattern", "pk", "bk", "chrom", "bucket"])
         .filter(F.col("pos").between(lo, hi))
         .select("sid", "lead_pos", *payload)
     )
@@ -166,4 +166,4 @@ def cond_list(signals: DataFrame, windowed: DataFrame, top_loci: DataFrame, wind
         )
         .select("sid", *VARIANT)
     )
-    return windowed.join(others, ["sid", *VARIANT])
+    return hashed_join(windowed, others, ["sid", *VARIANT])
