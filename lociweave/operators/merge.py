@@ -62,8 +62,13 @@ def merge_releases(new: DataFrame, prev: DataFrame, keys: list[str]) -> DataFram
     return keep_rank(both, keys, [F.asc("_old"), *_order(both.drop("_old", *keys))], 1).drop("_old")
 
 
-def merge_raw(new: DataFrame, prev: DataFrame) -> DataFrame:
-    return merge_releases(new, prev, MERGE_KEYS)
+def merge_raw(new: DataFrame, prev: DataFrame, keys: list[str] = MERGE_KEYS) -> DataFrame:
+    """Merged raw results.
+
+    The default keys take the left side for a GWAS and merge tests that differ only in
+    its phenotype or bio-feature; pass all ``COLOC_KEYS`` to keep those apart.
+    """
+    return merge_releases(new, prev, keys)
 
 
 def merge_processed(new: DataFrame, prev: DataFrame) -> DataFrame:

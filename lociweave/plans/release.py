@@ -28,18 +28,19 @@ def merge_release(
     processed_new: DataFrame,
     processed_prev: DataFrame,
     partitions: int = 100,
+    raw_keys: list[str] = MERGE_KEYS,
 ) -> Release:
     """Both tables of the merged release and the reports on what changed."""
-    new, prev = (M.drop_duplicates_subset(df, MERGE_KEYS) for df in (raw_new, raw_prev))
+    new, prev = (M.drop_duplicates_subset(df, raw_keys) for df in (raw_new, raw_prev))
     p_new, p_prev = (
         M.drop_duplicates_subset(df, MERGE_KEYS_PROCESSED) for df in (processed_new, processed_prev)
     )
     return Release(
-        raw=range_layout(M.merge_raw(new, prev), n=partitions),
+        raw=range_layout(M.merge_raw(new, prev, raw_keys), n=partitions),
         processed=range_layout(M.merge_processed(p_new, p_prev), n=partitions),
-        missing=M.merge_missing(new, prev),
-        present=M.merge_present(new, prev),
-        compared=M.merge_overlap_compare(new, prev),
+        missing=M.merge_missing(new, prev, raw_keys),
+        present=M.merge_present(new, prev, raw_keys),
+        compared=M.merge_overlap_compare(new, prev, raw_keys),
         drift=M.schema_drift_report(new, prev),
     )
 

@@ -100,7 +100,7 @@ def scan_gene_lut(spark: SparkSession, path: str) -> DataFrame:
 
 def scan_logs(spark: SparkSession, path: str) -> DataFrame:
     """(file, text): one row per log file, with its whole text."""
-    return spark.read.option("wholetext", True).text(path).select(
+    return spark.read.text(path, wholetext=True).select(
         F.element_at(F.split(F.col("_metadata.file_path"), "/"), -1).alias("file"),
         F.col("value").alias("text"),
     )
