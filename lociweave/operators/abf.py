@@ -34,20 +34,28 @@ EXP_BUCKET = 256.0
 def study_type_prop(reduced: DataFrame) -> DataFrame:
     """Per signal: N, whether it is case-control, the case proportion and row count.
 
-    Taken from the signal's first row in variant order.
+    Taken from the signal's first row by position, then by a hash of the alleles. The
+    order is one number, which keeps this a hash aggregation: ordering by a struct
+    would sort all rows.
     """
-    first = F.min_by(F.struct("n_total", "n_cases", "is_cc"), F.struct("pos", "ref", "alt"))
-    cases = F.least(F.col("_f.n_cases"), F.col("_f.n_total") - F.col("_f.n_cases"))
+    allele = F.xxhash64("ref", "alt").bitwiseAND(F.lit(0xFFFFFFFF))
+    order = F.shiftleft(F.col("pos").cast("long"), 32) + allele
+    cases = F.least(F.col("n_cases"), F.col("n") - F.col("n_cases"))
     return (
         filter_null_beta(reduced)
         .groupBy("sid")
-        .agg(first.alias("_f"), F.count(F.lit(1)).alias("n_rows"))
+        .agg(
+            F.min_by("n_total", order).alias("n"),
+            F.min_by("n_cases", order).alias("n_cases"),
+            F.min_by("is_cc", order).alias("is_cc"),
+            F.count(F.lit(1)).alias("n_rows"),
+        )
         .select(
             "sid",
             "n_rows",
-            F.col("_f.n_total").alias("n"),
-            F.coalesce(F.col("_f.is_cc"), F.lit(False)).alias("is_cc"),
-            F.try_divide(cases, F.col("_f.n_total")).alias("s"),
+            "n",
+            F.coalesce("is_cc", F.lit(False)).alias("is_cc"),
+            F.try_divide(cases, F.col("n")).alias("s"),
         )
     )
 
@@ -101,21 +109,6 @@ def harmonise_pair(
     return hashed_join(grid_join(pairs, left, ["left_sid"]), right, ["right_sid", *VARIANT])
 
 
-def _side(p: str):
-    """Variance, z and the two sums behind sdY for one side."""
-    v = F.col(f"{p}_se") * F.col(f"{p}_se")
-    return v, F.col(f"{p}_beta") / F.col(f"{p}_se")
-
-
-def _sdy_parts(p: str):
-    v = F.col(f"{p}_v")
-    maf = eaf_to_maf(F.col(f"{p}_eaf"))
-    return (
-        F.sum(2 * F.col(f"{p}_n") * maf * (1 - maf) / v).alias(f"{p}_num"),
-        F.sum(1 / (v * v)).alias(f"{p}_den"),
-    )
-
-
 def sdy_estimate(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Trait sd from varbeta, MAF and N: the slope of 2 N maf (1 - maf) on 1 / varbeta.
 
@@ -234,8 +227,18 @@ def coloc_abf(
         "right_cc",
         F.ceil(F.least("left_rows", "right_rows") / rows_per_slice).cast("int").alias("n_slices"),
     )
+    # Every pair is about to grow into its variants: spread the pairs over all tasks,
+    # however few bytes they are now.
+    tests = tests.repartition(
+        int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *PAIR
+    )
 
-    (lv, lz), (rv, rz) = _side("left"), _side("right")
+    row = {}
+    for side in ("left", "right"):
+        se = F.col(f"{side}_se")
+        row[f"{side}_v"] = se * se
+        row[f"{side}_z"] = F.col(f"{side}_beta") / se
+        row[f"{side}_maf"] = eaf_to_maf(F.col(f"{side}_eaf"))
     shared = harmonise_pair(
         tests.select(*PAIR, "n_slices"),
         usable_rows(reduced),
@@ -243,41 +246,45 @@ def coloc_abf(
     ).select(
         *PAIR,
         F.pmod(F.xxhash64(*VARIANT), F.col("n_slices")).cast("int").alias("slice"),
-        "left_eaf",
-        "right_eaf",
-        lv.alias("left_v"),
-        rv.alias("right_v"),
-        lz.alias("left_z"),
-        rz.alias("right_z"),
+        *[col.alias(name) for name, col in row.items()],
     )
+    # Both passes below read every column of ``parts``, z in the first and maf in the
+    # second only as guards: were a column pruned from one of them, the exchange could
+    # not be shared and the join would run twice.
     parts = shared.repartition(*PAIR, "slice")
 
-    maf_terms = parts.select(*PAIR, "slice", "left_v", "right_v", "left_eaf", "right_eaf")
-    ones = maf_terms.withColumns({"left_n": F.lit(1), "right_n": F.lit(1)})
+    sums, guards = [], []
+    for side in ("left", "right"):
+        v, maf = F.col(f"{side}_v"), F.col(f"{side}_maf")
+        sums.append(F.sum(2 * maf * (1 - maf) / v).alias(f"{side}_num"))
+        sums.append(F.sum(1 / (v * v)).alias(f"{side}_den"))
+        guards.append(F.count(f"{side}_z").alias(f"{side}_used"))
+    names = [f"{s}_{q}" for s in ("left", "right") for q in ("num", "den", "used")]
     priors = (
-        ones.groupBy(*PAIR, "slice")
-        .agg(*_sdy_parts("left"), *_sdy_parts("right"))
+        parts.groupBy(*PAIR, "slice")
+        .agg(*sums, *guards)
         .groupBy(*PAIR)
-        .agg(*[F.sum(f"{s}_{q}").alias(f"{s}_{q}") for s in ("left", "right") for q in ("num", "den")])
+        .agg(*[F.sum(c).alias(c) for c in names])
         .join(tests, PAIR)
+        .filter("left_used > 0 and right_used > 0")
         .select(
             *PAIR,
             *[
                 F.when(F.col(f"{s}_cc"), 0.2)
-                .otherwise(
-                    0.15 * F.sqrt(F.col(f"{s}_n") * F.col(f"{s}_num") / F.col(f"{s}_den"))
-                )
+                .otherwise(0.15 * F.sqrt(F.col(f"{s}_n") * F.col(f"{s}_num") / F.col(f"{s}_den")))
                 .alias(f"{s}_prior")
                 for s in ("left", "right")
             ],
             F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1)).alias("slice"),
         )
     )
+
+    def factor(side: str) -> Column:
+        value = log_abf(F.col(f"{side}_v"), F.col(f"{side}_z"), F.col(f"{side}_prior"))
+        return F.when(F.col(f"{side}_maf") > 0, value)
+
     factors = parts.join(priors, [*PAIR, "slice"]).select(
-        *PAIR,
-        "slice",
-        log_abf(F.col("left_v"), F.col("left_z"), F.col("left_prior")).alias("l1"),
-        log_abf(F.col("right_v"), F.col("right_z"), F.col("right_prior")).alias("l2"),
+        *PAIR, "slice", factor("left").alias("l1"), factor("right").alias("l2")
     )
     return posteriors(log_sums(factors, PAIR, ["slice"]), p1, p2, p12)
 
