@@ -6,8 +6,7 @@ Per pair and shared variant, with V = se^2, z = beta / se and a prior sd W:
 
 The five hypotheses need only log-sum-exps of lABF per pair, so the whole test is
 grouped sums. W is 0.2 for case-control data and 0.15 sdY for quantitative traits,
-with sdY estimated from the pair's shared variants, which is why the shared rows
-are read twice: once for sdY, once for the Bayes factors.
+with sdY estimated from the pair's shared variants.
 """
 
 from __future__ import annotations
@@ -126,7 +125,7 @@ def log_abf(v: Column, z: Column, prior_sd: Column) -> Column:
     return 0.5 * (F.log(v / (w + v)) + r * z * z)
 
 
-def log_sums(rows: DataFrame, keys: list[str], slices: list[str] = ()) -> DataFrame:
+def log_sums(rows: DataFrame, keys: list[str]) -> DataFrame:
     """Per key: count and log-sum-exp of ``l1``, ``l2`` and ``l1 + l2``.
 
     A maximum would need a second pass over the rows. Instead each term is scaled
@@ -139,11 +138,10 @@ def log_sums(rows: DataFrame, keys: list[str], slices: list[str] = ()) -> DataFr
     bucket = lambda t: F.floor(t / EXP_BUCKET + 0.5)
     scaled = rows.select(
         *keys,
-        *slices,
         *[bucket(t).alias(f"b{k}") for k, t in terms.items()],
         *[F.exp(t - EXP_BUCKET * bucket(t)).alias(f"e{k}") for k, t in terms.items()],
     )
-    sums = scaled.groupBy(*keys, *slices, "b1", "b2", "b12").agg(
+    sums = scaled.groupBy(*keys, "b1", "b2", "b12").agg(
         F.count(F.lit(1)).alias("n"), *[F.sum(f"e{k}").alias(f"e{k}") for k in terms]
     )
     w = Window.partitionBy(*keys)
@@ -201,10 +199,9 @@ def coloc_abf(
 ) -> DataFrame:
     """Five posteriors per pair: ``left_sid, right_sid, coloc_n_vars, coloc_h0..h4``.
 
-    Shared rows are shuffled once, by pair and slice, and that exchange serves both
-    the sdY pass and the Bayes-factor pass. A pair is one slice unless its signals
-    have more rows than ``rows_per_slice``. Everything after is one row per pair.
-    A pair without shared variants has no row.
+    Shared rows are shuffled by pair, once, and stay there until they are summed. A
+    pair whose signals both have more than ``rows_per_slice`` rows is spread over
+    several slices instead. A pair without shared variants has no row.
     """
     info = {"left": study_type_prop(reduced)}
     info["right"] = info["left"] if right_reduced is None else study_type_prop(right_reduced)
@@ -213,80 +210,108 @@ def coloc_abf(
         tests = tests.join(
             info[side].select(
                 F.col("sid").alias(f"{side}_sid"),
-                F.col("n").alias(f"{side}_n"),
-                F.col("is_cc").alias(f"{side}_cc"),
+                # N where the prior depends on sdY, null for case-control data
+                F.when(~F.col("is_cc"), F.col("n").cast("double")).alias(f"{side}_k"),
                 F.col("n_rows").alias(f"{side}_rows"),
             ),
             f"{side}_sid",
         )
-    tests = tests.select(
-        *PAIR,
-        "left_n",
-        "right_n",
-        "left_cc",
-        "right_cc",
-        F.ceil(F.least("left_rows", "right_rows") / rows_per_slice).cast("int").alias("n_slices"),
-    )
+    tests = tests.withColumn(
+        "n_slices", F.ceil(F.least("left_rows", "right_rows") / rows_per_slice).cast("int")
+    ).drop("left_rows", "right_rows")
     # Every pair is about to grow into its variants: spread the pairs over all tasks,
     # however few bytes they are now.
     tests = tests.repartition(
         int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *PAIR
     )
+    usable = usable_rows(reduced)
+    right_usable = None if right_reduced is None else usable_rows(right_reduced)
+
+    def shared(chosen: DataFrame) -> DataFrame:
+        return _test_rows(harmonise_pair(chosen, usable, right_reduced=right_usable))
+
+    factors = _factors_whole(shared(tests.filter("n_slices = 1"))).unionByName(
+        _factors_sliced(shared(tests.filter("n_slices > 1")))
+    )
+    return posteriors(log_sums(factors, PAIR), p1, p2, p12)
+
 
-    row = {}
+def _test_rows(shared: DataFrame) -> DataFrame:
+    cols = []
     for side in ("left", "right"):
-        se = F.col(f"{side}_se")
-        row[f"{side}_v"] = se * se
-        row[f"{side}_z"] = F.col(f"{side}_beta") / se
-        row[f"{side}_maf"] = eaf_to_maf(F.col(f"{side}_eaf"))
-    shared = harmonise_pair(
-        tests.select(*PAIR, "n_slices"),
-        usable_rows(reduced),
-        right_reduced=None if right_reduced is None else usable_rows(right_reduced),
-    ).select(
+        se, maf = F.col(f"{side}_se"), eaf_to_maf(F.col(f"{side}_eaf"))
+        cols += [
+            f"{side}_k",
+            (se * se).alias(f"{side}_v"),
+            (F.col(f"{side}_beta") / se).alias(f"{side}_z"),
+            (2 * maf * (1 - maf)).alias(f"{side}_h"),
+        ]
+    part = F.pmod(F.xxhash64(*VARIANT), F.col("n_slices")).cast("int").alias("slice")
+    return shared.select(*PAIR, "n_slices", part, *cols)
+
+
+def _sdy_sums(side: str) -> tuple[Column, Column]:
+    """The two sums whose ratio, times N, is the square of sdY."""
+    v = F.col(f"{side}_v")
+    return F.sum(F.col(f"{side}_h") / v), F.sum(1 / (v * v))
+
+
+def _prior(side: str, num: Column, den: Column, k: Column) -> Column:
+    return F.when(k.isNull(), F.lit(0.2)).otherwise(0.15 * F.sqrt(k * num / den))
+
+
+def _factor(side: str, prior: Column) -> Column:
+    return log_abf(F.col(f"{side}_v"), F.col(f"{side}_z"), prior)
+
+
+def _factors_whole(rows: DataFrame) -> DataFrame:
+    """Log Bayes factors of pairs that are one slice: a window over the pair gives sdY,
+    so the rows are shuffled once and read once."""
+    pair = Window.partitionBy(*PAIR)
+    with_priors = rows.repartition(*PAIR).withColumns(
+        {
+            f"{s}_prior": _prior(s, *[x.over(pair) for x in _sdy_sums(s)], F.col(f"{s}_k"))
+            for s in ("left", "right")
+        }
+    )
+    return with_priors.select(
         *PAIR,
-        F.pmod(F.xxhash64(*VARIANT), F.col("n_slices")).cast("int").alias("slice"),
-        *[col.alias(name) for name, col in row.items()],
+        _factor("left", F.col("left_prior")).alias("l1"),
+        _factor("right", F.col("right_prior")).alias("l2"),
     )
-    # Both passes below read every column of ``parts``, z in the first and maf in the
-    # second only as guards: were a column pruned from one of them, the exchange could
-    # not be shared and the join would run twice.
-    parts = shared.repartition(*PAIR, "slice")
 
-    sums, guards = [], []
-    for side in ("left", "right"):
-        v, maf = F.col(f"{side}_v"), F.col(f"{side}_maf")
-        sums.append(F.sum(2 * maf * (1 - maf) / v).alias(f"{side}_num"))
-        sums.append(F.sum(1 / (v * v)).alias(f"{side}_den"))
-        guards.append(F.count(f"{side}_z").alias(f"{side}_used"))
-    names = [f"{s}_{q}" for s in ("left", "right") for q in ("num", "den", "used")]
+
+def _factors_sliced(rows: DataFrame) -> DataFrame:
+    """Log Bayes factors of pairs too large for one task: sdY from partial sums per
+    slice, handed back to every slice."""
+    parts = rows.repartition(*PAIR, "slice")
+    sums = {}
+    for s in ("left", "right"):
+        sums[f"{s}_num"], sums[f"{s}_den"] = _sdy_sums(s)
+        sums[f"{s}_n"] = F.max(f"{s}_k")
+    sums["slices"] = F.max("n_slices")
+    again = {
+        c: (F.sum(c) if c.endswith(("num", "den")) else F.max(c)).alias(c) for c in sums
+    }
     priors = (
         parts.groupBy(*PAIR, "slice")
-        .agg(*sums, *guards)
+        .agg(*[agg.alias(c) for c, agg in sums.items()])
         .groupBy(*PAIR)
-        .agg(*[F.sum(c).alias(c) for c in names])
-        .join(tests, PAIR)
-        .filter("left_used > 0 and right_used > 0")
+        .agg(*again.values())
         .select(
             *PAIR,
             *[
-                F.when(F.col(f"{s}_cc"), 0.2)
-                .otherwise(0.15 * F.sqrt(F.col(f"{s}_n") * F.col(f"{s}_num") / F.col(f"{s}_den")))
-                .alias(f"{s}_prior")
+                _prior(s, F.col(f"{s}_num"), F.col(f"{s}_den"), F.col(f"{s}_n")).alias(f"{s}_prior")
                 for s in ("left", "right")
             ],
-            F.explode(F.sequence(F.lit(0), F.col("n_slices") - 1)).alias("slice"),
+            F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
         )
     )
-
-    def factor(side: str) -> Column:
-        value = log_abf(F.col(f"{side}_v"), F.col(f"{side}_z"), F.col(f"{side}_prior"))
-        return F.when(F.col(f"{side}_maf") > 0, value)
-
-    factors = parts.join(priors, [*PAIR, "slice"]).select(
-        *PAIR, "slice", factor("left").alias("l1"), factor("right").alias("l2")
+    return parts.join(priors, [*PAIR, "slice"]).select(
+        *PAIR,
+        _factor("left", F.col("left_prior")).alias("l1"),
+        _factor("right", F.col("right_prior")).alias("l2"),
     )
-    return posteriors(log_sums(factors, PAIR, ["slice"]), p1, p2, p12)
 
 
 def pvalue_dataset(rows: DataFrame, type_is_cc: bool) -> DataFrame:
