@@ -134,8 +134,9 @@ def _conditioning(spark, panel_data, lead_sets):
 LEADS = {1: {0: 1e-9}, 2: {1: 1e-5, 6: 1e-9}, 3: {0: 1e-8, 4: 1e-20, 7: 1e-3, 10: 1e-4}}
 
 
-@pytest.mark.parametrize("max_r2", [0.9, 0.3])
-def test_conditioning_equals_brute_force(spark, panel, panel_data, max_r2):
+@pytest.mark.parametrize(("max_r2", "slots"), [(0.9, 8), (0.9, 3), (0.3, 8), (0.3, 0)])
+def test_conditioning_equals_brute_force(spark, panel, panel_data, monkeypatch, max_r2, slots):
+    monkeypatch.setattr(C, "SLOTS", slots)
     windowed, conds, stats = _conditioning(spark, panel_data, LEADS)
     ld = L.ld_pairs(conds.select(*VARIANT), panel, 100, 0.0, 80)
     got = {}
