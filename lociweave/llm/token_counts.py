@@ -23,40 +23,66 @@ from lociweave.llm import text as tx
 from lociweave.llm import tokenizer
 
 #: Words whose counts a task remembers before it starts anew; affects time and memory only.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 
 
-def merged_length(symbols: list[int], rules: dict[tuple[int, int], tuple[int, int]]) -> int:
-    """Number of symbols left after all merges. ``rules``: pair -> (rank, merged symbol)."""
-    n = len(symbols)
+PLACE_BITS = 40
+PLACE = (1 << PLACE_BITS) - 1
+
+
+class Rules:
+    """Merge rules over own symbol numbers: a byte is its value, other symbols follow."""
+
+    def __init__(self, spec: dict):
+        number = {letter: b for b, letter in enumerate(tokenizer.byte_letters())}
+        merges = tokenizer.merges_of(spec)
+        for a, b in merges:
+            number.setdefault(a + b, len(number))
+        #: left symbol -> {right symbol: rank}
+        self.ranks: list[dict[int, int]] = [{} for _ in number]
+        #: rank -> symbol that the rule makes
+        self.made = [number[a + b] for a, b in merges]
+        for rank, (a, b) in enumerate(merges):
+            self.ranks[number[a]][number[b]] = rank
+
+
+def merged_length(word: bytes, rules: Rules) -> int:
+    """Number of symbols left of a word after all merges.
+
+    A heap entry is rank << PLACE_BITS | position of the left symbol.
+    """
+    ranks, made, n = rules.ranks, rules.made, len(word)
     heap = []
-    for i in range(n - 1):
-        rule = rules.get((symbols[i], symbols[i + 1]))
-        if rule:
-            heap.append((rule[0], i, rule[1], symbols[i], symbols[i + 1]))
+    for i, (a, b) in enumerate(zip(word, word[1:])):  # noqa: B905
+        rank = ranks[a].get(b)
+        if rank is not None:
+            heap.append(rank << PLACE_BITS | i)
     if not heap:
         return n
     heapq.heapify(heap)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
+    push, pop = heapq.heappush, heapq.heappop
+    symbols, after, before = list(word), list(range(1, n + 1)), list(range(-1, n - 1))
     merges = 0
     while heap:
-        _, i, new, a, b = heapq.heappop(heap)
-        j = after[i]
-        if symbols[i] != a or j >= n or symbols[j] != b:
+        entry = pop(heap)
+        i, j = entry & PLACE, after[entry & PLACE]
+        rank = entry >> PLACE_BITS
+        if j >= n or symbols[i] < 0 or ranks[symbols[i]].get(symbols[j]) != rank:
             continue
         merges += 1
-        symbols[i], symbols[j] = new, -1
+        new = symbols[i] = made[rank]
+        symbols[j] = -1
         k = after[i] = after[j]
         if k < n:
             before[k] = i
-            rule = rules.get((new, symbols[k]))
-            if rule:
-                heapq.heappush(heap, (rule[0], i, rule[1], new, symbols[k]))
+            rank = ranks[new].get(symbols[k])
+            if rank is not None:
+                push(heap, rank << PLACE_BITS | i)
         h = before[i]
         if h >= 0:
-            rule = rules.get((symbols[h], new))
-            if rule:
-                heapq.heappush(heap, (rule[0], h, rule[1], symbols[h], new))
+            rank = ranks[symbols[h]].get(new)
+            if rank is not None:
+                push(heap, rank << PLACE_BITS | h)
     return n - merges
 
 
@@ -65,19 +91,12 @@ class WordCounts(dict):
 
     def __init__(self, spec: dict, limit: int = REMEMBERED):
         super().__init__()
-        vocab = spec["model"]["vocab"]
-        self.limit = limit
-        self.letters = [vocab[c] for c in tokenizer.byte_letters()]
-        self.rules = {
-            (vocab[a], vocab[b]): (rank, vocab[a + b])
-            for rank, (a, b) in enumerate(tokenizer.merges_of(spec))
-        }
+        self.limit, self.rules = limit, Rules(spec)
 
     def __missing__(self, word: str) -> int:
         if len(self) >= self.limit:
             self.clear()
-        letters = self.letters
-        value = merged_length([letters[b] for b in word.encode()], self.rules)
+        value = merged_length(word.encode(), self.rules)
         if len(word) <= 64:
             self[word] = value
         return value
