@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import packing, token_counts, tokenizer
+from lociweave.llm import packing, simhash, token_counts, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -44,3 +44,8 @@ def op9_token_counts(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     counted = token_counts.count_tokens(docs, tokenizer.vocabulary_file(VOCABULARY))
     return counted.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
+@register
+def op10_simhash(spark, sf_dir):
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
