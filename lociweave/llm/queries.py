@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import packing, simhash, token_counts, tokenizer
+from lociweave.llm import packing, simhash, superkmer, token_counts, tokenizer
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -49,3 +49,8 @@ def op9_token_counts(spark, sf_dir):
 @register
 def op10_simhash(spark, sf_dir):
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register
+def op2_superkmer(spark, sf_dir):
+    return superkmer.removal_report(table(spark, sf_dir, "documents"))

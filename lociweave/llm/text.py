@@ -49,19 +49,19 @@ BASE = 0x9E3779B97F4A7C15
 
 def rolling(values: np.ndarray, width: int) -> np.ndarray:
     """Hash of each run of ``width`` values (mod 2**64), at the run's first position."""
-    total, covered, power, span, step = None, 0, np.uint64(BASE), values, 1
+    total, covered, span, step = None, 0, values, 1
+    whole = 1 << 64
     while True:
         if width & step:
             if total is None:
                 total = span
             else:
                 n = len(span) - covered
-                total = total[: max(0, n)] + span[covered:] * np.uint64(pow(BASE, covered, 1 << 64))
+                total = total[: max(0, n)] + span[covered:] * np.uint64(pow(BASE, covered, whole))
             covered += step
         if step * 2 > width:
             return total[: max(0, len(values) - width + 1)]
-        span = span[: max(0, len(span) - step)] + span[step:] * power
-        power = power * power
+        span = span[: max(0, len(span) - step)] + span[step:] * np.uint64(pow(BASE, step, whole))
         step *= 2
 
 
