@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import packing, simhash, superkmer, token_counts, tokenizer
+from lociweave.llm import packing, qda, simhash, superkmer, token_counts, tokenizer
+from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -54,3 +55,9 @@ def op10_simhash(spark, sf_dir):
 @register
 def op2_superkmer(spark, sf_dir):
     return superkmer.removal_report(table(spark, sf_dir, "documents"))
+
+
+@register
+def op5_qda(spark, sf_dir):
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    return qda.score_documents(docs, labels, materialise)
