@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import packing, qda, simhash, superkmer, token_counts, tokenizer
+from lociweave.llm import packing, qda, simhash, superkmer, token_counts, tokenizer, url_filter
 from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -61,3 +61,21 @@ def op2_superkmer(spark, sf_dir):
 def op5_qda(spark, sf_dir):
     docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
     return qda.score_documents(docs, labels, materialise)
+
+
+URL_RULES = {
+    "com/": "allow",
+    "example.com/en/": "block",
+    "www.example.com/en/": "allow",
+    "net/es/": "block",
+    "net/fr/": "block",
+}
+#: Words in hosts that label a URL as one to block, for training.
+SPAM_WORDS = ("adult", "ads", "bets", "casino", "pills", "spam")
+
+
+@register
+def op6_url_filter(spark, sf_dir):
+    pages = table(spark, sf_dir, "pages")
+    labelled = url_filter.labelled_urls(pages, URL_RULES, SPAM_WORDS)
+    return url_filter.judge(pages, URL_RULES, materialise, labelled)
