@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import packing, qda, simhash, superkmer, token_counts, tokenizer, url_filter
+from lociweave.llm import packing, qda, simhash, superkmer, token_counts, tokenizer, url_filter, warc
 from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,20 @@ def op6_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages")
     labelled = url_filter.labelled_urls(pages, URL_RULES, SPAM_WORDS)
     return url_filter.judge(pages, URL_RULES, materialise, labelled)
+
+
+@register
+def op8_warc(spark, sf_dir):
+    return warc.round_trip(table(spark, sf_dir, "pages"), warc.archive_folder(spark), materialise)
+
+
+# sha1 in hexadecimal becomes base32: five hexadecimal digits are four letters.
+ORACLES["op8_warc"] = """
+with p as (select page_id, coalesce(html, '') as body from pages),
+d as (select page_id, octet_length(encode(body)) as n, sha1(body) as hex, min(page_id) over (partition by body) as f from p),
+v as (select *, [('0x' || substr(hex, 5 * i + 1, 5))::int for i in range(8)] as twenty from d)
+select page_id, n::bigint as payload_bytes,
+ array_to_string([array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', ((x >> s) & 31) + 1, 1) for s in [15, 10, 5, 0]], '') for x in twenty], '') as payload_digest,
+ case when page_id is not distinct from f then 'response' else 'revisit' end as record_type,
+ case when page_id is distinct from f then f end as refers_to from v
+"""
