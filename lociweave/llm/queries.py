@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import packing, qda, simhash, superkmer, token_counts, tokenizer, url_filter, warc
+from lociweave.llm import multi_index, packing, qda, simhash, superkmer, token_counts, tokenizer, url_filter, warc
 from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +96,9 @@ select page_id, n::bigint as payload_bytes,
  case when page_id is not distinct from f then 'response' else 'revisit' end as record_type,
  case when page_id is distinct from f then f end as refers_to from v
 """
+
+
+@register
+def op7_multi_index(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings")
+    return multi_index.search(vectors, F.col("vec_id") % 100 == 0, materialise)
