@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import multi_index, packing, qda, simhash, superkmer, token_counts, tokenizer, url_filter, warc
+from lociweave.llm import multi_index, packing, qda, simhash, superkmer, templates, token_counts, tokenizer, url_filter, warc
 from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,3 +102,9 @@ select page_id, n::bigint as payload_bytes,
 def op7_multi_index(spark, sf_dir):
     vectors = table(spark, sf_dir, "embeddings")
     return multi_index.search(vectors, F.col("vec_id") % 100 == 0, materialise)
+
+
+@register
+def op3_templates(spark, sf_dir):
+    found = templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("text_key").distinct()
