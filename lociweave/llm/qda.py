@@ -216,3 +216,31 @@ def score_documents(
         "score",
         (F.col("score") >= threshold).cast("int").alias("predicted"),
     )
+
+
+def keep_good(
+    docs: DataFrame,
+    labels: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    label_col: str = "quality",
+    threshold: float = THRESHOLD,
+) -> DataFrame:
+    """``docs`` without the rows that score under ``threshold``; all columns stay.
+
+    Fits as :func:`score_documents` does and scores each text where it is read: nothing is
+    shuffled but the labelled rows' statistics.
+    """
+    model = fit(training_rows(document_statistics(docs, text_col, [id_col]), labels, id_col, label_col))
+    columns = [f"c{i}" for i in range(len(docs.columns))]
+    renamed = docs.select(*[F.col(c).alias(n) for c, n in zip(docs.columns, columns, strict=True)])
+    text = columns[docs.columns.index(text_col)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in tx.chunks(batches, text):
+            values = [statistics((t or "").encode()) for t in batch.column(text).to_pylist()]
+            good = model.score(np.array(values)) >= threshold
+            yield batch.filter(pa.array(good))
+
+    kept = renamed.mapInArrow(run, renamed.schema)
+    return kept.select(*[F.col(n).alias(c) for c, n in zip(docs.columns, columns, strict=True)])

@@ -25,19 +25,17 @@ def register(fn):
     return fn
 
 
+def digest_pieces(pieces: DataFrame) -> DataFrame:
+    """Pieces with the length and checksum of their ids instead of the ids."""
+    length = (F.length("ids") / 4).cast("long")
+    checked = pieces.withColumns({"length": length, "ids_crc32": F.crc32("ids")})
+    return checked.select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
+
+
 @register
 def op1_packing(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    pieces = packing.pack_documents(docs, tokenizer.vocabulary_file(VOCABULARY))
-    return pieces.select(
-        "doc_id",
-        "start",
-        (F.length("ids") / 4).cast("long").alias("length"),
-        F.crc32("ids").alias("ids_crc32"),
-        "doc_tokens",
-        "sequence_id",
-        "offset",
-    )
+    return digest_pieces(packing.pack_documents(docs, tokenizer.vocabulary_file(VOCABULARY)))
 
 
 @register
