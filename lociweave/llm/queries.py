@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import multi_index, packing, qda, simhash, superkmer, templates, token_counts, tokenizer, url_filter, warc
+from lociweave.llm import multi_index, packing, qda, simhash, sparse_suffixes, superkmer, templates, token_counts, tokenizer, url_filter, warc
 from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -106,3 +106,8 @@ def op7_multi_index(spark, sf_dir):
 def op3_templates(spark, sf_dir):
     found = templates.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("text_key").distinct()
+
+
+@register
+def op4_sparse_suffixes(spark, sf_dir):
+    return sparse_suffixes.repeated_passages(table(spark, sf_dir, "documents"), materialise)
