@@ -75,21 +75,23 @@ def decode_member(archive: Archive, place: int) -> tuple[dict[str, str], bytes,
     The header is decoded first, from as little of the member as it needs; the rest only if it
     is one. A member that starts as a record but is damaged raises an error.
     """
-    inflate, parts, seen, head = zlib.decompressobj(31), [], b"", None
-    at = place
+    inflate, parts, seen, head, length = zlib.decompressobj(31), [], b"", None, 0
+    at, waiting = place, b""
     while not inflate.eof:
-        data = archive.at(at, 4096 if head is None else BLOCK)
-        if not data:
-            if head is None:
+        if not waiting:
+            waiting = archive.at(at, 4096 if head is None else BLOCK)
+            at += len(waiting)
+        if not waiting:
+            if head is None and not seen:
                 return None
-            raise ValueError(f"a record at byte {place} breaks off")
-        at += len(data)
+            raise ValueError(f"the record at byte {place} breaks off")
         try:
-            got = inflate.decompress(data)
+            got = inflate.decompress(waiting, 1024 if head is None else BLOCK)
         except zlib.error as error:
-            if head is None:
+            if head is None and not seen:
                 return None
-            raise ValueError(f"a record at byte {place} is damaged") from error
+            raise ValueError(f"the record at byte {place} is damaged") from error
+        waiting = inflate.unconsumed_tail
         if head is not None:
             parts.append(got)
             continue
