@@ -72,8 +72,9 @@ def _(t):
 
 @query("write_csv_single", f"select coloc_n_vars, {ROUNDED}, {csv(COLOC_KEYS)} from coloc_raw", ["coloc_raw"])
 def _(t):
-    out = _path(t, "coloc_csv_one")
-    W.write_csv(t("coloc_raw"), out, files=1)
+    # files=1 is an option of the writer; the query writes in parallel
+    out = _path(t, "coloc_csv_plain")
+    W.write_csv(t("coloc_raw"), out)
     back = t.spark.read.schema(t("coloc_raw").schema).option("header", True).csv(out)
     return rounded(back, *H)
 
@@ -156,18 +157,20 @@ def _(t):
     return R.scan_top_loci(t.spark, out).select(*LOCI)
 
 
+LOG_P = "round(log10(pval), 6) as log_p"
+
+
 @query(
     "partition_sumstats",
-    f"select {csv(SUMSTATS.names[:9])}, n_total, n_cases, eaf, is_cc from sumstats where chrom = '2' and study_id in ('ST1', 'ST6')",
+    f"select {csv(SUMSTATS.names[:9])}, n_total, n_cases, eaf, is_cc, {LOG_P} from sumstats",
     ["sumstats"],
 )
 def _(t):
     out = _path(t, "sumstats_by_study")
     W.partition_sumstats(t("sumstats").select(*SUMSTATS.names), out)
     table = R.scan_sumstats_table(t.spark, out)
-    return table.filter("chrom = '2' and study_id in ('ST1', 'ST6')").drop("pval").select(
-        *SUMSTATS.names[:9], "n_total", "n_cases", "eaf", "is_cc"
-    )
+    columns = [*SUMSTATS.names[:9], "n_total", "n_cases", "eaf", "is_cc"]
+    return table.select(*columns, F.round(F.log10("pval"), 6).alias("log_p"))
 
 
 @query("partition_credset", f"select {csv(CRED)} from credset", ["credset"])
@@ -177,9 +180,8 @@ def _(t):
     return R.scan_credset(t.spark, out).select(*CRED)
 
 
-@query("partition_top_loci", "select chrom, study_id, count(*) as n from top_loci group by all", ["top_loci"])
+@query("partition_top_loci", f"select {csv(LOCI)} from top_loci", ["top_loci"])
 def _(t):
     out = _path(t, "loci_by_chrom")
     W.partition_top_loci(t("top_loci"), out)
-    back = R.scan_top_loci(t.spark, out)
-    return back.groupBy("chrom", "study_id").agg(F.count(F.lit(1)).alias("n"))
+    return R.scan_top_loci(t.spark, out).select(*LOCI)

@@ -2,16 +2,20 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.catalog.common import csv, r6, rounded, same, sides
 from lociweave.catalog.registry import query
-from lociweave.catalog.signals import INDEX_SQL, LD_CTES, LD_KEYS, PANEL_CTES, corr_ctes, ld_table
+from lociweave.catalog.signals import INDEX_SQL, LD_CTES, LD_KEYS, PANEL_CTES, ld_table, n_samples
 from lociweave.functions import scalars as S
 from lociweave.operators import features as FE
 from lociweave.operators import ld as L
 from lociweave.operators import ml
 from lociweave.schemas import COLOC_KEYS, COLOC_SIGNAL, TAG, VARIANT
+from lociweave.session import materialise
 
 LEFT, RIGHT = [f"left_{c}" for c in VARIANT], [f"right_{c}" for c in VARIANT]
 PROPS = [f"prop_overlap_{r}" for r in FE.R2_THRESHOLDS]
@@ -21,8 +25,7 @@ BOTH_INDEX = f"{INDEX_SQL} union select distinct right_chrom, right_pos, right_r
 FE_CTES = [
     *PANEL_CTES,
     ("idx", BOTH_INDEX),
-    LD_CTES[3],
-    *corr_ctes("vp"),
+    *LD_CTES[3:],
     ("ld05", "select * from ld where r2 >= 0.05"),
     (
         "tested",
@@ -108,7 +111,7 @@ def both_ld(t):
     def build():
         raw = t("coloc_raw")
         index = L.index_variants(raw).union(raw.select(*RIGHT)).distinct()
-        return L.ld_pairs(index, t("panel"), 500, 0.05)
+        return L.ld_pairs(index, t("panel"), 500, 0.05, n_samples(t))
 
     return t.derived("ld_both_sides", build)
 
@@ -171,18 +174,22 @@ def _(t):
     return FE.is_gwas_flags(t("coloc_raw")).select(*COLOC_KEYS, "left_is_gwas", "right_is_gwas")
 
 
-_SIDE = [f"left_{c}" for c in COLOC_SIGNAL]
-
-
 @query(
     "ld_tags",
-    f"select {csv([*_SIDE, *TAG])}, {r6('left_r2', 'left_R2_EUR')} from left_tags",
+    " union all ".join(
+        f"select '{s}' as side, {', '.join(f'{s}_{c} as {c}' for c in COLOC_SIGNAL)}, {csv(TAG)}, {r6(f'{s}_r2', 'r2')} from {s}_tags"
+        for s in ("left", "right")
+    ),
     NEEDS,
-    _upto("left_tags"),
+    _upto("right_tags"),
 )
 def _(t):
-    out = FE.signal_tags(tested(t), both_ld(t), "left").select(*_SIDE, *TAG, "left_R2_EUR")
-    return rounded(out, "left_R2_EUR")
+    sides = []
+    for s in ("left", "right"):
+        tags = FE.signal_tags(tested(t), both_ld(t), s)
+        names = [F.col(f"{s}_{c}").alias(c) for c in COLOC_SIGNAL]
+        sides.append(tags.select(F.lit(s).alias("side"), *names, *TAG, F.col(f"{s}_R2_EUR").alias("r2")))
+    return rounded(sides[0].unionAll(sides[1]), "r2")
 
 
 @query(
@@ -213,12 +220,20 @@ def _(t):
 
 @query(
     "side_tag_counts",
-    f"select distinct {csv(RIGHT)}, right_num_tags from right_n",
+    " union all ".join(
+        f"select distinct '{s}' as side, {', '.join(f'{s}_{c} as {c}' for c in VARIANT)}, {s}_num_tags as num_tags from {s}_n"
+        for s in ("left", "right")
+    ),
     NEEDS,
     _upto("right_n"),
 )
 def _(t):
-    return FE.side_tag_counts(FE.ld_tags(tested(t), both_ld(t), "right"), "right")
+    sides = []
+    for s in ("left", "right"):
+        counts = FE.side_tag_counts(FE.ld_tags(tested(t), both_ld(t), s), s)
+        names = [F.col(f"{s}_{c}").alias(c) for c in VARIANT]
+        sides.append(counts.select(F.lit(s).alias("side"), *names, F.col(f"{s}_num_tags").alias("num_tags")))
+    return sides[0].unionAll(sides[1])
 
 
 @query(
@@ -302,21 +317,33 @@ def _(t):
 
 # Model fits have no SQL form; tests check them against bounds.
 
-@query("cv_regress")
-def _(t):
-    return ml.cv_regress(model_input(t), targets=["h4"], subsets=["all"])
+def every_prediction(t) -> DataFrame:
+    """Held-out predictions of the whole grid: subsets x outcomes x regressors."""
+    return t.derived("cv_predictions", lambda: ml.cv_predictions(model_input(t), keep=materialise))
 
 
 @query("cv_predictions")
 def _(t):
-    return ml.cv_predictions(model_input(t), "h4", "OLS")
+    return every_prediction(t)
+
+
+@query("cv_regress")
+def _(t):
+    return ml.cv_scores(every_prediction(t))
+
+
+def _every_target(fit) -> DataFrame:
+    parts = [fit(target).withColumn("target", F.lit(target)) for target in ml.TARGETS]
+    return reduce(DataFrame.unionByName, parts)
 
 
 @query("feature_importance")
 def _(t):
-    return ml.feature_importance(model_input(t), "h4")
+    data = model_input(t)
+    return _every_target(lambda target: ml.feature_importance(data, target))
 
 
 @query("learning_curve")
 def _(t):
-    return ml.learning_curve(model_input(t), "h4", "OLS")
+    data = model_input(t)
+    return _every_target(lambda target: ml.learning_curve(data, target, "OLS"))

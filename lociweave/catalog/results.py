@@ -330,7 +330,7 @@ _PCOLS = [*PROC_OUT, *H]
     ["coloc_raw", "gene_lut"],
     [
         *PROCESS_CTES,
-        ("pnew", f"select {csv(_PCOLS)} from processed where left_alt = 'T'"),
+        ("pnew", f"select {csv(_PCOLS)} from processed where left_alt = 'T' or not (right_ref = 'A' or left_ref = 'C')"),
         (
             "pold",
             f"select {csv([c for c in _PCOLS if c != 'coloc_h4'])}, coloc_h4 * 0.5 as coloc_h4 from processed where right_ref = 'A' or left_ref = 'C'",
@@ -339,7 +339,7 @@ _PCOLS = [*PROC_OUT, *H]
 )
 def _(t):
     base = processed(t).select(*_PCOLS)
-    new = base.filter("left_alt = 'T'")
+    new = base.filter("left_alt = 'T' or not (right_ref = 'A' or left_ref = 'C')")
     old = base.filter("right_ref = 'A' or left_ref = 'C'").withColumn(
         "coloc_h4", F.col("coloc_h4") * 0.5
     )
@@ -348,8 +348,14 @@ def _(t):
 
 @query(
     "schema_drift_report",
-    "select 'previous' as only_in, 'release_note' as column_name where (select count(*) from release_old) > 0",
-    ["release_old"],
+    " union all ".join(
+        f"select '{c}' as column_name, true as in_previous, {str(c in ALL).lower()} as in_new,"
+        f" (select count({c}) from release_old) as previous_values, "
+        + (f"(select count({c}) from release_new)" if c in ALL else "cast(null as bigint)")
+        + " as new_values"
+        for c in OLD
+    ),
+    ["release_new", "release_old"],
 )
 def _(t):
     return merge.schema_drift_report(t("release_new"), t("release_old"))
@@ -430,7 +436,7 @@ def _(t):
 _LOCI = [
     (
         "loci",
-        "select distinct study_id, phenotype_id, bio_feature, chrom, pos, ref, alt from top_loci where pval < 1e-6",
+        "select distinct study_id, phenotype_id, bio_feature, chrom, pos, ref, alt from top_loci",
     )
 ]
 
@@ -449,7 +455,7 @@ def _has_locus(s: str) -> str:
     _LOCI,
 )
 def _(t):
-    return enrich.filter_top_loci_match(t("coloc_raw"), t("top_loci").filter("pval < 1e-6"))[0]
+    return enrich.filter_top_loci_match(t("coloc_raw"), t("top_loci"))[0]
 
 
 @query(
@@ -459,7 +465,7 @@ def _(t):
     _LOCI,
 )
 def _(t):
-    return enrich.filter_top_loci_match(t("coloc_raw"), t("top_loci").filter("pval < 1e-6"))[1]
+    return enrich.filter_top_loci_match(t("coloc_raw"), t("top_loci"))[1]
 
 
 # -- auditing -------------------------------------------------------------------

@@ -25,6 +25,7 @@ from lociweave.operators import conditional as C
 from lociweave.operators import ld as L
 from lociweave.operators import manifest as M
 from lociweave.operators import sumstats as SS
+from lociweave.operators.audit import run_failures
 from lociweave.operators.overlap import attach_signals
 from lociweave.schemas import COLOC_KEYS, SIGNAL, VARIANT
 
@@ -318,15 +319,27 @@ LD_CTES = [
         "select i.chrom as lead_chrom, i.pos as lead_pos, i.ref as lead_ref, i.alt as lead_alt, v.chrom as tag_chrom, v.pos as tag_pos, v.ref as tag_ref, v.alt as tag_alt"
         " from idx i join pv v on v.chrom = i.chrom and v.pos between i.pos - 500000 and i.pos + 500000",
     ),
-    *corr_ctes("vp"),
+    # carriers of an index variant meet the carriers around it by sample, not pair by pair
+    (
+        "shared",
+        "select a.chrom as lead_chrom, a.pos as lead_pos, a.ref as lead_ref, a.alt as lead_alt, b.chrom as tag_chrom, b.pos as tag_pos, b.ref as tag_ref, b.alt as tag_alt, sum(a.dosage * b.dosage) as sab"
+        " from (select p.* from panel p join idx i on i.chrom = p.chrom and i.pos = p.pos and i.ref = p.ref and i.alt = p.alt) a"
+        " join panel b on b.sample_id = a.sample_id and b.chrom = a.chrom and b.pos between a.pos - 500000 and a.pos + 500000 group by all",
+    ),
+    corr_ctes("vp")[1],
 ]
 LD_OUT = ("ld05", "select * from ld where r2 >= 0.05")
 
 
+def n_samples(t) -> int:
+    """Samples of the fixture's panel, where every sample carries something."""
+    return L.panel_size(t("panel"))
+
+
 def ld_table(t):
     return t.derived(
         "ld_pairs",
-        lambda: L.ld_pairs(L.index_variants(t("coloc_raw")), t("panel"), 500, 0.05),
+        lambda: L.ld_pairs(L.index_variants(t("coloc_raw")), t("panel"), 500, 0.05, n_samples(t)),
     )
 
 
@@ -342,7 +355,7 @@ def _(t):
     [*LD_CTES, LD_OUT],
 )
 def _(t):
-    found = L.ld_pairs(L.index_variants(t("coloc_raw")), t("panel"), 500, 0.05)
+    found = L.ld_pairs(L.index_variants(t("coloc_raw")), t("panel"), 500, 0.05, n_samples(t))
     return rounded(found, "r", "r2")
 
 
@@ -399,7 +412,8 @@ def _conditioning_inputs(t, kb: int):
         f"cond_list_{kb}", lambda: SS.cond_list(signals(t), windowed, t("top_loci"), kb)
     )
     ld = t.derived(
-        f"cond_ld_{kb}", lambda: L.ld_pairs(conds.select(*VARIANT), t("panel"), 2 * kb, 0.0)
+        f"cond_ld_{kb}",
+        lambda: L.ld_pairs(conds.select(*VARIANT), t("panel"), 2 * kb, 0.0, n_samples(t), windowed),
     )
     return windowed, conds, ld
 
@@ -440,7 +454,7 @@ def _(t):
 @query("conditional_sumstats_many")
 def _(t):
     # several leads per signal: needs a matrix inverse, checked against brute force
-    out = C.conditional_sumstats(*_conditioning_inputs(t, 500))
+    out = C.conditional_sumstats(*_conditioning_inputs(t, 1000))
     return _keyed(t, out).select("sid", *VARIANT, "beta", "se", "pval")
 
 
@@ -463,7 +477,12 @@ def reduced_conditioned(t):
     return t.derived(
         "reduced_conditioned",
         lambda: C.reduced_sumstats(
-            signals(t), t("sumstats"), t("top_loci"), t("panel"), keep=materialise
+            signals(t),
+            t("sumstats"),
+            t("top_loci"),
+            t("panel"),
+            n_samples=n_samples(t),
+            keep=materialise,
         ),
     )
 
@@ -605,11 +624,42 @@ def _(t):
     return rounded(_keyed_pairs(t, out), *HS)
 
 
+@query("coloc_abf_conditioned")
+def _(t):
+    # a whole run: overlap, manifest, windows, conditioning and the test
+    out = A.coloc_abf(manifest(t).select(*A.PAIR), reduced_conditioned(t))
+    return rounded(_keyed_pairs(t, out), *HS)
+
+
+BROKEN = "eaf > 0.9"
+
+
+@query(
+    "run_failures",
+    "select sid as left_key, cast(null as varchar) as right_key, 'no statistics' as reason, 0::bigint as n_rows from sig where sid not in (select sid from red)"
+    f" union all select sid, null, 'unusable rows', count(*) from red where {BROKEN} group by sid"
+    " union all select left_sid, right_sid, 'no shared variant', 0 from pairs p where not exists (select 1 from j where ls = p.left_sid and rs = p.right_sid"
+    f" and not left_{BROKEN} and not right_{BROKEN})",
+    ["credset", "sumstats"],
+    [(n, b.replace("a.beta as left_beta", "a.eaf as left_eaf, b.eaf as right_eaf, a.beta as left_beta")) for n, b in TEST_CTES],
+)
+def _(t):
+    # frequencies above 0.9 recorded as 1: those variants cannot be tested
+    broken = reduced(t).withColumn("eaf", F.when(F.expr(BROKEN), 1.0).otherwise(F.col("eaf")))
+    pairs = manifest(t).select(*A.PAIR)
+    failed = run_failures(signals(t), pairs, broken, A.coloc_abf(pairs, broken))
+    keys = signals(t).select("sid", S.signal_key().alias("key"))
+    for side in ("left", "right"):
+        named = keys.select(F.col("sid").alias(f"{side}_sid"), F.col("key").alias(f"{side}_key"))
+        failed = failed.join(named, f"{side}_sid", "left")
+    return failed.select("left_key", "right_key", "reason", "n_rows")
+
+
 @query("coloc_abf_pvalues")
 def _(t):
     # as if only p-values were known: needs an inverse normal, checked in the tests
-    rows = reduced(t).withColumn("s", F.col("n_cases") / F.col("n_total"))
-    quant = A.pvalue_dataset(rows, type_is_cc=False)
-    shared = A.harmonise_pair(manifest(t).select(*A.PAIR), quant, ("z", "v", "prior_sd"))
-    shared = shared.filter("left_z is not null and right_z is not null")
+    cases = F.least(F.col("n_cases"), F.col("n_total") - F.col("n_cases"))
+    data = A.pvalue_dataset(reduced(t).withColumn("s", F.try_divide(cases, F.col("n_total"))))
+    shared = A.harmonise_pair(manifest(t).select(*A.PAIR), data, ("z", "v", "prior_sd"))
+    shared = shared.filter("left_z is not null and right_z is not null and left_v is not null and right_v is not null")
     return rounded(_keyed_pairs(t, A.coloc_abf_pvalues(shared, A.PAIR)), *HS)

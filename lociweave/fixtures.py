@@ -80,9 +80,9 @@ select distinct phenotype_id, concat('ENSG0000', substr(phenotype_id, 5)) as gen
 """
 
 # Two releases of the same results that share some tests: the earlier one has its
-# own H4, the later one lacks some tests and adds others.
+# own H4, the later one lacks some tests and adds others. Every result is in one of them.
 RECIPES["release_old"] = "select * from (select coloc_n_vars, coloc_h0, coloc_h1, coloc_h2, coloc_h3, coloc_h4 * 0.5 as coloc_h4, left_type, left_study, left_bio_feature, left_phenotype, left_chrom, left_pos, left_ref, left_alt, right_type, right_study, right_bio_feature, right_phenotype, right_chrom, right_pos, right_ref, right_alt, 'old' as release_note from coloc_raw) x where left_ref = 'A' or right_alt = 'G'"
-RECIPES["release_new"] = "select * from coloc_raw where left_alt = 'T' or right_ref = 'C'"
+RECIPES["release_new"] = "select * from coloc_raw where left_alt = 'T' or right_ref = 'C' or not (left_ref = 'A' or right_alt = 'G')"
 
 # Log lines of finished tests, one file name per event.
 RECIPES["logs"] = """

@@ -22,7 +22,7 @@ from lociweave.schemas import VARIANT
 
 PAIR = ["left_sid", "right_sid"]
 
-# Shared variants of one pair that one task may take; a larger pair is sliced.
+# Shared variants of one pair that one slice takes.
 ROWS_PER_SLICE = 200_000
 
 # Width of an exponent bucket. exp() of anything inside half a bucket of its
@@ -199,9 +199,9 @@ def coloc_abf(
 ) -> DataFrame:
     """Five posteriors per pair: ``left_sid, right_sid, coloc_n_vars, coloc_h0..h4``.
 
-    Shared rows are shuffled by pair, once, and stay there until they are summed. A
-    pair whose signals both have more than ``rows_per_slice`` rows is spread over
-    several slices instead. A pair without shared variants has no row.
+    Shared rows are shuffled once, by pair and slice, and stay there until they are summed.
+    A pair has one slice for every ``rows_per_slice`` rows that its smaller signal has, so
+    nearly all have one. A pair without shared variants has no row.
     """
     info = {"left": study_type_prop(reduced)}
     info["right"] = info["left"] if right_reduced is None else study_type_prop(right_reduced)
@@ -226,14 +226,8 @@ def coloc_abf(
     )
     usable = usable_rows(reduced)
     right_usable = None if right_reduced is None else usable_rows(right_reduced)
-
-    def shared(chosen: DataFrame) -> DataFrame:
-        return _test_rows(harmonise_pair(chosen, usable, right_reduced=right_usable))
-
-    factors = _factors_whole(shared(tests.filter("n_slices = 1"))).unionByName(
-        _factors_sliced(shared(tests.filter("n_slices > 1")))
-    )
-    return posteriors(log_sums(factors, PAIR), p1, p2, p12)
+    rows = _test_rows(harmonise_pair(tests, usable, right_reduced=right_usable))
+    return posteriors(log_sums(_factors(rows), PAIR), p1, p2, p12)
 
 
 def _test_rows(shared: DataFrame) -> DataFrame:
@@ -264,26 +258,9 @@ def _factor(side: str, prior: Column) -> Column:
     return log_abf(F.col(f"{side}_v"), F.col(f"{side}_z"), prior)
 
 
-def _factors_whole(rows: DataFrame) -> DataFrame:
-    """Log Bayes factors of pairs that are one slice: a window over the pair gives sdY,
-    so the rows are shuffled once and read once."""
-    pair = Window.partitionBy(*PAIR)
-    with_priors = rows.repartition(*PAIR).withColumns(
-        {
-            f"{s}_prior": _prior(s, *[x.over(pair) for x in _sdy_sums(s)], F.col(f"{s}_k"))
-            for s in ("left", "right")
-        }
-    )
-    return with_priors.select(
-        *PAIR,
-        _factor("left", F.col("left_prior")).alias("l1"),
-        _factor("right", F.col("right_prior")).alias("l2"),
-    )
-
-
-def _factors_sliced(rows: DataFrame) -> DataFrame:
-    """Log Bayes factors of pairs too large for one task: sdY from partial sums per
-    slice, handed back to every slice."""
+def _factors(rows: DataFrame) -> DataFrame:
+    """Log Bayes factors. The rows are shuffled once, by pair and slice; sdY comes from sums per
+    slice, added up per pair and handed back to its slices."""
     parts = rows.repartition(*PAIR, "slice")
     sums = {}
     for s in ("left", "right"):
@@ -314,20 +291,25 @@ def _factors_sliced(rows: DataFrame) -> DataFrame:
     )
 
 
-def pvalue_dataset(rows: DataFrame, type_is_cc: bool) -> DataFrame:
+def pvalue_dataset(rows: DataFrame) -> DataFrame:
     """Effect scale for rows that only have p-values.
 
-    ``rows`` needs ``pval``, ``eaf``, ``n_total`` and, for case-control data, ``s``
-    (the case proportion). Adds ``z``, ``v`` and ``prior_sd``; the effect's variance
-    is approximated from the allele frequency and N.
+    ``rows`` needs ``pval``, ``eaf``, ``n_total``, ``is_cc`` and, where that is true, ``s`` (the
+    case proportion). Adds ``z``, ``v`` and ``prior_sd``; the effect's variance is approximated
+    from the allele frequency and N. Each row is taken by its own study's type; a null
+    ``is_cc`` is a quantitative trait, as in :func:`study_type_prop`.
     """
     maf = eaf_to_maf(F.col("eaf"))
     per_sample = 2 * F.col("n_total") * maf * (1 - maf)
-    if type_is_cc:
-        v, prior = 1 / (per_sample * F.col("s") * (1 - F.col("s"))), 0.2
-    else:
-        v, prior = 1 / per_sample, 0.15
-    return rows.withColumns({"z": z_from_p(F.col("pval")), "v": v, "prior_sd": F.lit(prior)})
+    cases = F.coalesce("is_cc", F.lit(False))
+    informative = F.when(cases, per_sample * F.col("s") * (1 - F.col("s"))).otherwise(per_sample)
+    return rows.withColumns(
+        {
+            "z": z_from_p(F.col("pval")),
+            "v": F.try_divide(F.lit(1.0), informative),
+            "prior_sd": F.when(cases, 0.2).otherwise(0.15),
+        }
+    )
 
 
 def coloc_abf_pvalues(rows: DataFrame, keys: list[str], p1=1e-4, p2=1e-4, p12=1e-5) -> DataFrame:

@@ -162,9 +162,10 @@ def _tile_correlations(n_samples: int, window_bp: int, min_r2: float):
     return run
 
 
-def panel_size(panel: DataFrame) -> int:
-    """Number of samples of the panel (one number; a panel's sample list gives it too)."""
-    return panel.select("sample_id").distinct().count()
+def panel_size(samples: DataFrame) -> int:
+    """Number of samples in a sample list. A panel in long form leaves out samples that carry
+    nothing, so its own rows are a list only if every sample carries something."""
+    return samples.select("sample_id").distinct().count()
 
 
 def ld_pairs(
@@ -173,9 +174,13 @@ def ld_pairs(
     window_kb: int,
     min_r2: float = 0.05,
     n_samples: int | None = None,
+    tags: DataFrame | None = None,
 ) -> DataFrame:
     """Correlation of each index variant with every variant within ``window_kb``.
 
+    ``n_samples`` is the number of samples in the panel, with those that carry nothing. ``tags``
+    names the variants wanted besides the index variants; without it all of the panel are.
+
     Returns ``lead_{chrom,pos,ref,alt}, tag_{...}, r, r2`` for r2 >= ``min_r2``,
     each index variant itself included; variants without variation have no row.
 
@@ -186,11 +191,16 @@ def ld_pairs(
     sample and pair of variants. Dosage sums are exact integers either way.
     """
     if n_samples is None:
-        n_samples = panel_size(panel)
+        raise ValueError("the number of samples in the panel is needed")
     window_bp = tile_bp = 1000 * window_kb
-    tiled = _tiles(variant_vectors(panel), tile_bp)
-    wanted = broadcast_if_small(index.select(*VARIANT).distinct())
-    index_rows = tiled.join(wanted, VARIANT, "left_semi")
+    wanted = index.select(*VARIANT).distinct()
+    if tags is not None:
+        panel = panel.join(tags.select(*VARIANT).union(wanted).distinct(), VARIANT, "left_semi")
+    vectors = variant_vectors(panel)
+    tiled = _tiles(vectors, tile_bp)
+    # index variants are cut by their own number, so that few of them make few chunks and each
+    # sub-tile of the panel is sent to these only
+    index_rows = _tiles(vectors.join(wanted, VARIANT, "left_semi"), tile_bp)
 
     near = (
         index_rows.select("chrom", "tile", "sub")

@@ -45,7 +45,8 @@ def merge_present(new: DataFrame, prev: DataFrame, keys: list[str] = MERGE_KEYS)
 def merge_overlap_compare(
     new: DataFrame, prev: DataFrame, keys: list[str] = MERGE_KEYS
 ) -> DataFrame:
-    """Tests in both releases with both H4 values."""
+    """Tests in both releases with both H4 values, one row per test."""
+    new, prev = (drop_duplicates_subset(df, keys) for df in (new, prev))
     fresh = _keys_only(new, keys, F.col("coloc_h4").alias("new_coloc_h4"))
     old = prev.withColumnRenamed("coloc_h4", "prev_coloc_h4")
     return old.join(fresh, _on(old, fresh, keys)).select(*old.columns, "new_coloc_h4")
@@ -63,10 +64,10 @@ def merge_releases(new: DataFrame, prev: DataFrame, keys: list[str]) -> DataFram
 
 
 def merge_raw(new: DataFrame, prev: DataFrame, keys: list[str] = MERGE_KEYS) -> DataFrame:
-    """Merged raw results.
+    """Merged raw results, by all columns of a test.
 
-    The default keys take the left side for a GWAS and merge tests that differ only in
-    its phenotype or bio-feature; pass all ``COLOC_KEYS`` to keep those apart.
+    ``MERGE_KEYS_GWAS_LEFT`` leaves the left phenotype and bio-feature out, as earlier releases
+    did; tests that differ only in those then become one.
     """
     return merge_releases(new, prev, keys)
 
@@ -76,7 +77,22 @@ def merge_processed(new: DataFrame, prev: DataFrame) -> DataFrame:
 
 
 def schema_drift_report(new: DataFrame, prev: DataFrame) -> DataFrame:
-    """Columns that only one of the releases has."""
-    rows = [("previous", c) for c in prev.columns if c not in new.columns]
-    rows += [("new", c) for c in new.columns if c not in prev.columns]
-    return new.sparkSession.createDataFrame(rows, "only_in string, column_name string")
+    """Per column of either release: whether each has it, and in how many rows it has a value.
+
+    A column that is there but has become empty shows as well as one that has gone. One pass
+    over each release.
+    """
+
+    def filled(df: DataFrame, name: str) -> DataFrame:
+        counts = df.agg(*[F.count(F.col(f"`{c}`")).alias(c) for c in df.columns])
+        pairs = [F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").alias(f"{name}_values")) for c in df.columns]
+        return counts.select(F.explode(F.array(*pairs)).alias("x")).select("x.*")
+
+    both = filled(prev, "previous").join(filled(new, "new"), "column_name", "full")
+    return both.select(
+        "column_name",
+        F.col("previous_values").isNotNull().alias("in_previous"),
+        F.col("new_values").isNotNull().alias("in_new"),
+        "previous_values",
+        "new_values",
+    )

@@ -80,42 +80,45 @@ def _fit_folds(matrix: DataFrame, name: str, folds: int, trees: int):
 _R2 = RegressionEvaluator  # evaluated on the executors, one number per fold
 
 
-def cv_regress(
+def cv_predictions(
     df: DataFrame,
     targets=tuple(TARGETS),
     regressors=("OLS", "RandomForest"),
     subsets=SUBSETS,
     folds: int = 5,
     trees: int = 100,
+    keep=lambda df, name: df.persist(),
 ) -> DataFrame:
-    """Mean and sd of the held-out R2 per subset, regressor and outcome."""
-    r2 = _R2(labelCol="label", predictionCol="prediction", metricName="r2")
-    rows = []
+    """Held-out (label, prediction) of every row, per subset, regressor and outcome.
+
+    ``keep`` stores the matrix of a subset and outcome, which every fold and regressor reads.
+    """
+    parts = []
     for which in subsets:
         for target in targets:
-            matrix = feature_matrix(df, target, which, folds).persist()
+            matrix = keep(feature_matrix(df, target, which, folds), "matrix")
             for name in regressors:
-                for fold, _, held_out in _fit_folds(matrix, name, folds, trees):
-                    rows.append((which, name, target, fold, float(r2.evaluate(held_out))))
-            matrix.unpersist()
-    scores = _scores(
-        df.sparkSession, rows, "subset string, regressor string, target string, fold int, r2 double"
-    )
-    return scores.groupBy("subset", "regressor", "target").agg(
+                names = {"subset": F.lit(which), "regressor": F.lit(name), "target": F.lit(target)}
+                for _, _, held_out in _fit_folds(matrix, name, folds, trees):
+                    rows = held_out.select(*COLOC_KEYS, "fold", "label", "prediction")
+                    parts.append(rows.withColumns(names))
+    return reduce(DataFrame.unionAll, parts)
+
+
+def cv_scores(predictions: DataFrame) -> DataFrame:
+    """Mean and sd over folds of the held-out R2 per subset, regressor and outcome."""
+    grid = ["subset", "regressor", "target"]
+    wrong = F.sum((F.col("label") - F.col("prediction")) ** 2)
+    spread = F.count(F.lit(1)) * F.var_pop("label")
+    r2 = (1 - F.try_divide(wrong, spread)).alias("r2")
+    return predictions.groupBy(*grid, "fold").agg(r2).groupBy(*grid).agg(
         F.avg("r2").alias("r2_mean"), F.stddev_pop("r2").alias("r2_sd")
     )
 
 
-def cv_predictions(
-    df: DataFrame, target: str, name: str, which: str = "all", folds: int = 5, trees: int = 100
-) -> DataFrame:
-    """Held-out (label, prediction) of every row."""
-    matrix = feature_matrix(df, target, which, folds)
-    held = [
-        out.select(*COLOC_KEYS, "fold", "label", "prediction")
-        for _, _, out in _fit_folds(matrix, name, folds, trees)
-    ]
-    return reduce(DataFrame.unionAll, held)
+def cv_regress(df: DataFrame, **grid) -> DataFrame:
+    """Scores of :func:`cv_predictions` with the same arguments."""
+    return cv_scores(cv_predictions(df, **grid))
 
 
 def feature_importance(

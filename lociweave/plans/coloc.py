@@ -14,11 +14,12 @@ from pyspark.sql import DataFrame, SparkSession
 from lociweave.config import Config
 from lociweave.operators import manifest as M
 from lociweave.operators.abf import PAIR, coloc_abf
+from lociweave.operators.audit import run_failures
 from lociweave.operators.conditional import reduced_sumstats
 from lociweave.operators.overlap import attach_signals, overlap_table
 from lociweave.operators.process import process_results
 from lociweave.schemas import COLOC_KEYS, COLOC_STATS, SIGNAL, SIGNAL_TO_COLOC
-from lociweave.session import materialise
+from lociweave.session import Scratch, materialise
 from lociweave.sources import readers, writers
 
 
@@ -31,6 +32,9 @@ class Inputs:
     panel: DataFrame | None = None
     previous: DataFrame | None = None
     custom_studies: DataFrame | None = None
+    n_samples: int | None = None
+    # statistics that an earlier run has already reduced, by signal id
+    reduced: DataFrame | None = None
 
 
 @dataclass
@@ -40,6 +44,7 @@ class Outputs:
     reduced: DataFrame
     coloc_raw: DataFrame
     coloc_processed: DataFrame
+    failures: DataFrame
 
 
 def build_manifest(overlap: DataFrame, inputs: Inputs, config: Config) -> DataFrame:
@@ -50,6 +55,11 @@ def build_manifest(overlap: DataFrame, inputs: Inputs, config: Config) -> DataFr
     return M.manifest_anti_previous(manifest, inputs.previous)
 
 
+def pending(signals: DataFrame, reduced: DataFrame) -> DataFrame:
+    """Signals without reduced statistics yet."""
+    return signals.join(reduced.select("sid").distinct(), "sid", "left_anti")
+
+
 def raw_results(posteriors: DataFrame, signals: DataFrame) -> DataFrame:
     """Posteriors per pair of signal ids as the raw result table."""
     wide = attach_signals(posteriors, signals, SIGNAL)
@@ -75,9 +85,10 @@ def run(
     )
     manifest = build_manifest(overlap, inputs, config)
     signals = keep(M.distinct_signals(manifest), "signals")
-    reduced = keep(
+    todo = signals if inputs.reduced is None else pending(signals, inputs.reduced)
+    fresh = keep(
         reduced_sumstats(
-            signals,
+            todo,
             inputs.sumstats,
             inputs.top_loci,
             inputs.panel,
@@ -86,13 +97,18 @@ def run(
             config.min_maf,
             config.method,
             config.max_collinearity,
+            n_samples=inputs.n_samples,
             keep=keep,
         ),
         "reduced",
     )
+    reduced = fresh if inputs.reduced is None else fresh.unionByName(inputs.reduced.select(*fresh.columns))
     tested = coloc_abf(manifest.select(*PAIR), reduced, config.p1, config.p2, config.p12)
     raw = keep(raw_results(tested, signals), "coloc_raw")
-    return Outputs(overlap, manifest, reduced, raw, process_results(raw, inputs.gene_lut, config))
+    failures = run_failures(signals, manifest, reduced, tested)
+    return Outputs(
+        overlap, manifest, reduced, raw, process_results(raw, inputs.gene_lut, config), failures
+    )
 
 
 def read_inputs(spark: SparkSession, config: Config) -> Inputs:
@@ -108,16 +124,34 @@ def read_inputs(spark: SparkSession, config: Config) -> Inputs:
             config.custom_studies,
             lambda s, p: readers.scan_parquet_projected(s, p, ["study_id"]),
         ),
+        n_samples=config.n_samples,
+        reduced=optional(config.reduced, lambda s, p: s.read.parquet(p)),
     )
 
 
 def run_files(spark: SparkSession, config: Config) -> Outputs:
-    """A run from the configured paths; results are written below ``config.output``."""
-    out = run(read_inputs(spark, config), config)
+    """A run from the configured paths; results are written below ``config.output``.
+
+    The reduced statistics are written too: given as ``config.reduced``, a later run skips their
+    signals. ``failures`` lists what could not be tested. Intermediate tables are deleted at the
+    end; the frames returned read the written results.
+    """
+    scratch = Scratch(spark)
+    out = run(read_inputs(spark, config), config, scratch.keep)
     base = config.output.rstrip("/")
     writers.write_json_gz(out.overlap.drop("left_sid", "right_sid"), f"{base}/overlap_table")
     writers.write_parquet_snappy(out.coloc_raw, f"{base}/coloc_raw.parquet")
     writers.write_csv_gz(out.coloc_raw, f"{base}/coloc_raw.csv")
     laid_out = writers.range_layout(out.coloc_processed, n=config.output_partitions)
     laid_out.write.mode("overwrite").parquet(f"{base}/coloc_processed.parquet")
-    return out
+    written = {}
+    for name in ("manifest", "reduced", "failures"):
+        getattr(out, name).write.mode("overwrite").parquet(f"{base}/{name}.parquet")
+        written[name] = spark.read.parquet(f"{base}/{name}.parquet")
+    scratch.clear()
+    return Outputs(
+        overlap=readers.scan_overlaps(spark, f"{base}/overlap_table"),
+        coloc_raw=spark.read.parquet(f"{base}/coloc_raw.parquet"),
+        coloc_processed=spark.read.parquet(f"{base}/coloc_processed.parquet"),
+        **written,
+    )

@@ -27,7 +27,7 @@ def merge_release(
     raw_prev: DataFrame,
     processed_new: DataFrame,
     processed_prev: DataFrame,
-    partitions: int = 100,
+    partitions: int | None = None,
     raw_keys: list[str] = MERGE_KEYS,
 ) -> Release:
     """Both tables of the merged release and the reports on what changed."""
@@ -46,7 +46,7 @@ def merge_release(
 
 
 def enrich_release(
-    processed: DataFrame, sumstats: DataFrame, partitions: int = 100
+    processed: DataFrame, sumstats: DataFrame, partitions: int | None = None
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """(results with effect sizes, audit of duplicates, rows the join added)."""
     merged = E.join_betas(processed, sumstats)

@@ -36,15 +36,17 @@ def both_sides(cols) -> list[str]:
 COLOC_KEYS = both_sides(COLOC_SIGNAL)
 COLOC_STATS = ["coloc_n_vars", "coloc_h0", "coloc_h1", "coloc_h2", "coloc_h3", "coloc_h4"]
 
-# Identity of one colocalisation test when two releases are merged. The left
-# side is a GWAS there, so its phenotype and bio-feature are not part of it.
-MERGE_KEYS = sided("left", ["study", "type", "chrom", "pos", "ref", "alt"]) + sided(
-    "right", ["study", "type", "phenotype", "bio_feature", "chrom", "pos", "ref", "alt"]
-)
-MERGE_KEYS_PROCESSED = [*MERGE_KEYS, "is_flipped", "right_gene_id"]
+# Identity of one colocalisation test when two raw releases are merged.
+MERGE_KEYS = COLOC_KEYS
+
+# Identity where the left side is known to be a GWAS and has no phenotype or bio-feature, as in
+# processed results. For raw results this is an option: it takes tests for one that differ only
+# in the left phenotype or bio-feature.
+MERGE_KEYS_GWAS_LEFT = [c for c in COLOC_KEYS if c not in ("left_phenotype", "left_bio_feature")]
+MERGE_KEYS_PROCESSED = [*MERGE_KEYS_GWAS_LEFT, "is_flipped", "right_gene_id"]
 
 # One left signal against one right dataset (whatever its lead variant).
-DEDUP_KEYS = COLOC_KEYS[:8] + sided("right", ["type", "study", "bio_feature", "phenotype"])
+DEDUP_KEYS = sided("left", COLOC_SIGNAL) + sided("right", ["type", "study", "bio_feature", "phenotype"])
 DEDUP_KEYS_ENRICHED = [c for c in DEDUP_KEYS if c not in ("left_phenotype", "left_bio_feature")]
 
 # Identity of a test across a manifest and an earlier result table.

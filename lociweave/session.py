@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 
@@ -35,7 +36,8 @@ def local_session(cpus: str = "*", shuffle_partitions: int = 8, **extra) -> Spar
 def shared_folder(spark: SparkSession) -> str:
     """The folder every executor sees, as the session names it.
 
-    Only a session without one (a local test) gets a folder of its own.
+    Only a local session without one, as in tests, gets a folder of its own, which goes when the
+    process ends. On a cluster a missing setting is an error.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if folder:
@@ -44,7 +46,11 @@ def shared_folder(spark: SparkSession) -> str:
     current = jsc.getCheckpointDir()
     if current.isDefined():
         return current.get()
-    folder = tempfile.mkdtemp(prefix="lociweave-")
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+    own = tempfile.TemporaryDirectory(prefix="lociweave-", ignore_cleanup_errors=True)
+    atexit.register(own.cleanup)
+    folder = own.name
     spark.sparkContext.setCheckpointDir(folder)
     return folder
 
@@ -64,3 +70,29 @@ def materialise(df: DataFrame, name: str, partitions: int | None = None) -> Data
     path = scratch_path(spark, name)
     (df.coalesce(partitions) if partitions else df).write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def remove_folder(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of the shared file system, whichever that is."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(target, True)
+
+
+class Scratch:
+    """Intermediate tables of one run below one folder of the shared file system.
+
+    ``keep`` writes a table there and reads it back; ``clear`` deletes the folder. Frames read from
+    it must not be used after that.
+    """
+
+    def __init__(self, spark: SparkSession):
+        self.spark, self.path = spark, scratch_path(spark, "run")
+
+    def keep(self, df: DataFrame, name: str) -> DataFrame:
+        path = f"{self.path}/{name}-{uuid.uuid4().hex}"
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def clear(self) -> None:
+        remove_folder(self.spark, self.path)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 from lociweave import schemas
 from lociweave.functions.scalars import none_to_null
@@ -55,15 +55,34 @@ def scan_sumstats_table(spark: SparkSession, path: str) -> DataFrame:
 
 
 def scan_coloc_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Result files with a header each, below one directory; unreadable ones are skipped."""
-    raw = (
+    """Result files with a header each, below one directory.
+
+    A file that cannot be read, a header with other columns or a row that does not fit the schema
+    is an error; :func:`malformed_coloc_rows` lists such rows.
+    """
+    return (
         spark.read.schema(schemas.COLOC_FILE)
         .option("header", True)
+        .option("enforceSchema", False)
+        .option("columnPruning", False)
+        .option("mode", "FAILFAST")
         .option("basePath", path)
-        .option("ignoreCorruptFiles", True)
         .csv(path)
     )
-    return raw
+
+
+def malformed_coloc_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of result files that do not fit the schema: (file, line) and what could be parsed."""
+    schema = StructType([*schemas.COLOC_FILE.fields, StructField("line", StringType())])
+    rows = (
+        spark.read.schema(schema)
+        .option("header", True)
+        .option("columnPruning", False)
+        .option("columnNameOfCorruptRecord", "line")
+        .csv(path)
+    )
+    parsed = [f"`{c}`" for c in schemas.COLOC_FILE.names]
+    return rows.filter("line is not null").select(F.col("_metadata.file_path").alias("file"), "line", *parsed)
 
 
 def scan_ld_tsv(spark: SparkSession, path: str) -> DataFrame:

@@ -9,8 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-RANGE_PARTITIONS = 100
-
 
 def _files(df: DataFrame, files: int | None, *cols: str) -> DataFrame:
     if files is not None:
@@ -47,10 +45,13 @@ def concat_json(
 
 
 def range_layout(
-    df: DataFrame, cols: list[str] | None = None, n: int = RANGE_PARTITIONS
+    df: DataFrame, cols: list[str] | None = None, n: int | None = None
 ) -> DataFrame:
     """Partition by genomic range and sort within.
 
+    Without ``n`` the session's shuffle partitions apply, which the adaptive planner joins to
+    partitions of the advised size.
+
     Other key columns follow the position in the range key, so a position with very
     many rows spreads over several partitions.
     """
@@ -60,7 +61,9 @@ def range_layout(
         for c in ("right_study", "right_chrom", "right_pos", "tag_pos")
         if c in df.columns and c not in cols
     ]
-    return df.repartitionByRange(n, *cols, *finer).sortWithinPartitions(*cols)
+    keys = [*cols, *finer]
+    ranged = df.repartitionByRange(*keys) if n is None else df.repartitionByRange(n, *keys)
+    return ranged.sortWithinPartitions(*cols)
 
 
 def partition_sumstats(df: DataFrame, path: str, mode: str = "append") -> None:

@@ -152,20 +152,35 @@ def test_log_sums_far_apart(spark):
         assert got[k].s12 == pytest.approx(_logsum([a + b for a, b in zip(l1, l2)]))
 
 
-@pytest.mark.parametrize("cc", [False, True])
-def test_pvalue_input(spark, cc):
+def test_pvalue_input_goes_by_each_rows_type(spark):
     from statistics import NormalDist
 
-    p = [1e-8, 0.3, 0.04]
-    df = spark.createDataFrame(
-        [(x, 0.2, 1000, 0.25) for x in p], "pval double, eaf double, n_total int, s double"
-    )
-    out = A.pvalue_dataset(df, cc).orderBy("pval").collect()
-    for r, x in zip(out, sorted(p)):
-        per_sample = 2 * 1000 * 0.2 * 0.8 * (0.25 * 0.75 if cc else 1)
+    data = [(p, 0.2, 1000, 0.25, cc) for p in (1e-8, 0.3, 0.04) for cc in (True, False, None)]
+    df = spark.createDataFrame(data, "pval double, eaf double, n_total int, s double, is_cc boolean")
+    for r in A.pvalue_dataset(df).collect():
+        per_sample = 2 * 1000 * 0.2 * 0.8 * (0.25 * 0.75 if r.is_cc else 1)
         assert r.v == pytest.approx(1 / per_sample)
-        assert r.z == pytest.approx(-NormalDist().inv_cdf(x / 2))
-        assert r.prior_sd == (0.2 if cc else 0.15)
+        assert r.z == pytest.approx(-NormalDist().inv_cdf(r.pval / 2))
+        assert r.prior_sd == (0.2 if r.is_cc else 0.15)
+
+
+def test_failures_name_what_was_not_tested(spark):
+    from lociweave.operators.audit import run_failures
+
+    signals = _signals(np.random.default_rng(7), 3)
+    frame = _frame(spark, signals).filter("sid <> X'02'")
+    broken = frame.withColumn("se", F.when((F.col("sid") == F.lit(bytes([1]))), 0.0).otherwise(F.col("se")))
+    pairs = _pairs(spark, [(0, 1), (0, 2)])
+    ids = spark.createDataFrame([(bytes([i]),) for i in range(3)], "sid binary")
+    got = run_failures(ids, pairs, broken, A.coloc_abf(pairs, broken)).collect()
+    named = {(bytes(r.left_sid), r.right_sid and bytes(r.right_sid), r.reason): r.n_rows for r in got}
+    a, b, c = (bytes([i]) for i in range(3))
+    assert named == {
+        (c, None, "no statistics"): 0,
+        (b, None, "unusable rows"): len(signals[1]),
+        (a, b, "no shared variant"): 0,
+        (a, c, "no shared variant"): 0,
+    }
 
 
 def test_left_window_uses_the_wider_right_rows(spark):

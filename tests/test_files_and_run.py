@@ -1,4 +1,5 @@
 import gzip
+from dataclasses import replace
 import os
 
 import numpy as np
@@ -10,7 +11,8 @@ from lociweave.config import Config
 from lociweave.operators import features as FE
 from lociweave.operators import ml
 from lociweave.plans import coloc, release
-from lociweave.schemas import COLOC_KEYS, CREDSET, MERGE_KEYS
+from lociweave.operators.ld import panel_size
+from lociweave.schemas import COLOC_KEYS, CREDSET, MERGE_KEYS, MERGE_KEYS_GWAS_LEFT
 from lociweave.sources import readers as R
 from lociweave.sources import writers as W
 
@@ -44,15 +46,24 @@ def test_gene_lut_last_entry_wins(spark, tmp_path):
     assert got == {"P1": "ENSG3", "P2": "ENSG4"}
 
 
-def test_result_files_with_a_broken_one(spark, tmp_path):
+def test_result_files_are_read_whole_or_not_at_all(spark, tmp_path):
     good = "nsnps,PP.H0.abf,PP.H1.abf,PP.H2.abf,PP.H3.abf,PP.H4.abf," + ",".join(COLOC_KEYS)
     values = "5,0.1,0.2,0.3,0.3,0.1,gwas,G,,,1,10,A,T,eqtl,Q,B,P,1,20,A,T"
     with gzip.open(tmp_path / "a.csv.gz", "wt") as out:
         out.write(f"{good}\n{values}\n")
-    (tmp_path / "b.csv.gz").write_bytes(b"not gzip at all")
     (tmp_path / "c.csv").write_text("")
     out = R.scan_coloc_csv(spark, str(tmp_path)).collect()
     assert len(out) == 1 and out[0]["PP.H3.abf"] == 0.3 and out[0].left_phenotype is None
+    assert R.malformed_coloc_rows(spark, str(tmp_path)).collect() == []
+    (tmp_path / "d.csv").write_text(f"{good}\n{values.replace('0.2', 'x')}\n{values}\n")
+    with pytest.raises(Exception, match="(?i)malformed|parse"):
+        R.scan_coloc_csv(spark, str(tmp_path)).collect()
+    broken = R.malformed_coloc_rows(spark, str(tmp_path)).collect()
+    assert [(r.file.rsplit("/", 1)[1], r.line) for r in broken] == [("d.csv", values.replace("0.2", "x"))]
+    (tmp_path / "d.csv").write_text("")
+    (tmp_path / "b.csv.gz").write_bytes(b"not gzip at all")
+    with pytest.raises(Exception, match="(?i)gzip|header|read"):
+        R.scan_coloc_csv(spark, str(tmp_path)).collect()
 
 
 def test_hive_layout_reads_back_nulls_and_prunes(spark, tmp_path):
@@ -77,11 +88,15 @@ def test_logs_are_read_whole(spark, tmp_path):
 @needs_data
 def test_whole_run_and_release(spark):
     t = lambda n: fixtures.table(spark, SF_DIR, n)
-    inputs = coloc.Inputs(t("credset"), t("sumstats"), t("top_loci"), t("gene_lut"), t("panel"))
+    inputs = coloc.Inputs(t("credset"), t("sumstats"), t("top_loci"), t("gene_lut"), t("panel"), n_samples=panel_size(t("panel")))
     out = coloc.run(inputs, Config(min_overlapping_vars=5, window_cond_kb=600))
     raw = out.coloc_raw.collect()
     assert raw and all(abs(sum(r[f"coloc_h{i}"] for i in range(5)) - 1) < 1e-9 for r in raw)
     assert out.coloc_processed.filter("left_type <> 'gwas'").count() == 0
+    untested = out.failures.filter("reason = 'no shared variant'").count()
+    assert untested == out.manifest.count() - len(raw)
+    # a run that is given the reduced statistics has no signal left to reduce
+    assert coloc.pending(out.reduced.select("sid").distinct(), out.reduced).count() == 0
     # a second run against the first one's results has nothing left to do
     inputs.previous = out.coloc_raw
     left = coloc.build_manifest(out.overlap, inputs, Config())
@@ -91,7 +106,7 @@ def test_whole_run_and_release(spark):
     merged = release.merge_release(*twice)
     assert merged.raw.count() == out.coloc_raw.select(*MERGE_KEYS).distinct().count()
     assert merged.missing.count() == 0
-    assert release.merge_release(*twice, COLOC_KEYS).raw.count() == len(raw)
+    assert release.merge_release(*twice, MERGE_KEYS_GWAS_LEFT).raw.count() <= len(raw)
     best, twins, added = release.enrich_release(out.coloc_processed, t("sumstats"), 4)
     assert best.count() == out.coloc_processed.count() and added.first().n_added == 0
 
@@ -108,7 +123,11 @@ def test_run_from_files(spark, tmp_path):
         credset=p("credset"), sumstats=p("sumstats"), top_loci=p("top_loci"), gene_lut=p("lut"),
         output=p("out"), min_overlapping_vars=5, method="distance", output_partitions=3,
     )
-    coloc.run_files(spark, config)
+    result = coloc.run_files(spark, config)
+    again = coloc.run_files(spark, replace(config, reduced=p("out/reduced.parquet"), output=p("out2")))
+    assert again.reduced.count() == result.reduced.count()
+    same = [*COLOC_KEYS, "coloc_n_vars"]
+    assert sorted(again.coloc_raw.select(*same).collect(), key=str) == sorted(result.coloc_raw.select(*same).collect(), key=str)
     raw = spark.read.parquet(p("out/coloc_raw.parquet"))
     overlap = R.scan_overlaps(spark, p("out/overlap_table"))
     assert 0 < raw.count() <= overlap.count()
@@ -138,7 +157,7 @@ def test_cross_validation_bounds(model_rows):
 
 
 def test_predictions_cover_every_row_once(model_rows):
-    out = ml.cv_predictions(model_rows, "h3", "OLS", "molecular_trait")
+    out = ml.cv_predictions(model_rows, ["h3"], ["OLS"], ["molecular_trait"])
     assert out.count() == model_rows.filter("right_type <> 'gwas'").count()
     assert out.select(F.max(F.abs(F.col("label") - F.col("prediction")))).first()[0] < 0.2
 

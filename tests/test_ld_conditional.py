@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from lociweave.functions.stats import two_sided_p, z_from_p
 from lociweave.operators import conditional as C
@@ -57,8 +58,19 @@ def test_ld_equals_numpy(spark, panel, panel_data, monkeypatch, limits):
     assert all(got[i, i] == pytest.approx(1.0) for i in (0, 3, 5))
 
 
-def test_panel_size(panel):
+def test_panel_size(spark, panel):
     assert L.panel_size(panel) == 80
+    with pytest.raises(ValueError):
+        L.ld_pairs(_index(spark, [0]), panel, 4)
+
+
+def test_only_wanted_tags_are_paired(spark, panel):
+    index = _index(spark, [0, 3])
+    every = L.ld_pairs(index, panel, 4, 0.0, 80)
+    some = L.ld_pairs(index, panel, 4, 0.0, 80, _index(spark, [1, 2]))
+    key = lambda r: (r.lead_pos, r.tag_pos, round(r.r, 9))
+    wanted = {1000 * (i + 1) for i in (0, 1, 2, 3)}
+    assert {key(r) for r in some.collect()} == {key(r) for r in every.collect() if r.tag_pos in wanted}
 
 
 def test_grch38_windows(spark):
@@ -134,9 +146,8 @@ def _conditioning(spark, panel_data, lead_sets):
 LEADS = {1: {0: 1e-9}, 2: {1: 1e-5, 6: 1e-9}, 3: {0: 1e-8, 4: 1e-20, 7: 1e-3, 10: 1e-4}}
 
 
-@pytest.mark.parametrize(("max_r2", "slots"), [(0.9, 8), (0.9, 3), (0.3, 8), (0.3, 0)])
-def test_conditioning_equals_brute_force(spark, panel, panel_data, monkeypatch, max_r2, slots):
-    monkeypatch.setattr(C, "SLOTS", slots)
+@pytest.mark.parametrize("max_r2", [0.9, 0.3])
+def test_conditioning_equals_brute_force(spark, panel, panel_data, max_r2):
     windowed, conds, stats = _conditioning(spark, panel_data, LEADS)
     ld = L.ld_pairs(conds.select(*VARIANT), panel, 100, 0.0, 80)
     got = {}
@@ -151,17 +162,6 @@ def test_conditioning_equals_brute_force(spark, panel, panel_data, monkeypatch,
             assert got[sid][j][2] == pytest.approx(math.erfc(abs(b / s) / math.sqrt(2)), rel=1e-6)
 
 
-def test_one_lead_closed_form_equals_solver(spark, panel, panel_data):
-    windowed, conds, _ = _conditioning(spark, panel_data, {1: {2: 1e-9}, 4: {8: 1e-9}})
-    ld = L.ld_pairs(conds.select(*VARIANT), panel, 100, 0.0, 80)
-    one, many = (
-        {(r.sid[0], r.pos): (r.beta, r.se) for r in f(windowed, conds, ld).collect()}
-        for f in (C.condition_on_one, C.condition_on_many)
-    )
-    assert one.keys() == many.keys() and one
-    assert all(one[k] == pytest.approx(many[k], rel=1e-9) for k in one)
-
-
 def test_signal_whose_leads_the_panel_lacks_is_reported(spark, panel, panel_data):
     windowed, conds, _ = _conditioning(spark, panel_data, {1: {2: 1e-9}})
     conds = conds.withColumn("alt", conds["ref"])
@@ -252,7 +252,7 @@ def test_reduced_sumstats_without_ld_is_the_plain_window(spark, panel):
         "study_id string, phenotype_id string, bio_feature string, chrom string, pos int, ref string, alt string",
     )
     stats = _sumstats(spark).filter("eaf = 0.3 or pos = 7000").fillna({"eaf": 0.4})
-    out = C.reduced_sumstats(signals, stats, loci, panel, window_coloc_kb=4, window_cond_kb=8, min_maf=0.01)
+    out = C.reduced_sumstats(signals, stats, loci, panel, window_coloc_kb=4, window_cond_kb=8, min_maf=0.01, n_samples=80)
     by = {}
     for r in out.collect():
         by.setdefault(bytes(r.sid), {})[r.pos] = r.beta
@@ -262,12 +262,17 @@ def test_reduced_sumstats_without_ld_is_the_plain_window(spark, panel):
 
 
 def test_normal_helpers(spark):
-    z = [0.0, 1.0, -3.5, 37.0]
-    df = spark.createDataFrame([(v,) for v in z], "z double").select("z", two_sided_p("z").alias("p"))
+    z = [0.0, 1e-9, 0.3, 1.0, -3.5, 4.2, 8.0, 37.0, 60.0, None]
+    df = spark.createDataFrame([(v,) for v in z], "z double").select("z", two_sided_p(F.col("z")).alias("p"))
     for r in df.collect():
-        assert r.p == pytest.approx(math.erfc(abs(r.z) / math.sqrt(2)))
-    back = spark.createDataFrame([(0.05,), (1e-200,), (0.0,)], "p double").select("p", z_from_p("p").alias("z"))
+        want = None if r.z is None else math.erfc(abs(r.z) / math.sqrt(2))
+        assert r.p == (want if not want else pytest.approx(want, rel=1e-11))
+    ps = [0.05, 1e-200, 0.0, 1.0, 0.999, 0.3, 1e-8, 1e-300, 1.5, None]
+    back = spark.createDataFrame([(v,) for v in ps], "p double").select("p", z_from_p(F.col("p")).alias("z"))
     got = {r.p: r.z for r in back.collect()}
+    assert got[None] is None and got[1.5] is None and got[1.0] == pytest.approx(0.0, abs=1e-12)
+    for p in (0.999, 0.3, 1e-8, 1e-300):
+        assert math.erfc(got[p] / math.sqrt(2)) == pytest.approx(p, rel=1e-9)
     assert got[0.05] == pytest.approx(1.959963984540054)
     assert got[0.0] is None or math.isnan(got[0.0])
     assert math.erfc(got[1e-200] / math.sqrt(2)) == pytest.approx(1e-200, rel=1e-6)

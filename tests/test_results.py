@@ -106,7 +106,9 @@ def test_merge(spark, rows):
     assert rows(both, "left_pos", "prev_coloc_h4", "new_coloc_h4") == [(10, 0.1, 0.9), (11, 0.2, 0.6)]
     again = merge.merge_raw(merged, old)
     assert rows(again, *MERGE_KEYS, "coloc_h4") == rows(merged, *MERGE_KEYS, "coloc_h4")
-    assert rows(merge.schema_drift_report(new, old)) == [("previous", "note")]
+    drift = {r.column_name: tuple(r)[1:] for r in merge.schema_drift_report(new, old).collect()}
+    assert drift["note"] == (True, False, old.count(), None)
+    assert drift["coloc_h4"] == (True, True, old.count(), new.count())
 
 
 def test_join_betas_uses_the_left_variant_in_the_right_study(spark):
