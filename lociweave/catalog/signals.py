@@ -27,7 +27,10 @@ from lociweave.operators import manifest as M
 from lociweave.operators import sumstats as SS
 from lociweave.operators.audit import run_failures
 from lociweave.operators.overlap import attach_signals
-from lociweave.schemas import COLOC_KEYS, SIGNAL, VARIANT
+from lociweave.schemas import COLOC_KEYS, SIGNAL, SUMSTATS, VARIANT
+from lociweave.session import scratch_path
+from lociweave.sources import readers as R
+from lociweave.sources import writers as W
 
 V = csv(VARIANT)
 MAF = "case when eaf <= 0.5 then eaf else 1 - eaf end"
@@ -110,15 +113,15 @@ def _(t):
 
 @query(
     "chrom_to_string",
-    "select cast(cast(chrom as int) as varchar) as chrom, count(*) as n from sumstats group by 1",
+    "select case chrom when '5' then 'X' when '4' then 'MT' else chrom end as chrom, study_id, pos, beta from sumstats",
     ["sumstats"],
 )
 def _(t):
-    # a table whose chromosome was stored as a number, compared as text again
-    numeric = t("sumstats").withColumn("chrom", F.col("chrom").cast("int"))
-    return numeric.groupBy(F.col("chrom").cast("string").alias("chrom")).agg(
-        F.count(F.lit(1)).alias("n")
-    )
+    # chromosomes as directory names, of which most look like numbers, read back as text
+    named = F.when(F.col("chrom") == "5", "X").when(F.col("chrom") == "4", "MT").otherwise(F.col("chrom"))
+    out = scratch_path(t.spark, "sumstats_by_chrom")
+    W.partition_sumstats(t("sumstats").select(*SUMSTATS.names).withColumn("chrom", named), out)
+    return R.scan_sumstats_table(t.spark, out).select("chrom", "study_id", "pos", "beta")
 
 
 @query(
@@ -403,7 +406,7 @@ ONE_CTES = [
 ]
 
 
-def _conditioning_inputs(t, kb: int):
+def conditioning_inputs(t, kb: int):
     """Windowed rows, leads to condition on and their LD, as a run keeps them."""
     windowed = t.derived(
         f"windowed_{kb}", lambda: SS.window_join(signals(t), t("sumstats"), kb, 0.01)
@@ -420,7 +423,7 @@ def _conditioning_inputs(t, kb: int):
 
 def _one_lead(t):
     """Signals with exactly one other lead within the window, conditioned on it."""
-    windowed, conds, ld = _conditioning_inputs(t, ONE_KB)
+    windowed, conds, ld = conditioning_inputs(t, ONE_KB)
     single = conds.groupBy("sid").count().filter("count = 1").select("sid")
     return C.conditional_sumstats(
         windowed.join(single, "sid", "left_semi"), conds.join(single, "sid", "left_semi"), ld
@@ -445,7 +448,7 @@ def _(t):
     ONE_CTES,
 )
 def _(t):
-    windowed, _, _ = _conditioning_inputs(t, ONE_KB)
+    windowed, _, _ = conditioning_inputs(t, ONE_KB)
     merged = C.merge_conditional(windowed, _one_lead(t))
     out = _keyed(t, merged).select("sid", *VARIANT, "beta", "beta_cond", "se_cond")
     return rounded(out, "beta_cond", "se_cond")
@@ -454,7 +457,7 @@ def _(t):
 @query("conditional_sumstats_many")
 def _(t):
     # several leads per signal: needs a matrix inverse, checked against brute force
-    out = C.conditional_sumstats(*_conditioning_inputs(t, 1000))
+    out = C.conditional_sumstats(*conditioning_inputs(t, 1000))
     return _keyed(t, out).select("sid", *VARIANT, "beta", "se", "pval")
 
 

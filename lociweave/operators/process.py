@@ -74,27 +74,28 @@ def none_to_null_columns(df: DataFrame, columns=NONE_COLUMNS) -> DataFrame:
     return df.withColumns({c: none_to_null(F.col(c)) for c in columns if c in df.columns})
 
 
-def gene_id_map(df: DataFrame, lut: DataFrame) -> DataFrame:
-    """``left_gene_id`` and ``right_gene_id``: Ensembl genes only.
+def gene_id_map(df: DataFrame, lut: DataFrame, sides=("left", "right")) -> DataFrame:
+    """``left_gene_id`` and ``right_gene_id``, or that of one side: Ensembl genes only.
 
     eQTL phenotypes are looked up, and stand for themselves when not listed; sQTL
-    phenotypes carry the gene as the fifth ``^``-separated field.
+    phenotypes carry the gene as the fifth ``^``-separated field. Rows of other types need no
+    entry; they get keys that no phenotype has, spread over the join's partitions.
     """
     out = df
-    for side in ("left", "right"):
-        genes = broadcast_if_small(
-            lut.select(F.col("phenotype_id").alias(f"{side}_phenotype"), F.col("gene_id").alias("_g"))
-        )
+    for side in sides:
+        genes = broadcast_if_small(lut.select(F.col("phenotype_id").alias("_p"), F.col("gene_id").alias("_g")))
         phenotype = F.col(f"{side}_phenotype")
+        spread = F.concat(F.lit("\0"), F.pmod(F.xxhash64(*DEDUP_KEYS), F.lit(4096)).cast("string"))
         gene = F.when(F.col(f"{side}_type") == "eqtl", F.coalesce("_g", phenotype)).when(
             F.col(f"{side}_type") == "sqtl", F.get(F.split(phenotype, "\\^"), F.lit(4))
         )
         out = (
-            out.join(genes, f"{side}_phenotype", "left")
+            out.withColumn("_p", F.when(F.col(f"{side}_type") == "eqtl", phenotype).otherwise(spread))
+            .join(genes, "_p", "left")
             .withColumn(f"{side}_gene_id", ensembl_only(gene))
-            .drop("_g")
+            .drop("_g", "_p")
         )
-    return out.select(*df.columns, "left_gene_id", "right_gene_id")
+    return out.select(*df.columns, *[f"{side}_gene_id" for side in sides])
 
 
 def drop_null_stats(df: DataFrame) -> DataFrame:
@@ -110,7 +111,9 @@ def process_results(raw: DataFrame, lut: DataFrame, config: Config = Config()) -
         df = left_gwas_only(df)
     if config.deduplicate_right:
         df = dedup_keep_best(df)
-    df = none_to_null_columns(gene_id_map(df, lut)).drop("left_sumstat", "right_sumstat")
+    # a GWAS on the left has no gene
+    df = gene_id_map(df, lut, ("right",) if config.left_gwas_only else ("left", "right"))
+    df = none_to_null_columns(df).drop("left_sumstat", "right_sumstat")
     if config.left_gwas_only:
-        df = df.drop("left_gene_id", "left_bio_feature", "left_phenotype")
+        df = df.drop("left_bio_feature", "left_phenotype")
     return drop_null_stats(df)
