@@ -12,14 +12,17 @@ EDGE = 2_000
 BROADCAST_ROWS = 200_000
 
 
+def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> bool:
+    """Whether a table has at most ``max_rows`` rows; the probe stops after one more."""
+    return df.limit(max_rows + 1).count() <= max_rows
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """Hint a broadcast only when a row count proves the table small.
 
-    The probe stops after ``max_rows + 1`` rows. Beyond the bound the table is
-    returned without a hint and the join falls back to a shuffle.
+    Beyond the bound the table is returned without a hint and the join falls back to a shuffle.
     """
-    probe = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if probe <= max_rows else df
+    return F.broadcast(df) if is_small(df, max_rows) else df
 
 
 def hashed_join(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:

@@ -12,7 +12,7 @@ from lociweave.functions.scalars import (
     maf_at_least,
     variant_id,
 )
-from lociweave.operators.skew import broadcast_if_small, hashed_join
+from lociweave.operators.skew import broadcast_if_small, hashed_join, is_small
 from lociweave.schemas import SUMSTATS, VARIANT
 
 # Positions are joined by bucket first; finer than the windows, so that few rows
@@ -91,7 +91,9 @@ def window_join(
     studies without signals before anything is shuffled.
 
     Signals are copied to the position buckets their window touches; a row has
-    exactly one bucket. Hot buckets are left to the adaptive skew join, which can
+    exactly one bucket. Where the list of (study, chromosome, bucket) that signals touch is
+    small enough to broadcast, rows outside it are dropped while scanning, and only rows near a
+    window are shuffled. Hot buckets are left to the adaptive skew join, which can
     split the large side because nothing above relies on this join's partitioning.
     """
     half = F.lit(window_kb) if isinstance(window_kb, int) else window_kb
@@ -128,6 +130,10 @@ def window_join(
         F.floor(F.col("pos") / bucket_bp).cast("int").alias("bucket"),
         *payload,
     )
+    place = ["study_id", "chrom", "bucket"]
+    touched = keyed.select(*place).distinct()
+    if is_small(touched):
+        sources = sources.join(F.broadcast(touched), place, "left_semi")
     return (
         hashed_join(keyed, sources, ["study_id", "pattern", "pk", "bk", "chrom", "bucket"])
         .filter(F.col("pos").between(lo, hi))
