@@ -106,6 +106,46 @@ def closest(probes: np.ndarray, known: np.ndarray, k: int) -> tuple[np.ndarray,
     return i, j, np.sqrt(((probes[i] - known[j]) ** 2).sum(1))
 
 
+class Best:
+    """The ``k`` closest entries of every query that a task has met, over all its cells.
+
+    Held until there are ``limit`` of them, so a task hands on a few rows per query and not a few
+    per query and cell, in bounded memory.
+    """
+
+    def __init__(self, k: int, limit: int = 200_000):
+        self.k, self.limit, self.parts, self.count = k, limit, [], 0
+
+    def add(self, uids: np.ndarray, scores: np.ndarray, ids: pa.Array) -> None:
+        self.parts.append((uids, scores, ids))
+        self.count += len(uids)
+
+    def _shrink(self) -> None:
+        uids, scores = (np.concatenate([p[i] for p in self.parts]) for i in (0, 1))
+        ids = pa.concat_arrays([p[2] for p in self.parts])
+        smallest = pa.compute.list_element(ids, 0).to_numpy(zero_copy_only=False)
+        order = np.lexsort((smallest, scores, uids))
+        first = np.flatnonzero(np.r_[True, uids[order][1:] != uids[order][:-1]])
+        rank = np.arange(len(order)) - np.repeat(first, np.diff(np.r_[first, len(order)]))
+        kept = order[rank < self.k]
+        self.parts, self.count = [(uids[kept], scores[kept], ids.take(pa.array(kept)))], len(kept)
+
+    def full(self) -> bool:
+        """Whether there are too many to hold even when only the closest are kept."""
+        if self.count < self.limit:
+            return False
+        self._shrink()
+        return self.count >= self.limit // 2
+
+    def take(self) -> pa.RecordBatch:
+        if self.parts:
+            self._shrink()
+        empty = (np.zeros(0, np.int64), np.zeros(0), pa.array([], pa.list_(pa.int64())))
+        uids, scores, ids = self.parts[0] if self.parts else empty
+        self.parts, self.count = [], 0
+        return pa.RecordBatch.from_arrays([pa.array(uids), pa.array(scores), ids], names=["uid", "score", "ids"])
+
+
 def _matrix(column: pa.Array, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims).astype(np.float64)
 
@@ -229,9 +269,11 @@ def search(
     probes = placed.filter("asked").select("vector", "ids").mapInArrow(
         probe, "cell long, strip long, ids array<long>, vector array<float>"
     )
-    strips_of = F.element_at(F.array(*[F.lit(int(s)) for s in strips]), (F.col("cell") + 1).cast("int")) if strips.max() > 1 else F.lit(1)
-    held = placed.select(
-        "cell", F.pmod(F.xxhash64("vector"), strips_of).alias("strip"), "ids", "vector", F.lit(False).alias("probe")
+    crowded = [(int(c), int(strips[c])) for c in np.flatnonzero(strips > 1)]  # at most one row per cell
+    crowded = placed.sparkSession.createDataFrame(crowded, "cell long, strips int")
+    own_strip = F.pmod(F.xxhash64("vector"), F.coalesce("strips", F.lit(1)))
+    held = placed.join(F.broadcast(crowded), "cell", "left").select(
+        "cell", own_strip.alias("strip"), "ids", "vector", F.lit(False).alias("probe")
     )
     both = held.union(probes.select("cell", "strip", "ids", "vector", F.lit(True).alias("probe")))
     # entries come first in their strip; its queries follow and are answered in blocks
@@ -240,6 +282,7 @@ def search(
     def rerank(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         key, parts, ids = None, [], []
         known = np.zeros((0, dims))
+        best = Best(k + 1)
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -260,9 +303,10 @@ def search(
                 step = max(1, (4 << 20) // len(known))
                 for c in range(a, b, step):
                     i, j, gap = closest(x[c : min(b, c + step)], known, k + 1)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(uids[c - a + i]), pa.array(gap), mine.take(pa.array(j))], names=["uid", "score", "ids"]
-                    )
+                    best.add(uids[c - a + i], gap, mine.take(pa.array(j)))
+                    if best.full():
+                        yield best.take()
+        yield best.take()
 
     near = ordered.mapInArrow(rerank, "uid long, score double, ids array<long>")
     by_score = Window.partitionBy("uid").orderBy("score", "id")

@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -187,3 +188,19 @@ def test_cells_come_in_the_order_of_the_summed_distance():
     want = [c for c in np.argsort(sums, kind="stable").tolist() if sizes[c]]
     assert [c for c, _ in multi_index.traversal(a, b, sizes)] == want
     assert multi_index.visited(a, b, sizes, 7) == want[: int(np.searchsorted(np.cumsum(sizes[want]), 7)) + 1]
+
+
+def test_best_keeps_the_closest_whatever_the_limit():
+    rng = np.random.default_rng(0)
+    rows = [(int(q), float(s), [int(i)]) for q, s, i in zip(rng.integers(0, 9, 600), rng.integers(0, 20, 600), rng.permutation(600), strict=True)]
+    want = {q: sorted((s, i[0]) for p, s, i in rows if p == q)[:5] for q in range(9)}
+    for limit in (10, 100, 10_000):
+        best, out = multi_index.Best(5, limit), []
+        for a in range(0, 600, 7):
+            q, s, i = zip(*rows[a : a + 7], strict=True)
+            best.add(np.array(q), np.array(s), pa.array(i, pa.list_(pa.int64())))
+            if best.full():
+                out += best.take().to_pylist()
+        out += best.take().to_pylist()
+        assert {q: sorted((r["score"], r["ids"][0]) for r in out if r["uid"] == q)[:5] for q in range(9)} == want
+        assert best.take().num_rows == 0
