@@ -25,6 +25,8 @@ MAGIC = b"\x1f\x8b\x08"
 VERSION = b"WARC/1.1\r\n"
 #: Bytes of an archive that one reading task scans, and that are read or inflated at a time.
 SPLIT_BYTES, BLOCK = 32 << 20, 1 << 20
+#: Reading tasks at most; beyond it a task takes several ranges.
+MOST_TASKS = 100_000
 #: A header longer than this is not taken for one.
 HEADER_LIMIT = 1 << 20
 DATE = "2000-01-01T00:00:00Z"
@@ -238,7 +240,9 @@ def read_archives(archives: DataFrame, split_bytes: int = SPLIT_BYTES, with_payl
     """
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(split_bytes).cast("long"))
     ranges = archives.filter("bytes > 0").select("path", "bytes", F.explode(starts).alias("start"))
-    spread = ranges.repartition("path", "start")
+    # a range is a few bytes as a row and much work as a task, so the number of tasks is fixed here
+    total = archives.agg(F.sum(F.ceil(F.col("bytes") / split_bytes)).alias("n")).first()["n"]
+    spread = ranges.repartition(min(int(total or 1), MOST_TASKS), "path", "start")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
