@@ -28,8 +28,11 @@ from lociweave.llm import text as tx
 WINDOW = 20
 MINIMISER = 3
 #: Buckets per input partition: one bucket is what a task holds at a time.
-BUCKETS_PER_PARTITION = 8
-#: A document is named by its id (nulls last) and a hash of its text.
+BUCKETS_PER_PARTITION = 6
+#: Bytes of text that a task cuts at a time, and how hard it squeezes what it sends.
+CHUNK_BYTES, SQUEEZE = 4 << 20, 6
+#: A document is named by its id (nulls last) and 32 bits of a hash of its text, which tell rows
+#: with equal ids apart.
 DOC = ["no_id", "doc", "text_key"]
 
 
@@ -89,16 +92,23 @@ class SuperKmers:
         ] if len(self.doc) else []
 
 
-def _pack(doc_columns: list[np.ndarray], first: np.ndarray, count: np.ndarray, strings: list[bytes]) -> bytes:
-    head = np.array([len(first)], dtype=np.int64)
-    body = [head, *doc_columns, first, count]
-    return b"".join([*(x.astype(np.int64).tobytes() for x in body), b" ".join(strings)])
+def _pack(columns: list[np.ndarray], strings: list[bytes]) -> bytes:
+    """Columns DOC, first window and count of super-k-mers, each in as few bytes per value as the
+    largest needs, and the strings."""
+    parts = [np.array([len(strings)], dtype=np.int64).tobytes()]
+    for c in columns:
+        kind = np.min_scalar_type(int(c.max())) if c.min() >= 0 else np.dtype(np.int64)
+        parts += [kind.str[1:].encode(), c.astype(kind).tobytes()]
+    return b"".join([*parts, b" ".join(strings)])
 
 
 def _unpack(data: bytes) -> tuple[np.ndarray, bytes]:
-    n = int(np.frombuffer(data, np.int64, 1)[0])
-    width = len(DOC) + 2
-    return np.frombuffer(data, np.int64, n * width, 8).reshape(width, n), data[8 + 8 * n * width :]
+    n, at, columns = int(np.frombuffer(data, np.int64, 1)[0]), 8, []
+    for _ in range(len(DOC) + 2):
+        kind = np.dtype(data[at : at + 2].decode())
+        columns.append(np.frombuffer(data, kind, n, at + 2).astype(np.int64))
+        at += 2 + n * kind.itemsize
+    return np.stack(columns), data[at:]
 
 
 def repeated_windows(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, buckets: int | None = None) -> DataFrame:
@@ -121,8 +131,8 @@ def repeated_windows(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, bucke
         return pa.RecordBatch.from_arrays(arrays, names=names)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, squeeze = tx.WordHashes(), zstandard.ZstdCompressor(level=1)
-        for batch in tx.chunks(batches, "text"):
+        hashes, squeeze = tx.WordHashes(), zstandard.ZstdCompressor(level=SQUEEZE)
+        for batch in tx.chunks(batches, "text", CHUNK_BYTES):
             keys = np.stack([batch.column(c).to_numpy(zero_copy_only=False) for c in DOC])
             # chunk documents in their order, so that an earlier index is an earlier document;
             # repeated rows get one index
@@ -137,7 +147,8 @@ def repeated_windows(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, bucke
             stays = np.fromiter((earliest.setdefault(s, i) == i for i, s in enumerate(strings)), bool, len(strings))
             doc, start, windows = _intervals(found.doc[~stays], found.first[~stays], found.count[~stays])
             if len(doc):  # marks go along under a bucket of their own
-                yield rows([-1 - (keys[2, doc] & 0xFFFF), *keys[:, doc], start, windows])
+                spread = tx.scrambled(keys[1, doc].view(np.uint64)) >> np.uint64(48)
+                yield rows([-1 - spread.astype(np.int64), *keys[:, doc], start, windows])
             kept = np.flatnonzero(stays)
             bucket = (found.minimum[kept].astype(np.uint64) % np.uint64(buckets)).astype(np.int64)
             by = np.argsort(bucket, kind="stable")
@@ -147,7 +158,8 @@ def repeated_windows(docs: DataFrame, k: int = WINDOW, m: int = MINIMISER, bucke
             for i, j in zip(a, b, strict=True):
                 mine = kept[i:j]
                 columns = [keys[c, found.doc[mine]] for c in range(len(DOC))]
-                body = _pack(columns, found.first[mine], found.count[mine], [strings[x] for x in mine.tolist()])
+                columns += [found.first[mine], found.count[mine]]
+                body = _pack(columns, [strings[x] for x in mine.tolist()])
                 out.append(squeeze.compress(body))
                 ids.append(int(bucket[i]))
             if out:
@@ -235,7 +247,7 @@ def _named(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(
         F.col(id_col).isNull().cast("long").alias("no_id"),
         F.coalesce(F.col(id_col).cast("long"), F.lit(0)).alias("doc"),
-        F.xxhash64(F.col(text_col)).alias("text_key"),
+        F.xxhash64(F.col(text_col)).bitwiseAND(0xFFFFFFFF).alias("text_key"),
         F.col(text_col).cast("binary").alias("text"),
         *[F.col(c).alias(f"_row_{i}") for i, c in enumerate(docs.columns)],
     )
