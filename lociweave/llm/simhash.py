@@ -32,8 +32,10 @@ SEED = 42
 RADIUS = 2
 BANDS = 4
 SHARD_SIZE = 4096
-#: Shingles whose bits are counted, and probes that walk a tree, at a time.
+#: Shingles whose bits are counted at a time.
 BLOCK = 1024
+#: Rows of complete shards that a task solves at a time, and nodes that its probes may meet at once.
+AT_ONCE, VISITS = 50_000, 2_000_000
 
 
 def fingerprint(words: list[bytes], shingle: int) -> int:
@@ -76,41 +78,56 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     return picked.mapInArrow(run, schema)
 
 
-class BKTree:
-    """Fingerprints as a tree; ``child[i, d]`` is node i's child at Hamming distance d, or -1."""
+class BKTrees:
+    """The BK-trees of many shards, in flat arrays.
 
-    def __init__(self, values: np.ndarray):
+    Node i stands for ``values[i]``. ``roots[i]`` is the root of its tree, the tree's first node in
+    ``nodes``. A child is keyed by parent and Hamming distance; the trees grow level by level, all
+    at once, to what inserting their nodes in order gives.
+    """
+
+    WIDTH = 65
+
+    def __init__(self, values: np.ndarray, nodes: np.ndarray, roots: np.ndarray):
         self.values = values
-        self.child = np.full((len(values), 65), -1, dtype=np.int32)
-        plain = values.tolist()
-        edges: list[dict[int, int]] = [{} for _ in plain]
-        for i in range(1, len(plain)):
-            value, node = plain[i], 0
-            while True:
-                distance = (value ^ plain[node]).bit_count()
-                below = edges[node].get(distance)
-                if below is None:
-                    edges[node][distance] = i
-                    self.child[node, distance] = i
-                    break
-                node = below
-
-    def search(self, probes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(probe index, node, distance) of all pairs within ``radius``, in blocks."""
-        for first in range(0, len(probes), BLOCK):
-            probe = np.arange(first, min(len(probes), first + BLOCK))
-            node = np.zeros(len(probe), dtype=np.int64)
+        waiting, at = nodes[nodes != roots[nodes]], roots[nodes[nodes != roots[nodes]]]
+        keys, children = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while len(waiting):
+            own = at * self.WIDTH + np.bitwise_count(values[waiting] ^ values[at])
+            edges, first, edge = np.unique(own, return_index=True, return_inverse=True)
+            keys.append(edges)
+            children.append(waiting[first])
+            below = np.ones(len(waiting), bool)  # all but the first of an edge go on below it
+            below[first] = False
+            waiting, at = waiting[below], waiting[first][edge][below]
+        order = np.argsort(np.concatenate(keys))
+        self.keys, self.children = np.concatenate(keys)[order], np.concatenate(children)[order]
+
+    def _below(self, node: np.ndarray, distance: np.ndarray) -> np.ndarray:
+        """Child of each node at each distance, or -1."""
+        key = node * self.WIDTH + distance
+        place = np.minimum(np.searchsorted(self.keys, key), max(0, len(self.keys) - 1))
+        if not len(self.keys):
+            return np.full(len(key), -1)
+        return np.where((self.keys[place] == key) & (distance >= 0) & (distance < self.WIDTH), self.children[place], -1)
+
+    def search(self, probes: np.ndarray, starts: np.ndarray, sizes: np.ndarray, radius: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(probe, node, distance) of all pairs within ``radius``. Each probe, a place in
+        ``values``, walks the tree whose root is in ``starts`` and has ``sizes`` nodes; as many
+        walk at a time as meet at most ``VISITS`` nodes."""
+        block = np.cumsum(sizes) // VISITS
+        cuts = np.flatnonzero(np.diff(block)) + 1
+        for a, b in zip([0, *cuts], [*cuts, len(probes)], strict=True):
+            probe, node = probes[a:b], starts[a:b]
             while len(probe):
-                distance = np.bitwise_count(probes[probe] ^ self.values[node]).astype(np.int64)
+                distance = np.bitwise_count(self.values[probe] ^ self.values[node]).astype(np.int64)
                 near = distance <= radius
                 if near.any():
-                    yield probe[near].astype(np.int32), node[near].astype(np.int32), distance[near].astype(np.int8)
-                ahead: list[tuple[np.ndarray, np.ndarray]] = []
+                    yield probe[near], node[near], distance[near].astype(np.int8)
+                ahead = []
                 for d in range(-radius, radius + 1):
-                    edge = distance + d
-                    fits = (edge >= 0) & (edge <= 64)
-                    below = self.child[node[fits], edge[fits]]
-                    ahead.append((probe[fits][below >= 0], below[below >= 0].astype(np.int64)))
+                    below = self._below(node, distance + d)
+                    ahead.append((probe[below >= 0], below[below >= 0]))
                 probe = np.concatenate([p for p, _ in ahead])
                 node = np.concatenate([n for _, n in ahead])
 
@@ -128,34 +145,50 @@ def joined_labels(labels: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarra
             labels = labels[labels]
 
 
-def _forest(tree: np.ndarray, probes: np.ndarray | None, radius: int) -> tuple[np.ndarray, np.ndarray]:
-    """A minimum spanning forest, by Hamming distance, of the links of ``tree`` with itself or
-    with ``probes``."""
-    both = tree if probes is None else np.concatenate([tree, probes])
-    shift = 0 if probes is None else len(tree)
-    hits = []
-    for probe, node, distance in BKTree(tree).search(tree if probes is None else probes, radius):
-        new = slice(None) if probes is not None else probe > node
-        hits.append((probe[new] + shift, node[new], distance[new]))
-    if not hits:
-        return both[:0], both[:0]
-    a, b, apart = (np.concatenate(c) for c in zip(*hits, strict=True))
-    labels = np.arange(len(both))
-    kept: list[np.ndarray] = []
+def _spanning(links: list[tuple[np.ndarray, ...]], size: int, radius: int) -> tuple[np.ndarray, ...]:
+    """A minimum spanning forest of links (a, b, distance) between ``size`` places."""
+    a, b, apart = (np.concatenate(c) for c in zip(*links, strict=True))
+    labels = np.arange(size)
+    kept = [np.zeros(0, np.int64)]
     for d in range(radius + 1):
         left = np.flatnonzero(apart == d)
         while len(left):
             one, two = labels[a[left]], labels[b[left]]
-            left = left[one != two]
+            left, top = left[one != two], np.maximum(one, two)[one != two]
             if not len(left):
                 break
             # one link for each component that has a smaller neighbour; these cannot close a circle
-            _, first = np.unique(np.maximum(one, two)[one != two], return_index=True)
-            chosen = left[first]
+            chosen = left[np.unique(top, return_index=True)[1]]
             kept.append(chosen)
             labels = joined_labels(labels, a[chosen], b[chosen])
-    edges = np.concatenate(kept) if kept else np.zeros(0, np.int64)
-    return both[a[edges]], both[b[edges]]
+    edges = np.concatenate(kept)
+    return a[edges], b[edges], apart[edges]
+
+
+def _forest(cell: np.ndarray, mark: np.ndarray, probe: np.ndarray, alone: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Minimum spanning forests, by Hamming distance, of the links in each of many cells.
+
+    Rows are sorted by cell. In a cell of one strip (``alone``) all rows are tree and probes; in one
+    of two strips the rows marked ``probe`` walk the tree of the others.
+    """
+    group = np.cumsum(np.r_[False, cell[1:] != cell[:-1]])
+    nodes = np.flatnonzero(~probe)
+    with_tree, first = np.unique(group[nodes], return_index=True)
+    root = np.full(group[-1] + 1, -1)
+    root[with_tree] = nodes[first]
+    size = np.bincount(group[nodes], minlength=len(root))
+    roots = root[group]
+    walkers = np.flatnonzero((alone | probe) & (roots >= 0) & (size[group] + probe > 1))
+    forest = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int8))
+    hits, count = [forest], 0
+    for a, b, distance in BKTrees(mark, nodes, roots).search(walkers, roots[walkers], size[group[walkers]], radius):
+        new = (a > b) | probe[a]  # in one strip each pair is met from both ends
+        hits.append((a[new], b[new], distance[new]))
+        count += len(hits[-1][0])
+        if count > VISITS:  # the forest of a part holds all that the forest of the whole takes from it
+            hits, count = [_spanning(hits, len(mark), radius)], 0
+    a, b, _ = _spanning(hits, len(mark), radius)
+    return mark[a], mark[b]
 
 
 def links(
@@ -203,35 +236,26 @@ def links(
     schema = "u long, v long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ("cell", "fingerprint", "probe", "alone")
         held: list[tuple[np.ndarray, ...]] = []
+        count = 0
 
-        def solve(parts) -> Iterator[pa.RecordBatch]:
-            cell, mark, probe, alone = (np.concatenate(c) for c in zip(*parts, strict=True))
-            cuts = np.flatnonzero(np.diff(cell)) + 1
-            found = []
-            for a, b in zip([0, *cuts], [*cuts, len(cell)], strict=True):
-                if b - a > 1:
-                    m, p = mark[a:b].view(np.uint64), probe[a:b]
-                    tree = m[~p]
-                    if len(tree):
-                        found.append(_forest(tree, None if alone[a] else m[p], radius))
-            if found:
-                u, v = (np.concatenate(c).view(np.int64) for c in zip(*found, strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(u), pa.array(v)], names=["u", "v"])
+        def solve(cell, mark, probe, alone) -> Iterator[pa.RecordBatch]:
+            u, v = _forest(cell, mark.view(np.uint64), probe, alone, radius)
+            if len(u):
+                yield pa.RecordBatch.from_arrays([pa.array(u.view(np.int64)), pa.array(v.view(np.int64))], names=["u", "v"])
 
         for batch in batches:
-            if not batch.num_rows:
-                continue
-            parts = tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in ("cell", "fingerprint", "probe", "alone"))
-            held.append(parts)
-            last, first_cell = parts[0][-1], held[0][0][0]
-            if last != first_cell:  # all cells but the last are complete
+            if batch.num_rows:
+                held.append(tuple(batch.column(c).to_numpy(zero_copy_only=False) for c in names))
+                count += batch.num_rows
+            if count >= AT_ONCE and held[-1][0][-1] != held[0][0][0]:  # all cells but the last are complete
                 joined = [np.concatenate(c) for c in zip(*held, strict=True)]
-                cut = int(np.searchsorted(joined[0], last))
-                yield from solve([tuple(c[:cut] for c in joined)])
-                held = [tuple(c[cut:] for c in joined)]
+                cut = int(np.searchsorted(joined[0], joined[0][-1]))
+                yield from solve(*(c[:cut] for c in joined))
+                held, count = [tuple(c[cut:] for c in joined)], len(joined[0]) - cut
         if held:
-            yield from solve(held)
+            yield from solve(*(np.concatenate(c) for c in zip(*held, strict=True)))
 
     ordered = cells.repartition("cell").sortWithinPartitions("cell")
     return ordered.select("cell", "fingerprint", "probe", "alone").mapInArrow(run, schema).distinct()

@@ -77,6 +77,16 @@ def test_query_is_brute_force(spark):
     assert got == {i: (f"{m:016x}", c) for (i, _), m, c in zip(rows, marks, want, strict=True)}
 
 
+def test_spanning_forests_of_parts_make_one_of_the_whole():
+    rng = np.random.default_rng(3)
+    a, b = rng.integers(0, 60, 900), rng.integers(0, 60, 900)
+    links = (a, b, rng.integers(0, 5, 900).astype(np.int8))
+    whole = simhash._spanning([links], 60, 4)
+    parts = [simhash._spanning([tuple(c[i : i + 100] for c in links)], 60, 4) for i in range(0, 900, 100)]
+    again = simhash._spanning(parts, 60, 4)
+    assert len(whole[0]) == len(again[0]) == 59 and whole[2].sum() == again[2].sum()
+
+
 @pytest.mark.parametrize(("shard_size", "radius", "bands"), [(4096, 2, 4), (7, 2, 4), (50, 3, 6), (5, 0, 1)])
 def test_links_reach_all_pairs_whatever_the_shards(spark, shard_size, radius, bands):
     rng = random.Random(1)
@@ -91,13 +101,24 @@ def test_links_reach_all_pairs_whatever_the_shards(spark, shard_size, radius, ba
     assert [roots.get(v, v) for v in signed] == components(values, signed, radius)
 
 
-def test_tree_search_is_brute_force():
+@pytest.mark.parametrize("visits", [1, 500, 10**6])
+def test_tree_search_is_brute_force(monkeypatch, visits):
+    monkeypatch.setattr(simhash, "VISITS", visits)
     rng = np.random.default_rng(0)
-    values = np.unique(rng.integers(0, 2**10, 300).astype(np.uint64) << np.uint64(50))
-    tree = simhash.BKTree(values)
-    probes = rng.permutation(values)[:40]
-    got = {(int(p), int(n)) for a, b, _ in tree.search(probes, 2) for p, n in zip(a, b, strict=True)}
-    assert got == {(i, j) for i in range(40) for j in range(len(values)) if int(probes[i] ^ values[j]).bit_count() <= 2}
+    values = rng.integers(0, 2**10, 300).astype(np.uint64) << np.uint64(50)
+    values = np.concatenate([np.unique(values[:200]), np.unique(values[200:])])
+    second = np.flatnonzero(values[1:] < values[:-1])[0] + 1  # two trees
+    roots = np.where(np.arange(len(values)) < second, 0, second)
+    trees = simhash.BKTrees(values, np.arange(len(values)), roots)
+    probes = rng.permutation(len(values))[:60]
+    sizes = np.where(roots[probes] == 0, second, len(values) - second)
+    got = {(int(p), int(n)) for a, b, _ in trees.search(probes, roots[probes], sizes, 2) for p, n in zip(a, b, strict=True)}
+    near = {(int(i), j) for i in probes for j in range(len(values)) if int(values[i] ^ values[j]).bit_count() <= 2}
+    assert got == {(i, j) for i, j in near if roots[i] == roots[j]}
+    # every child hangs at its distance from its parent, once
+    parents, distances = trees.keys // 65, trees.keys % 65
+    assert [int(values[p] ^ values[c]).bit_count() for p, c in zip(parents, trees.children, strict=True)] == distances.tolist()
+    assert len(set(trees.children.tolist())) == len(trees.children) == len(values) - 2
 
 
 def test_components_of_long_chains_and_hubs(spark):
