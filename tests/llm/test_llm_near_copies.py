@@ -156,3 +156,43 @@ def test_one_of_each_group_stays(spark):
     kept = simhash.deduplicate(df)
     assert kept.columns == df.columns
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want | {5000, 5002, 6000, 6001})
+
+
+def near_copy_components(rows, least=0.8):
+    """Brute force: the ids that stay, one of each component of similar texts."""
+    sets = [simhash.shingle_set(t.encode(), 5) for _, t in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            parent[i] = parent[parent[i]]
+            i = parent[i]
+        return i
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if find(i) != find(j) and simhash.similar(sets[i], sets[j], least):
+                parent[max(find(i), find(j))] = min(find(i), find(j))
+    return {rows[i][0] for i in range(len(rows)) if find(i) == i}
+
+
+def templated_pages(n, copies):
+    """Pages of 200 words that share 87 % of them, and near copies of some with 3 words changed."""
+    rng = random.Random(7)
+    frame = [f"f{i}" for i in range(174)]
+    rows = []
+    for i in range(n):
+        own = [f"p{rng.randrange(10**6)}" for _ in range(26)]
+        rows.append((i, frame[:87] + own + frame[87:]))
+    for c in range(copies):
+        copy = list(rows[c][1])
+        for at in rng.sample(range(200), 3):
+            copy[at] = f"c{rng.randrange(10**6)}"
+        rows.append((n + c, copy))
+    return [(i, " ".join(words)) for i, words in rows]
+
+
+def test_near_copies_among_templated_pages_go(spark):
+    rows = templated_pages(150, 40)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert {r["doc_id"] for r in simhash.deduplicate(df).collect()} == near_copy_components(rows)
