@@ -5,7 +5,9 @@ hash of their neighbourhood. Content selects them, so a passage that occurs twic
 least ``LEAST`` words long has a kept suffix at the same place in both copies. Suffixes whose
 seed occurs once cannot match and go first. The others are sorted, by range over all tasks, and
 each is compared with the ones before it; a match is extended to the right along the suffixes
-and to the left along the words before them.
+and to the left along the words before them. That order knows the words on the right only, so where
+a seed has more than two kept suffixes the windows of ``LEAST`` words whose smallest seed it is are
+matched too, by 128 bits of hash, whatever stands between them in the order.
 
 Suffixes carry a bounded number of words to either side. Longer passages hold several kept
 suffixes whose matches overlap, and are put together per document.
@@ -18,15 +20,19 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lociweave.llm import text as tx
+from lociweave.operators.skew import grid_join
 
 #: Least words of a passage, words of a seed, words that a suffix carries, and how many suffixes
 #: before it each one is compared with.
 LEAST, SEED, RIGHT, REACH = 50, 16, 64, 3
+#: A window that occurs over ``EDGE_OF_WINDOW`` ** 2 times spreads over tasks in the join.
+EDGE_OF_WINDOW = 100
 
 
 def selected(hashes: np.ndarray, span: int) -> np.ndarray:
@@ -223,11 +229,64 @@ def _across(edges: DataFrame, reach: int, least: int) -> DataFrame:
     return seams.groupBy("seam").applyInArrow(run, MATCH)
 
 
+class SecondHashes(tx.WordHashes):
+    """Word -> another 64-bit hash, so that two windows agree on 128 bits."""
+
+    def __missing__(self, word: bytes) -> int:
+        if len(self) >= self.limit:
+            self.clear()
+        value = self[word] = xxhash.xxh64_intdigest(word, 1)
+        return value
+
+
+def _windows(texts: DataFrame, least: int, seed: int) -> DataFrame:
+    """(one, two, text_key, start) of the windows of the rows (text_key, text, crowded) whose
+    smallest seed is among ``crowded``; equal windows have the same smallest seed."""
+    names = ["one", "two", "text_key", "start"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        first, second = tx.WordHashes(), SecondHashes()
+        for batch in tx.chunks(batches, "text"):
+            for key, data, crowded in zip(*(batch.column(c).to_pylist() for c in ("text_key", "text", "crowded")), strict=True):
+                words = (data or b"").split()
+                own = first.of(words)
+                low = tx.sliding_min(tx.scrambled(tx.rolling(own, seed)), least - seed + 1)
+                at = np.flatnonzero(np.isin(low.view(np.int64), np.array(crowded, dtype=np.int64)))
+                one, two = (tx.scrambled(tx.rolling(h, least))[at].view(np.int64) for h in (own, second.of(words)))
+                yield pa.RecordBatch.from_arrays([pa.array(one), pa.array(two), pa.array(np.full(len(at), key, np.int64)), pa.array(at)], names=names)
+
+    return texts.mapInArrow(run, "one long, two long, text_key long, start long")
+
+
+def _window_matches(windows: DataFrame, materialise, least: int) -> DataFrame:
+    """Matches (MATCH) of the windows that occur at several places, each with the first place of
+    its window, and that with the last."""
+    place = F.struct("text_key", "start")
+    ends = windows.groupBy("one", "two").agg(F.min(place).alias("low"), F.max(place).alias("high")).filter("low != high")
+    met = grid_join(windows, materialise(ends, "ends"), ["one", "two"], edge=EDGE_OF_WINDOW)
+    other = F.when(place == F.col("low"), F.col("high")).otherwise(F.col("low"))
+    return met.select(
+        "text_key", "start", F.lit(least).cast("long").alias("words"), other["text_key"].alias("other_key"), other["start"].alias("other_start")
+    )
+
+
+def lengthened(matches: list[dict]) -> list[dict]:
+    """Matches with the same partner at the same distance that touch, put together."""
+    out: list[dict] = []
+    for m in sorted(matches, key=lambda m: (m["other_key"], m["other_start"] - m["start"], m["start"])):
+        last = out[-1] if out else None
+        if last and (last["other_key"], last["other_start"] - last["start"]) == (m["other_key"], m["other_start"] - m["start"]) and m["start"] <= last["start"] + last["words"]:
+            last["words"] = max(last["words"], m["start"] + m["words"] - last["start"])
+        else:
+            out.append(dict(m))
+    return out
+
+
 def merged(matches: list[dict], n: int) -> list[tuple[int, int, int, int]]:
     """Passages (start, words, other_key, other_start) of one text: matches that touch are put
     together, and the partner is that of the longest match."""
     out: list[list[int]] = []
-    for m in sorted(matches, key=lambda m: (m["start"], -m["words"], m["other_key"], m["other_start"])):
+    for m in sorted(lengthened(matches), key=lambda m: (m["start"], -m["words"], m["other_key"], m["other_start"])):
         start, end = m["start"], m["start"] + m["words"]
         if out and start <= out[-1][1]:
             last = out[-1]
@@ -253,7 +312,7 @@ def repeated_passages(
     document shares with another place, in words from its beginning.
 
     Words are runs of bytes other than ASCII white space. ``other_id`` is a document that holds
-    the longest match in the passage, ``other_start`` where the passage would begin there. Equal
+    the longest match found in the passage, ``other_start`` where the passage would begin there. Equal
     texts are searched once: a text of at least ``least`` words that several documents have is one
     passage of all its words, and the documents share what is found for the text.
 
@@ -283,16 +342,20 @@ def repeated_passages(
         "texts",
     )
     kept = texts.select("text_key", F.explode("kept").alias("k")).select("text_key", "k.seed", "k.place")
-    often = kept.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("seed")
-    some = kept.join(often, "seed").groupBy("text_key").agg(F.collect_list(F.struct("seed", "place")).alias("kept"))
+    often = kept.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    some = kept.join(often, "seed").groupBy("text_key").agg(
+        F.collect_list(F.struct("seed", "place")).alias("kept"),
+        F.collect_set(F.when(F.col("n") > 2, F.col("seed"))).alias("crowded"),
+    )
     some = some.join(texts.select("text_key", "first.no_id", "first.doc"), "text_key")
-    own = named.join(some, ["text_key", "no_id", "doc"]).select("text_key", "text", "kept")
+    own = named.join(some, ["text_key", "no_id", "doc"]).select("text_key", "text", "kept", "crowded")
     order = ["seed", "suffix", "text_key", "place"]
-    ordered = _suffixes(own, least - seed, right).repartitionByRange(*order).sortWithinPartitions(*order)
+    windows = materialise(_windows(own.filter(F.size("crowded") > 0).select("text_key", "text", "crowded"), least, seed), "windows")
+    ordered = _suffixes(own.select("text_key", "text", "kept"), least - seed, right).repartitionByRange(*order).sortWithinPartitions(*order)
     found = materialise(_matches(ordered, reach, least), "matches")
     edges = materialise(found.filter("side is not null"), "edges")
     matches = found.filter("side is null").select("text_key", "start", "words", "other_key", "other_start")
-    matches = matches.union(_across(edges, reach, least))
+    matches = matches.union(_across(edges, reach, least)).union(_window_matches(windows, materialise, least))
 
     def put_together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = ["text_key", "start", "words", "other_key", "other_start"]

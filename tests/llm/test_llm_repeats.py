@@ -123,6 +123,27 @@ def test_finds_the_passages_that_brute_force_finds(spark, least, seed, right):
         assert own & other
 
 
+@pytest.mark.parametrize("edge", [100, 2])
+def test_finds_passages_around_a_frequent_line(spark, monkeypatch, edge):
+    monkeypatch.setattr(sparse_suffixes, "EDGE_OF_WINDOW", edge)
+    rng = random.Random(9)
+
+    def words(n):
+        return [f"w{rng.randrange(30_000)}" for _ in range(n)]
+
+    line, rows = words(45), []
+    for i in range(60):  # two documents share 15 words before the line
+        shared = words(15)
+        rows += [(2 * i + c, " ".join([*words(30), *shared, *line, *words(30)])) for c in range(2)]
+    rows += [(1000 + i, " ".join([*words(30), *line, *words(30)])) for i in range(200)]
+    rows += [rows[0], rows[130]]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sparse_suffixes.repeated_passages(df, materialise).collect()
+    got = {(r["doc_id"], r["start"] + x) for r in found for x in range(r["words"])}
+    assert got == repeated_words(rows, 50) and len({i for i, _ in got}) == 120
+    assert {(r["doc_id"], r["other_id"]) for r in found} == {(i, i ^ 1) for i in range(120)}
+
+
 def test_passage_query_finds_documents_of_brute_force(spark):
     sf = "/root/testdata/sf0.001"
     rows = [tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()]
