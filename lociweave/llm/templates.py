@@ -2,10 +2,10 @@
 
 Numbers, names and units of a text become typed placeholders, so a question whose parameters
 were changed keeps its template. Windows of template words are hash-joined between documents and
-benchmark items. Along one alignment of a document with an item the values behind the
-placeholders must fit together: equal values in the item stand for equal values in the document
-and different ones for different ones, otherwise the template agrees by chance. A document is
-contaminated by an item if consistent windows cover enough of the item's words.
+benchmark items. Along one alignment of a document with an item a name must stand for one name:
+windows that hold a name with several are void, as the template agrees by chance there. Numbers and
+units are parameters of their own: equal ones may become different and different ones equal. A
+document is contaminated by an item if the other windows cover enough of the item's words.
 
 Each window is matched as a typed template and, where it has placeholders, word for word as well,
 so that a copy with other capitals is still found.
@@ -234,8 +234,21 @@ def consistent(pairs: list[tuple[str, str]]) -> bool:
     return all(there.setdefault(a, b) == b and back.setdefault(b, a) == a for a, b in pairs)
 
 
+def fitting(windows: list[dict]) -> list[dict]:
+    """The typed windows of one alignment without those that hold a name of the item for which the
+    document has several."""
+    slots = [list(zip(w["item_slots"], w["doc_slots"], strict=True)) for w in windows]
+    if consistent([p for own in slots for p in own]):
+        return windows
+    stands: dict[str, set[str]] = {}
+    for a, b in (p for own in slots for p in own):
+        if a.startswith(f"{NAME}:"):
+            stands.setdefault(a, set()).add(b)
+    return [w for w, own in zip(windows, slots, strict=True) if all(len(stands.get(a, ())) < 2 for a, _ in own)]
+
+
 def covered_words(windows: list[dict]) -> tuple[int, bool]:
-    """Words of an item that a document's consistent windows cover, and whether some are covered
+    """Words of an item that a document's fitting windows cover, and whether some are covered
     only with changed parameters. Windows of one alignment are judged together."""
     lines: dict[int, list[dict]] = {}
     for w in windows:
@@ -243,13 +256,11 @@ def covered_words(windows: list[dict]) -> tuple[int, bool]:
     exact: set[int] = set()
     changed: set[int] = set()
     for own in lines.values():
-        typed = [w for w in own if w["typed"]]
         for w in own:
             if not w["typed"]:
                 exact.update(range(w["item_start"], w["item_start"] + w["width"]))
-        if consistent([p for w in typed for p in zip(w["item_slots"], w["doc_slots"], strict=True)]):
-            for w in typed:
-                changed.update(range(w["item_start"], w["item_start"] + w["width"]))
+        for w in fitting([w for w in own if w["typed"]]):
+            changed.update(range(w["item_start"], w["item_start"] + w["width"]))
     return len(exact | changed), not changed <= exact
 
 

@@ -131,6 +131,36 @@ def test_slots_fit_together():
     assert not templates.consistent([("a", "x"), ("b", "x")])
 
 
+def test_parameters_may_become_equal_or_different(spark):
+    items = [
+        (1, "A farmer has 3 apples and then buys 5 pears at the market"),
+        (2, "The box holds 2 books and the shelf has 2 more than that"),
+        (3, "Every day Alice walks to the old mill by the river and in the evening when the sun goes down over the quiet "
+            "valley and all the lamps are lit Alice reads"),
+    ]
+    docs = [
+        (1, "A farmer has 4 apples and then buys 4 pears at the market"),
+        (2, "The box holds 3 books and the shelf has 4 more than that"),
+        # the end has another name: only the windows with a name are void
+        (3, items[2][1].replace("Alice walks", "Maria walks").replace("Alice reads", "Jane reads").upper()),
+        (4, items[2][1].replace("Alice walks", "Maria walks").replace("Alice reads", "Jane reads")),
+        (5, "A farmer has apples and then buys pears at the market"),
+    ]
+    docs, items = (spark.createDataFrame(r, f"{c} long, text string") for r, c in ((docs, "doc_id"), (items, "item_id")))
+    got = {(r["doc_id"], r["item_id"]) for r in templates.contaminated(docs, items).collect()}
+    assert got == {(1, 1), (2, 2), (3, 3), (4, 3)}
+
+
+def test_a_misfit_voids_only_its_windows():
+    def window(start, *slots):
+        item, doc = zip(*slots, strict=True)
+        return {"item_start": start, "doc_start": start, "width": 8, "typed": True, "item_slots": item, "doc_slots": doc}
+
+    bad = [window(0, ("2:a", "2:x")), window(30, ("2:a", "2:y"))]
+    assert templates.covered_words([*bad, window(15, ("1:3", "1:4"))]) == (8, True)
+    assert templates.covered_words([window(0, ("1:2", "1:3")), window(4, ("1:2", "1:4"))]) == (12, True)
+
+
 def test_decontamination_query_is_brute_force(spark):
     sf = "/root/testdata/sf0.01"
     items = {r["item_id"]: r["text"].lower().split() for r in spark.read.parquet(f"{sf}/benchmark.parquet").collect()}
