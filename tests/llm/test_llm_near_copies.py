@@ -196,3 +196,33 @@ def test_near_copies_among_templated_pages_go(spark):
     rows = templated_pages(150, 40)
     df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
     assert {r["doc_id"] for r in simhash.deduplicate(df).collect()} == near_copy_components(rows)
+
+
+def edited_pairs(words, count):
+    """Pairs of different texts at a similarity of 0.80 to 0.85: cut at the end, or with words changed."""
+    rng, out = random.Random(words), []
+    while len(out) < count:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(words)]
+        copy = own[: words - rng.randrange(words // 5 + 1)]
+        for _ in range(rng.randrange(words // 25 + 1)):
+            copy[rng.randrange(len(copy))] = f"c{rng.randrange(10**6)}"
+        pair = [" ".join(t).encode() for t in (own, copy)]
+        a, b = (simhash.shingle_set(t, 5) for t in pair)
+        if 0.8 <= len(a & b) / len(a | b) <= 0.85:
+            out.append(pair)
+    return out
+
+
+@pytest.mark.parametrize("words", [30, 120, 600])
+def test_nearly_all_pairs_above_the_limit_are_candidates(words):
+    maker = simhash.Sketches(5)
+    met = [bool((maker.of(a)[0] == maker.of(b)[0]).any()) for a, b in edited_pairs(words, 300)]
+    assert sum(met) >= 299  # 8 of 100,000 pairs at 0.8 may be missed
+
+
+def test_pairs_just_above_the_limit_go(spark):
+    """Against brute force; the fixture is fixed, so all pairs have to be found."""
+    texts = [t.decode() for words in (30, 120) for pair in edited_pairs(words, 40) for t in pair]
+    rows = list(enumerate(texts))
+    kept = simhash.deduplicate(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert {r["doc_id"] for r in kept} == near_copy_components(rows)
