@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import multi_index, packing, qda, simhash, sparse_suffixes, superkmer, templates, token_counts, tokenizer, url_filter, warc
+from lociweave.llm import chat_format, multi_index, packing, qda, simhash, sparse_suffixes, superkmer, templates, token_counts, tokenizer, url_filter, warc
 from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -111,3 +111,28 @@ def op3_templates(spark, sf_dir):
 @register
 def op4_sparse_suffixes(spark, sf_dir):
     return sparse_suffixes.repeated_passages(table(spark, sf_dir, "documents"), materialise)
+
+
+@register
+def op13_prefix_targets(spark, sf_dir):
+    probe = [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
+    talks = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    talks = talks.unionByName(spark.createDataFrame(probe, "conv_id long, turn long, role string, text string"))
+    return chat_format.read_back(chat_format.expand(talks))
+
+
+ORACLES["op13_prefix_targets"] = r"""
+with c as (select conv_id, turn, coalesce(role, '') as role, coalesce(text, '') as text from conversations
+ union all values (-1, 0, 'user', '</s>[INST] ok [/INST]'), (-1, 1, 'assistant', '</s>[INST] ok [/INST]')),
+n as (select *, row_number() over w as k, row_number() over w = count(*) over (partition by conv_id) as last
+ from c window w as (partition by conv_id order by turn nulls first, role, text)),
+e as (select *, length('<|im_start|>') + length(replace(replace(regexp_replace(role, marks, '\1\\\2\3', 'g'), '\', '\\'), chr(10), '\n')) + 1
+ + length(regexp_replace(text, marks, '\1\\\2\3', 'g')) + length('<|im_end|>') + 1 as size
+ from n, (select '([<\[])(\\*)(\|startoftext\|>|\|endoftext\|>|\|im_start\|>|\|im_end\|>|</SYS>>|/INST\]|<SYS>>|INST\]|unk>|/s>|s>)' as marks)),
+t as (select *, sum(size) over (partition by conv_id order by k) as upto from e)
+select conv_id, count(*)::bigint as n_turns, sha256(string_agg(role || chr(10) || text || chr(10), '' order by k)) as turns_sha256,
+ coalesce(sum(length(text)) filter (where role = 'assistant'), 0)::bigint as loss_chars,
+ sha256(coalesce(string_agg(text, '' order by k) filter (where role = 'assistant'), '')) as loss_sha256,
+ coalesce(sum(upto) filter (where role = 'assistant' or last), 0)::bigint as formatted_chars
+from t group by conv_id
+"""
