@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import chat_format, multi_index, packing, qda, simhash, sparse_suffixes, superkmer, templates, token_counts, tokenizer, url_filter, warc
+from lociweave.llm import chat_format, multi_index, packing, qda, ranked_search, simhash, sparse_suffixes, superkmer, templates, token_counts, tokenizer, url_filter, warc
 from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,26 @@ def op4_sparse_suffixes(spark, sf_dir):
     return sparse_suffixes.repeated_passages(table(spark, sf_dir, "documents"), materialise)
 
 
+@register
+def op12_lexical_search(spark, sf_dir):
+    return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_lexical_search"] = r"""
+with cut as (select '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+' as term, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ' as upper, 'abcdefghijklmnopqrstuvwxyz' as lower),
+d as (select row_number() over () as row, doc_id, regexp_extract_all(translate(text, upper, lower), term) as terms from documents, cut),
+held as (select row, doc_id, len(terms)::bigint as n, terms from d where len(terms) > 0),
+al as (select count(*)::bigint as nn, sum(n)::bigint as ll from held),
+tf as (select row, doc_id, n, t, count(*)::bigint as tf from (select row, doc_id, n, unnest(terms) as t from held) group by all),
+i as (select item_id, t, count(*)::bigint as often from (select item_id, row_number() over () as row, unnest(regexp_extract_all(translate(text, upper, lower), term)) as t from benchmark, cut) group by all),
+w as (select t, floor(1000 * ln((2 * any_value(nn) + 2) / (2 * count(*) + 1)))::bigint as w from tf, al where t in (select t from i) group by t),
+s as (select item_id, row, doc_id, sum(often * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * nn) // ll)))))::bigint as score
+ from i join w using (t) join tf using (t), al group by all),
+r as (select item_id, row_number() over (partition by item_id order by score desc, doc_id) as rank, doc_id, score from s where score > 0)
+select item_id, rank::int as rank, doc_id, score from r where rank <= 20
+"""
+
+
 @register
 def op13_prefix_targets(spark, sf_dir):
     probe = [(-1, turn, role, "</s>[INST] ok [/INST]") for turn, role in enumerate(("user", "assistant"))]
