@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import chat_format, multi_index, packing, qda, ranked_search, simhash, sparse_suffixes, superkmer, templates, token_counts, tokenizer, url_filter, warc
+from lociweave.llm import chat_format, chat_repair, multi_index, packing, qda, ranked_search, simhash, sparse_suffixes, superkmer, templates, token_counts, tokenizer, url_filter, warc
 from lociweave.session import materialise
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -113,6 +113,52 @@ def op4_sparse_suffixes(spark, sf_dir):
     return sparse_suffixes.repeated_passages(table(spark, sf_dir, "documents"), materialise)
 
 
+@register
+def op11_chat_repair(spark, sf_dir):
+    rows = chat_repair.damaged(table(spark, sf_dir, "conversations"))
+    verdict, turns = chat_repair.repair(rows)
+    told = verdict.alias("v").join(chat_repair.digests(turns).alias("d"), F.col("v.conv_id").eqNullSafe(F.col("d.conv_id")), "left")
+    digest = F.coalesce("repaired_sha256", F.sha2(F.lit("").cast("binary"), 256))
+    return told.select("v.*", digest.alias("repaired_sha256"))
+
+
+# The damage's checksum bit by bit; the cheapest edits by a walk along the turns, with the best
+# (cost, audit) of each state of the conversation and at most two inserted turns in a row.
+ORACLES["op11_chat_repair"] = r"""
+with recursive o as (select conv_id, turn, coalesce(role, ' ') as role, coalesce(text, ' ') as text,
+  coalesce(conv_id::varchar, ' ') || ':' || coalesce(turn::varchar, ' ') as key from conversations),
+h as (select *, xor(list_reduce([4294967295::bigint] || [ascii(substr(key, i, 1))::bigint for i in range(1, length(key) + 1)],
+  lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: xor(x >> 1, 3988292384 * (x & 1)))), 4294967295) % 20 as kind from o),
+d as (select conv_id, turn, case when kind = 4 then 'user' else role end as role,
+  case kind when 1 then '' when 2 then regexp_replace(text, '[.!?]', '', 'g') else text end as text, unnest(range(case when kind = 3 then 2 else 1 end)) as copy from h where kind <> 0),
+i as (select *, row_number() over (partition by conv_id order by turn nulls first, role, md5(text)) as k from d),
+n as (select *, row_number() over (partition by conv_id, role, text order by k) as again, regexp_extract(text, '([^\x20\x09-\x0D])[\x20\x09-\x0D]*\z', 1) as ending from i),
+r as (select conv_id, turn, role, text, k, substr(role, 1, 1) as initial, ending = '' as blank, ending <> '' and again > 1 as duplicate,
+  ending <> '' and again = 1 and ending not in ('.', '!', '?') as truncated from n),
+f as (select conv_id, case when count(turn) = 0 then 0 else max(turn) - min(turn) + 1 - count(distinct turn) end as gaps, count(*) filter (where blank) as blank,
+  count(*) filter (where duplicate) as duplicate, count(*) filter (where truncated) as truncated, count(*) as n from r group by conv_id),
+l as (select conv_id, count(*) as illegal from (select conv_id, lag(initial) over (partition by conv_id order by k) || initial as two from r) where two not in ('su', 'ua', 'au') group by conv_id),
+e(p, q, cost, audit) as (values ('0', '0', 0, ''), ('s', 's', 0, ''), ('u', 'u', 0, ''), ('a', 'a', 0, ''), ('0', 'u', 2, 'I'), ('s', 'u', 2, 'I'), ('a', 'u', 2, 'I'),
+  ('u', 'a', 2, 'I'), ('0', 'a', 4, 'II'), ('s', 'a', 4, 'II'), ('u', 'u', 4, 'II'), ('a', 'a', 4, 'II')),
+m(p, initial, q) as (values ('0', 's', 's'), ('0', 'u', 'u'), ('s', 'u', 'u'), ('a', 'u', 'u'), ('u', 'a', 'a')),
+t as (select r.conv_id, r.k, p.p, p.p as q, 3 as cost, 'D' as audit from r, (select distinct p from e) p
+ union all select conv_id, k, p, q, truncated::int, 'K' from r join m using (initial) where not blank and not duplicate
+ union all select conv_id, k, p, q, 2 + truncated::int, 'R' from r, m where m.initial <> 's' and not blank and not duplicate),
+w(conv_id, k, state, v) as (select conv_id, 0::bigint, q, {'cost': cost::bigint, 'audit': audit} from (select distinct conv_id from r), e where p = '0'
+ union all select w.conv_id, t.k, e.q, min({'cost': w.v.cost + t.cost + e.cost, 'audit': w.v.audit || t.audit || e.audit})
+ from w join t on t.conv_id is not distinct from w.conv_id and t.k = w.k + 1 and t.p = w.state join e on e.p = t.q group by 1, 2, 3),
+b as (select conv_id, min(v) as v from w join f using (conv_id) where k = n and state in ('0', 'a') group by conv_id),
+c as (select conv_id, i, substr(v.audit, i, 1) as edit, length(regexp_replace(substr(v.audit, 1, i), 'I', '', 'g')) as k from (select conv_id, v, unnest(range(1, length(v.audit) + 1)) as i from b)),
+z as (select c.conv_id, i, edit, r.role, case when edit = 'I' then '' else r.text end as text, row_number() over g - 1 as j, first_value(edit = 'K' and r.initial = 's') over g as led
+ from c left join r on r.conv_id is not distinct from c.conv_id and r.k = c.k and edit <> 'I' where edit <> 'D' window g as (partition by c.conv_id order by i)),
+y as (select conv_id, sha256(string_agg(case when edit = 'K' then role when (j - led::int) % 2 = 0 then 'user' else 'assistant' end || ':' || text, chr(10) order by i)) as sha from z group by conv_id)
+select x.conv_id, coalesce(gaps, 0)::bigint as gaps, coalesce(blank, 0)::bigint as blank, coalesce(duplicate, 0)::bigint as duplicate, coalesce(truncated, 0)::bigint as truncated,
+ coalesce(illegal, 0)::bigint as illegal, coalesce(v.cost, 0)::bigint as cost, coalesce(v.audit, '') as audit, coalesce(sha, sha256('')) as repaired_sha256
+from (select distinct conv_id from conversations) x left join f on f.conv_id is not distinct from x.conv_id left join l on l.conv_id is not distinct from x.conv_id
+left join b on b.conv_id is not distinct from x.conv_id left join y on y.conv_id is not distinct from x.conv_id
+"""
+
+
 @register
 def op12_lexical_search(spark, sf_dir):
     return ranked_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
