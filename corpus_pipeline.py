@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lociweave.llm import packing, qda, simhash, superkmer, templates, tokenizer
+from lociweave.llm import packing, qda, simhash, superkmer, templates, text, tokenizer
 from lociweave.llm.queries import VOCABULARY, digest_pieces, table
 from lociweave.session import scratch_path
 
@@ -20,19 +20,22 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies."""
-    return simhash.deduplicate(docs)
+    """One document of each component of near copies, as ``op10_simhash`` links them."""
+    return simhash.deduplicate(docs, shingle=3, radius=2)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the windows that an earlier text has. Documents of which no word is left go;
     those that had none stay. ``n_chars`` follows the text."""
-    cut = superkmer.remove_repeats(docs.withColumn("_was_empty", F.trim(F.coalesce("text", F.lit(""))) == ""))
-    left = cut.filter("_was_empty or text != ''")
-    if "n_chars" in docs.columns:
-        kind = docs.schema["n_chars"].dataType
-        left = left.withColumn("n_chars", F.coalesce(F.length("text").cast(kind), F.col("n_chars")))
-    return left.select(*docs.columns)
+    rows, name = text.numbered(docs)
+    own = F.col(name["text"])
+    empty = F.trim(F.coalesce(own, F.lit(""))) == ""
+    cut = superkmer.remove_repeats(rows.withColumn("was_empty", empty), name["doc_id"], name["text"])
+    left = cut.filter((F.col("was_empty")) | (own != ""))
+    if "n_chars" in name:
+        size = F.length(own).cast(docs.schema["n_chars"].dataType)
+        left = left.withColumn(name["n_chars"], F.coalesce(size, F.col(name["n_chars"])))
+    return text.named_again(left, docs)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

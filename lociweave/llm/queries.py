@@ -147,7 +147,7 @@ t as (select r.conv_id, r.k, p.p, p.p as q, 3 as cost, 'D' as audit from r, (sel
 w(conv_id, k, state, v) as (select conv_id, 0::bigint, q, {'cost': cost::bigint, 'audit': audit} from (select distinct conv_id from r), e where p = '0'
  union all select w.conv_id, t.k, e.q, min({'cost': w.v.cost + t.cost + e.cost, 'audit': w.v.audit || t.audit || e.audit})
  from w join t on t.conv_id is not distinct from w.conv_id and t.k = w.k + 1 and t.p = w.state join e on e.p = t.q group by 1, 2, 3),
-b as (select conv_id, min(v) as v from w join f using (conv_id) where k = n and state in ('0', 'a') group by conv_id),
+b as (select w.conv_id, min(v) as v from w join f on f.conv_id is not distinct from w.conv_id where k = n and state in ('0', 'a') group by w.conv_id),
 c as (select conv_id, i, substr(v.audit, i, 1) as edit, length(regexp_replace(substr(v.audit, 1, i), 'I', '', 'g')) as k from (select conv_id, v, unnest(range(1, length(v.audit) + 1)) as i from b)),
 z as (select c.conv_id, i, edit, r.role, case when edit = 'I' then '' else r.text end as text, row_number() over g - 1 as j, first_value(edit = 'K' and r.initial = 's') over g as led
  from c left join r on r.conv_id is not distinct from c.conv_id and r.k = c.k and edit <> 'I' where edit <> 'D' window g as (partition by c.conv_id order by i)),

@@ -20,13 +20,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lociweave.llm import text as tx
 from lociweave.llm.graph import star_components
-from lociweave.operators.skew import grid_join
 from lociweave.session import materialise
 
 SEED = 42
@@ -262,6 +261,14 @@ def links(
     return ordered.select("cell", "fingerprint", "probe", "alone").mapInArrow(run, schema).distinct()
 
 
+def component_roots(distinct: DataFrame, radius: int, bands: int, shard_size: int) -> DataFrame:
+    """``distinct`` (fingerprint, first) with ``root``, the smallest fingerprint of its component."""
+    roots = star_components(links(distinct.select("fingerprint"), radius, bands, None, shard_size))
+    return distinct.join(roots.withColumnRenamed("u", "fingerprint"), "fingerprint", "left").select(
+        "fingerprint", "first", F.coalesce("v", "fingerprint").alias("root")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -280,10 +287,7 @@ def near_duplicates(
     """
     marks = materialise(fingerprints(docs, id_col, text_col, shingle), "fingerprints")
     distinct = materialise(marks.groupBy("fingerprint").agg(F.min(id_col).alias("first")), "distinct")
-    roots = star_components(links(distinct.select("fingerprint"), radius, bands, None, shard_size))
-    rooted = distinct.join(roots.withColumnRenamed("u", "fingerprint"), "fingerprint", "left").select(
-        "fingerprint", "first", F.coalesce("v", "fingerprint").alias("root")
-    )
+    rooted = component_roots(distinct, radius, bands, shard_size)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
     classes = rooted.join(smallest, "root").select("fingerprint", "component_id")
     return marks.join(classes, "fingerprint").select(
@@ -291,180 +295,31 @@ def near_duplicates(
     )
 
 
-#: Near copies share this much of their 5-word shingles.
-SIMILARITY, WORDS = 0.8, 5
-#: Candidates: texts that agree in all ``ROWS`` smallest hashes of one of ``GROUPS`` groups. Texts of
-#: similarity s miss each other in all groups with probability (1 - s**7)**40: 0.00008 at 0.8.
-GROUPS, ROWS = 40, 7
-
-
-class Sketches:
-    """Min-hashes: for each of ``groups`` groups, a hash of ``rows`` smallest shingle hashes."""
-
-    def __init__(self, words: int, groups: int = GROUPS, rows: int = ROWS):
-        self.words, self.groups, self.rows = words, groups, rows
-        rng = np.random.default_rng(SEED)
-        self.factors = rng.integers(0, 1 << 32, (groups * rows, 1), dtype=np.uint32) | np.uint32(1)
-        self.mix = rng.integers(0, 1 << 64, groups * rows, dtype=np.uint64) | np.uint64(1)
-        self.hashes = tx.WordHashes()
-
-    def of(self, data: bytes | None) -> tuple[np.ndarray, int]:
-        """The groups' hashes and the number of distinct shingles, those of ``shingle_set``."""
-        own = (data or b"").translate(tx.LOWER_ASCII).split()
-        low = np.full(len(self.factors), 0xFFFFFFFF, dtype=np.uint32)
-        grams = np.unique(tx.scrambled(tx.rolling(self.hashes.of(own), min(self.words, len(own))))) if own else np.zeros(0, np.uint64)
-        short = (grams >> np.uint64(32)).astype(np.uint32)
-        for at in range(0, len(short), BLOCK // 4):
-            low = np.minimum(low, (self.factors * short[at : at + BLOCK // 4]).min(axis=1))
-        mixed = tx.scrambled(low.astype(np.uint64) + np.arange(len(low), dtype=np.uint64)) * self.mix
-        return tx.scrambled(mixed.reshape(self.groups, self.rows).sum(axis=1)).view(np.int64), len(grams)
-
-
-def sketches(docs: DataFrame, words: int) -> DataFrame:
-    """(doc, node, size, groups) of every row of (doc, node, text)."""
-    fields = [docs.schema["doc"], docs.schema["node"], T.StructField("size", T.LongType())]
-    schema = T.StructType([*fields, T.StructField("groups", T.ArrayType(T.LongType()))])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        maker = Sketches(words)
-        for batch in tx.chunks(batches, "text"):
-            told = [maker.of(t) for t in batch.column("text").to_pylist()]
-            groups, sizes = pa.array([g for g, _ in told], pa.list_(pa.int64())), pa.array([n for _, n in told], pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("doc"), batch.column("node"), sizes, groups], names=schema.names)
-
-    return docs.withColumn("text", F.col("text").cast("binary")).mapInArrow(run, schema)
-
-
-def shingle_set(data: bytes | None, words: int) -> frozenset:
-    """Distinct runs of ``words`` words, A-Z lower-cased; fewer words make one, none make none."""
-    own = (data or b"").translate(tx.LOWER_ASCII).split()
-    if not own:
-        return frozenset()
-    size = min(words, len(own))
-    return frozenset(zip(*(own[i : len(own) - size + 1 + i] for i in range(size)), strict=True))
-
-
-def similar(a: frozenset, b: frozenset, least: float) -> bool:
-    """Whether the Jaccard similarity is at least ``least``; two empty sets are alike."""
-    common = len(a & b)
-    return common >= least * (len(a) + len(b) - common)
-
-
-def _checked(pairs: DataFrame, narrow: DataFrame, similarity: float, words: int) -> DataFrame:
-    """The pairs (a, b) of texts that are similar, as (u, v)."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    texts = narrow.select("node", F.col("text").cast("binary").alias("text")).join(wanted, "node", "left_semi")
-    texts = materialise(texts.groupBy("node").agg(F.first("text").alias("text")), "texts")
-    sides = pairs.join(texts.withColumnsRenamed({"node": "a", "text": "ta"}), "a").join(
-        texts.withColumnsRenamed({"node": "b", "text": "tb"}), "b"
-    )
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in tx.chunks([batch], "ta"):
-                alike = [
-                    similar(shingle_set(x, words), shingle_set(y, words), similarity)
-                    for x, y in zip(part.column("ta").to_pylist(), part.column("tb").to_pylist(), strict=True)
-                ]
-                picked = part.select(["u", "v"]).filter(pa.array(alike, pa.bool_()))
-                if picked.num_rows:
-                    yield picked
-
-    held = sides.select(F.col("a").alias("u"), F.col("b").alias("v"), "ta", "tb").mapInArrow(check, "u long, v long")
-    return materialise(held, "held")
-
-
-def _labelled(nodes: DataFrame, roots: DataFrame, node: str, label: str) -> DataFrame:
-    """``nodes`` with the smallest member of the component of column ``node``."""
-    own = roots.select(F.col("u").alias(node), F.col("v").alias("_root"))
-    return nodes.join(own, node, "left").withColumn(label, F.coalesce("_root", node)).drop("_root")
-
-
-def near_copy_roots(narrow: DataFrame, marks: DataFrame, similarity: float, words: int) -> DataFrame:
-    """(u, v): texts u of ``narrow`` (node, text) and the smallest text v of their component, as
-    ``star_components`` gives them.
-
-    Candidates are all pairs of a bucket, the texts with one hash in a group. First each text is
-    checked against one smallest text of its buckets, and what holds is put together. Then
-    one pair is checked for every two components that share a bucket, and at last every other
-    candidate that still joins two components, so none is left unchecked.
-    """
-    nodes = marks.groupBy("node").agg(F.first("size").alias("size"), F.first("groups").alias("groups"))
-    members = nodes.select("node", "size", F.posexplode("groups").alias("group", "mark")).select(
-        F.xxhash64("group", "mark").alias("bucket"), "node", "size"
-    )
-    members = materialise(members, "members")
-    crowds = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("node", "size")).alias("pivot"))
-    crowded = materialise(members.join(crowds.filter("n > 1"), "bucket").select("bucket", "node", "size", "pivot"), "crowded")
-
-    def fits(a, b):
-        return F.least(a, b) >= similarity * F.greatest(a, b)
-
-    first = crowded.filter((F.col("node") != F.col("pivot.node")) & fits(F.col("size"), F.col("pivot.size")))
-    first = materialise(first.groupBy(F.col("node").alias("b")).agg(F.min("pivot.node").alias("a")).select("a", "b"), "first")
-    held = _checked(first, narrow, similarity, words)
-    roots = star_components(held)
-
-    own = materialise(_labelled(crowded.select("bucket", "node", "size"), roots, "node", "label"), "labelled")
-    sizes = own.groupBy("bucket", "label").agg(F.count(F.lit(1)).alias("n"))
-    mixed = sizes.groupBy("bucket").agg(F.count(F.lit(1)).alias("labels"), F.max(F.struct("n", "label")).alias("most"))
-    mixed = mixed.filter("labels > 1").select("bucket", F.col("most.label").alias("most"))
-    open_ = materialise(own.join(mixed, "bucket"), "open")
-    # the largest component of a bucket meets the others, not itself
-    one = open_.filter("label != most").select("bucket", F.col("node").alias("x"), F.col("size").alias("sx"), F.col("label").alias("lx"), "most")
-    two = open_.select("bucket", F.col("node").alias("y"), F.col("size").alias("sy"), F.col("label").alias("ly"))
-    apart = (F.col("lx") != F.col("ly")) & ((F.col("ly") == F.col("most")) | (F.col("x") < F.col("y")))
-    pairs = grid_join(one, two, ["bucket"], apart & fits(F.col("sx"), F.col("sy")))
-    up = F.col("x") < F.col("y")
-    pairs = pairs.select(
-        F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"), F.when(up, F.col("lx")).otherwise(F.col("ly")).alias("la"),
-        F.when(up, F.col("ly")).otherwise(F.col("lx")).alias("lb"),
-    )
-    pairs = materialise(pairs.distinct().join(first, ["a", "b"], "left_anti"), "pairs")
-    if pairs.isEmpty():
-        return roots
-    between = pairs.groupBy(F.least("la", "lb"), F.greatest("la", "lb")).agg(F.min(F.struct("a", "b")).alias("n"))
-    between = materialise(between.select("n.a", "n.b"), "between")
-    held = held.union(_checked(between, narrow, similarity, words))
-    roots = star_components(held)
-    rest = pairs.select("a", "b").join(between, ["a", "b"], "left_anti")
-    rest = _labelled(_labelled(rest, roots, "a", "la"), roots, "b", "lb").filter("la != lb").select("a", "b")
-    rest = materialise(rest, "rest")
-    if rest.isEmpty():
-        return roots
-    return star_components(held.union(_checked(rest, narrow, similarity, words)))
-
-
 def deduplicate(
     docs: DataFrame,
     id_col: str = "doc_id",
     text_col: str = "text",
-    similarity: float = SIMILARITY,
-    words: int = WORDS,
+    shingle: int = 3,
+    radius: int = RADIUS,
+    bands: int = BANDS,
+    shard_size: int = SHARD_SIZE,
 ) -> DataFrame:
-    """``docs`` with one row of each group of near copies: that with the smallest id.
-
-    Two texts are linked if they share at least ``similarity`` of their distinct runs of ``words``
-    words; groups are the components of the links. Candidates come from min-hashes (``GROUPS``,
-    ``ROWS``) and each is checked on the words unless other links join its texts already. Equal
-    texts are one group. Texts without a word (null, empty, white space) are alike. Ids that are
-    null come last; rows with equal ids are ordered by a hash of the text, and of rows equal in
-    both one stays. An empty table gives no rows.
-    """
-    key = F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
-    narrow = docs.select(F.col(id_col).alias("doc"), key.alias("node"), F.col(text_col).alias("text"))
-    marks = materialise(sketches(narrow, words), "marks")
-    roots = near_copy_roots(narrow, marks, similarity, words)
-    order = F.struct(F.col("doc").isNull().alias("no_id"), "doc", "node")
-    stays = (
-        marks.join(roots.withColumnRenamed("u", "node"), "node", "left")
-        .groupBy(F.coalesce("v", "node").alias("root"))
-        .agg(F.min(order).alias("best"))
-        .select(F.col("best.doc").alias("_doc"), F.col("best.node").alias("_node"))
-    )
-    from pyspark.sql import Window
+    """``docs`` with one row of each component of :func:`near_duplicates`: that with the smallest id.
 
-    keyed = docs.withColumns({"_key_id": F.col(id_col), "_key": key})
-    joined = keyed.join(stays, keyed["_key_id"].eqNullSafe(F.col("_doc")) & (F.col("_key") == F.col("_node")), "left_semi")
-    again = F.row_number().over(Window.partitionBy("_key_id", "_key").orderBy(F.lit(0)))
-    return joined.withColumn("_again", again).filter("_again = 1").select(*docs.columns)
+    Texts without a word (null, empty, white space) have one fingerprint. Ids that are null come
+    last; rows with equal ids are ordered by a digest of the text, and of rows equal in both one
+    stays. All columns stay as they are. An empty table gives no rows.
+    """
+    rows, name = tx.numbered(docs)
+    text = F.coalesce(F.col(name[text_col]), F.lit("")).cast("binary")
+    rows = rows.withColumns({"doc": F.col(name[id_col]), "node": F.unhex(F.md5(text)), "words": text})
+    marks = materialise(fingerprints(rows.select(F.struct("doc", "node").alias("row"), "words"), "row", "words", shingle), "marks")
+    order = F.struct(F.col("row.doc").isNull().alias("no_id"), F.col("row.doc").alias("doc"), F.col("row.node").alias("node"))
+    distinct = materialise(marks.groupBy("fingerprint").agg(F.min(order).alias("first")), "distinct")
+    stays = component_roots(distinct, radius, bands, shard_size).groupBy("root").agg(F.min("first").alias("first"))
+    # the place of an id, null or not; ids of one text that share it are told apart below
+    place = F.xxhash64(F.col("doc").isNull(), "doc")
+    stays = stays.select("first.node", F.col("first.doc").alias("doc")).select("node", place.alias("place"), F.col("doc").alias("stays"))
+    kept = rows.withColumn("place", place).join(stays, ["node", "place"]).filter(F.col("doc").eqNullSafe(F.col("stays")))
+    again = F.row_number().over(Window.partitionBy("node", "place").orderBy(F.lit(0)))
+    return tx.named_again(kept.withColumn("again", again).filter("again = 1"), docs)

@@ -337,6 +337,7 @@ def contaminated(
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
     """``docs`` without the contaminated documents; all columns and all other rows stay."""
     marked = contaminated(docs, benchmark, id_col, text_col, **options)
-    gone = marked.select(F.col(id_col).alias("_gone_id"), F.col("text_key").alias("_gone_key")).distinct()
-    same = docs[id_col].cast("long").eqNullSafe(F.col("_gone_id")) & (F.xxhash64(docs[text_col]) == F.col("_gone_key"))
-    return docs.join(gone, same, "left_anti")
+    gone = marked.select(F.col(id_col).alias("gone_id"), F.col("text_key").alias("gone_key")).distinct()
+    rows, name = tx.numbered(docs)
+    same = rows[name[id_col]].cast("long").eqNullSafe(F.col("gone_id")) & (F.xxhash64(rows[name[text_col]]) == F.col("gone_key"))
+    return tx.named_again(rows.join(gone, same, "left_anti"), docs)

@@ -7,6 +7,8 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 #: Translation table that lower-cases A-Z and nothing else.
 LOWER_ASCII = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
@@ -26,6 +28,18 @@ def chunks(batches: Iterator[pa.RecordBatch], column: str, limit: int = CHUNK_BY
                 yield batch.slice(a, b - a)
 
 
+def numbered(docs: DataFrame) -> tuple[DataFrame, dict[str, str]]:
+    """``docs`` with its columns named by position (c0, c1 and so on), and the new name of each, so
+    that a column that an operator adds cannot clash with one of the table."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), dict(zip(docs.columns, names, strict=True))
+
+
+def named_again(numbered: DataFrame, docs: DataFrame) -> DataFrame:
+    """The columns of ``docs`` under their own names, without any that were added."""
+    return numbered.select(*[F.col(f"c{i}") for i in range(len(docs.columns))]).toDF(*docs.columns)
+
+
 class WordHashes(dict):
     """Word -> 64-bit hash, remembered. Cleared when it holds ``limit`` words, which only costs time."""
 

@@ -27,8 +27,6 @@ VERSION = b"WARC/1.1\r\n"
 SPLIT_BYTES, BLOCK = 32 << 20, 1 << 20
 #: Reading tasks at most; beyond it a task takes several ranges.
 MOST_TASKS = 100_000
-#: A header longer than this is not taken for one.
-HEADER_LIMIT = 1 << 20
 DATE = "2000-01-01T00:00:00Z"
 REVISIT = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
@@ -75,9 +73,10 @@ def decode_member(archive: Archive, place: int) -> tuple[dict[str, str], bytes,
     """Headers, body and end of the record whose member starts at ``place``; None if none does.
 
     The header is decoded first, from as little of the member as it needs; the rest only if it
-    is one. A member that starts as a record but is damaged raises an error.
+    is one, however long it is. A member that starts as a record but is damaged, or whose header
+    does not end, raises an error.
     """
-    inflate, parts, seen, head, length = zlib.decompressobj(31), [], b"", None, 0
+    inflate, parts, seen, head, length = zlib.decompressobj(31), [], bytearray(), None, 0
     at, waiting = place, b""
     while not inflate.eof:
         if not waiting:
@@ -97,19 +96,22 @@ def decode_member(archive: Archive, place: int) -> tuple[dict[str, str], bytes,
         if head is not None:
             parts.append(got)
             continue
+        searched = max(0, len(seen) - 3)
         seen += got
         if not VERSION.startswith(seen[: len(VERSION)]):
             return None
-        end = seen.find(b"\r\n\r\n")
+        end = seen.find(b"\r\n\r\n", searched)
         if end >= 0:
             try:
-                head = parse_headers(seen[:end])
+                head = parse_headers(bytes(seen[:end]))
                 length = int(head["content-length"])
             except (UnicodeDecodeError, KeyError, ValueError):
                 return None
-            parts.append(seen[end + 4 :])
-        elif len(seen) > HEADER_LIMIT or inflate.eof:
-            return None
+            parts.append(bytes(seen[end + 4 :]))
+        elif inflate.eof:
+            if len(seen) < len(VERSION):
+                return None
+            raise ValueError(f"the header of the record at byte {place} does not end")
     body = b"".join(parts)
     if head is None or body[length:] != b"\r\n\r\n":
         raise ValueError(f"the record at byte {place} has the wrong length")
