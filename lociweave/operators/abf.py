@@ -11,6 +11,11 @@ with sdY estimated from the pair's shared variants.
 
 from __future__ import annotations
 
+import math
+from functools import reduce
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,8 +27,16 @@ from lociweave.schemas import VARIANT
 
 PAIR = ["left_sid", "right_sid"]
 
-# Shared variants of one pair that one slice takes.
-ROWS_PER_SLICE = 200_000
+# A cell: pairs of one region whose signals a task holds together.
+CELL = ["region", "left_strip", "right_strip"]
+
+# Signals' rows that a cell holds at most on each side (a single signal may have more).
+ROWS_PER_CELL = 500_000
+
+# Pairs are grouped by where their left signal begins; signals travel in stretches.
+REGION_BP = 1_000_000
+BLOCK_BP = 250_000
+BLOCK_COLUMNS = ["key", "pos", "v", "z", "h"]
 
 # Width of an exponent bucket. exp() of anything inside half a bucket of its
 # centre is far from overflow and underflow.
@@ -35,7 +48,7 @@ def study_type_prop(reduced: DataFrame) -> DataFrame:
 
     Taken from the signal's first row by position, then by a hash of the alleles. The
     order is one number, which keeps this a hash aggregation: ordering by a struct
-    would sort all rows.
+    would sort all rows. ``region`` is a number for where the signal begins.
     """
     allele = F.xxhash64("ref", "alt").bitwiseAND(F.lit(0xFFFFFFFF))
     order = F.shiftleft(F.col("pos").cast("long"), 32) + allele
@@ -48,10 +61,13 @@ def study_type_prop(reduced: DataFrame) -> DataFrame:
             F.min_by("n_cases", order).alias("n_cases"),
             F.min_by("is_cc", order).alias("is_cc"),
             F.count(F.lit(1)).alias("n_rows"),
+            F.min(F.xxhash64("chrom")).alias("chrom"),
+            F.min("pos").alias("pos"),
         )
         .select(
             "sid",
             "n_rows",
+            F.xxhash64("chrom", F.floor(F.col("pos") / REGION_BP)).alias("region"),
             "n",
             F.coalesce("is_cc", F.lit(False)).alias("is_cc"),
             F.try_divide(cases, F.col("n")).alias("s"),
@@ -194,103 +210,159 @@ def coloc_abf(
     p1: float = 1e-4,
     p2: float = 1e-4,
     p12: float = 1e-5,
-    rows_per_slice: int = ROWS_PER_SLICE,
+    rows_per_cell: int = ROWS_PER_CELL,
     right_reduced: DataFrame | None = None,
 ) -> DataFrame:
     """Five posteriors per pair: ``left_sid, right_sid, coloc_n_vars, coloc_h0..h4``.
 
-    Shared rows are shuffled once, by pair and slice, and stay there until they are summed.
-    A pair has one slice for every ``rows_per_slice`` rows that its smaller signal has, so
-    nearly all have one. A pair without shared variants has no row.
+    A signal's rows travel as column blocks, one row per signal and stretch of positions. Pairs are
+    grouped by the region of their left signal, and each region's signals go there once, however
+    many pairs they are in; a region with more rows than ``rows_per_cell`` on a side is cut into a
+    grid of cells by signal. A task matches the sorted variants of two signals and hands on four
+    numbers per pair, so what is shuffled does not grow with pairs times variants. A pair without
+    shared variants has no row.
     """
-    info = {"left": study_type_prop(reduced)}
-    info["right"] = info["left"] if right_reduced is None else study_type_prop(right_reduced)
-    tests = pairs.select(*PAIR).distinct()
-    for side in ("left", "right"):
-        tests = tests.join(
-            info[side].select(
-                F.col("sid").alias(f"{side}_sid"),
-                # N where the prior depends on sdY, null for case-control data
-                F.when(~F.col("is_cc"), F.col("n").cast("double")).alias(f"{side}_k"),
-                F.col("n_rows").alias(f"{side}_rows"),
-            ),
-            f"{side}_sid",
+    usable, info = usable_rows(reduced), study_type_prop(reduced)
+    sides = {"left": (info, usable), "right": (info, usable)}
+    if right_reduced is not None:
+        sides["right"] = (study_type_prop(right_reduced), usable_rows(right_reduced))
+    tests = _in_cells(pairs, sides["left"][0], sides["right"][0], rows_per_cell)
+    wanted = {
+        side: tests.select(*CELL, F.col(f"{side}_sid").alias("sid")).distinct() for side in sides
+    }
+    if right_reduced is None:
+        both = wanted["left"].union(wanted["right"]).distinct()
+        shipped = both.join(column_blocks(usable), "sid").withColumn("side", F.lit("both"))
+    else:
+        shipped = reduce(
+            DataFrame.unionByName,
+            [
+                wanted[side].join(column_blocks(rows), "sid").withColumn("side", F.lit(side))
+                for side, (_, rows) in sides.items()
+            ],
+        )
+    # both sides come from the pairs: rename one so that columns stay apart
+    asked = tests.select(*[F.col(c).alias(f"test_{c}") for c in CELL], *PAIR, "left_k", "right_k")
+    sums = (
+        shipped.groupBy(*CELL)
+        .cogroup(asked.groupBy(*[f"test_{c}" for c in CELL]))
+        .applyInArrow(
+            _cell_sums, "left_sid binary, right_sid binary, n long, s1 double, s2 double, s12 double"
         )
-    tests = tests.withColumn(
-        "n_slices", F.ceil(F.least("left_rows", "right_rows") / rows_per_slice).cast("int")
-    ).drop("left_rows", "right_rows")
-    # Every pair is about to grow into its variants: spread the pairs over all tasks,
-    # however few bytes they are now.
-    tests = tests.repartition(
-        int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions")), *PAIR
     )
-    usable = usable_rows(reduced)
-    right_usable = None if right_reduced is None else usable_rows(right_reduced)
-    rows = _test_rows(harmonise_pair(tests, usable, right_reduced=right_usable))
-    return posteriors(log_sums(_factors(rows), PAIR), p1, p2, p12)
+    return posteriors(sums, p1, p2, p12)
 
 
-def _test_rows(shared: DataFrame) -> DataFrame:
-    cols = []
+def column_blocks(rows: DataFrame, block_bp: int = BLOCK_BP) -> DataFrame:
+    """One row per signal and stretch of positions, with arrays of what the test needs: ``key``
+    (a hash of the variant, whose position is compared too), ``pos``, ``v`` = se^2, ``z`` and
+    ``h`` = 2 maf (1 - maf)."""
+    maf = eaf_to_maf(F.col("eaf"))
+    entry = F.struct(
+        F.xxhash64(*VARIANT).alias("key"),
+        F.col("pos").cast("int").alias("pos"),
+        (F.col("se") * F.col("se")).alias("v"),
+        (F.col("beta") / F.col("se")).alias("z"),
+        (2 * maf * (1 - maf)).alias("h"),
+    )
+    stretch = F.floor(F.col("pos") / block_bp).alias("block")
+    return (
+        rows.select("sid", stretch, entry.alias("e"))
+        .groupBy("sid", "block")
+        .agg(F.collect_list("e").alias("e"))
+        .select("sid", *[F.col(f"e.{c}").alias(c) for c in BLOCK_COLUMNS])
+    )
+
+
+def _in_cells(pairs: DataFrame, left: DataFrame, right: DataFrame, rows_per_cell: int) -> DataFrame:
+    """Distinct pairs with the cell that tests them and, per side, N where the prior depends on sdY
+    (null for case-control data)."""
+    tests = pairs.select(*PAIR).distinct()
+    for side, info in (("left", left), ("right", right)):
+        own = info.select(
+            F.col("sid").alias(f"{side}_sid"),
+            F.when(~F.col("is_cc"), F.col("n").cast("double")).alias(f"{side}_k"),
+            F.col("n_rows").alias(f"{side}_rows"),
+            *(["region"] if side == "left" else []),
+        )
+        tests = tests.join(own, f"{side}_sid")
+    grid = None
     for side in ("left", "right"):
-        se, maf = F.col(f"{side}_se"), eaf_to_maf(F.col(f"{side}_eaf"))
-        cols += [
-            f"{side}_k",
-            (se * se).alias(f"{side}_v"),
-            (F.col(f"{side}_beta") / se).alias(f"{side}_z"),
-            (2 * maf * (1 - maf)).alias(f"{side}_h"),
-        ]
-    part = F.pmod(F.xxhash64(*VARIANT), F.col("n_slices")).cast("int").alias("slice")
-    return shared.select(*PAIR, "n_slices", part, *cols)
-
-
-def _sdy_sums(side: str) -> tuple[Column, Column]:
-    """The two sums whose ratio, times N, is the square of sdY."""
-    v = F.col(f"{side}_v")
-    return F.sum(F.col(f"{side}_h") / v), F.sum(1 / (v * v))
-
-
-def _prior(side: str, num: Column, den: Column, k: Column) -> Column:
-    return F.when(k.isNull(), F.lit(0.2)).otherwise(0.15 * F.sqrt(k * num / den))
-
-
-def _factor(side: str, prior: Column) -> Column:
-    return log_abf(F.col(f"{side}_v"), F.col(f"{side}_z"), prior)
-
-
-def _factors(rows: DataFrame) -> DataFrame:
-    """Log Bayes factors. The rows are shuffled once, by pair and slice; sdY comes from sums per
-    slice, added up per pair and handed back to its slices."""
-    parts = rows.repartition(*PAIR, "slice")
-    sums = {}
-    for s in ("left", "right"):
-        sums[f"{s}_num"], sums[f"{s}_den"] = _sdy_sums(s)
-        sums[f"{s}_n"] = F.max(f"{s}_k")
-    sums["slices"] = F.max("n_slices")
-    again = {
-        c: (F.sum(c) if c.endswith(("num", "den")) else F.max(c)).alias(c) for c in sums
+        rows = tests.select("region", f"{side}_sid", f"{side}_rows").distinct().groupBy("region")
+        strips = F.ceil(F.sum(f"{side}_rows") / rows_per_cell).cast("int").alias(f"{side}_strips")
+        own = rows.agg(strips)
+        grid = own if grid is None else grid.join(own, "region")
+    strip = {
+        side: F.pmod(F.xxhash64(f"{side}_sid"), F.col(f"{side}_strips")).cast("int").alias(f"{side}_strip")
+        for side in ("left", "right")
     }
-    priors = (
-        parts.groupBy(*PAIR, "slice")
-        .agg(*[agg.alias(c) for c, agg in sums.items()])
-        .groupBy(*PAIR)
-        .agg(*again.values())
-        .select(
-            *PAIR,
-            *[
-                _prior(s, F.col(f"{s}_num"), F.col(f"{s}_den"), F.col(f"{s}_n")).alias(f"{s}_prior")
-                for s in ("left", "right")
-            ],
-            F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("slice"),
-        )
-    )
-    return parts.join(priors, [*PAIR, "slice"]).select(
-        *PAIR,
-        _factor("left", F.col("left_prior")).alias("l1"),
-        _factor("right", F.col("right_prior")).alias("l2"),
+    return tests.join(grid, "region").select(
+        "region", strip["left"], strip["right"], *PAIR, "left_k", "right_k"
     )
 
 
+def _signal_arrays(blocks: pa.Table) -> dict[tuple, tuple[np.ndarray, ...]]:
+    """(side, sid) -> its columns, sorted by key."""
+    parts: dict[tuple, list] = {}
+    for batch in blocks.to_batches():
+        columns = []
+        for c in BLOCK_COLUMNS:
+            lists = batch.column(c)
+            columns.append((lists.offsets.to_numpy(), lists.values.to_numpy(zero_copy_only=False)))
+        for i, name in enumerate(zip(batch.column("side").to_pylist(), batch.column("sid").to_pylist(), strict=True)):
+            parts.setdefault(name, []).append([values[at[i] : at[i + 1]] for at, values in columns])
+    out = {}
+    for name, pieces in parts.items():
+        joined = [np.concatenate(c) for c in zip(*pieces, strict=True)]
+        order = np.argsort(joined[0], kind="stable")
+        out[name] = tuple(c[order] for c in joined)
+    return out
+
+
+def _matches(a: tuple[np.ndarray, ...], b: tuple[np.ndarray, ...]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of equal variants in two signals, every combination of repeated ones."""
+    if len(a[0]) > len(b[0]):
+        ib, ia = _matches(b, a)
+        return ia, ib
+    first, last = np.searchsorted(b[0], a[0], "left"), np.searchsorted(b[0], a[0], "right")
+    times = last - first
+    ia = np.repeat(np.arange(len(times)), times)
+    ib = np.arange(len(ia)) - np.repeat(np.cumsum(times) - times, times) + np.repeat(first, times)
+    same = a[1][ia] == b[1][ib]
+    return ia[same], ib[same]
+
+
+def _log_factors(signal: tuple[np.ndarray, ...], at: np.ndarray, k: float | None) -> np.ndarray:
+    v, z, h = (c[at] for c in signal[2:])
+    prior = 0.2 if k is None else 0.15 * math.sqrt(k * np.sum(h / v) / np.sum(1 / (v * v)))
+    w = prior * prior
+    return 0.5 * (np.log(v / (w + v)) + w / (w + v) * z * z)
+
+
+def _log_sum(x: np.ndarray) -> float:
+    top = x.max()
+    return float(top + np.log(np.exp(x - top).sum()))
+
+
+def _cell_sums(blocks: pa.Table, tests: pa.Table) -> pa.Table:
+    """Number of shared variants and the three log-sum-exps of every pair of a cell."""
+    signals = _signal_arrays(blocks)
+    found = []
+    for pair in tests.select([*PAIR, "left_k", "right_k"]).to_pylist():
+        own = [signals.get((side, pair[f"{side}_sid"])) or signals.get(("both", pair[f"{side}_sid"])) for side in ("left", "right")]
+        if None in own:
+            continue
+        places = _matches(*own)
+        if not len(places[0]):
+            continue
+        l1, l2 = (_log_factors(o, at, pair[f"{s}_k"]) for o, at, s in zip(own, places, ("left", "right"), strict=True))
+        found.append((pair["left_sid"], pair["right_sid"], len(l1), _log_sum(l1), _log_sum(l2), _log_sum(l1 + l2)))
+    columns = list(zip(*found, strict=True)) if found else [[]] * 6
+    types = [pa.binary(), pa.binary(), pa.int64(), pa.float64(), pa.float64(), pa.float64()]
+    names = [*PAIR, "n", "s1", "s2", "s12"]
+    return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+
 def pvalue_dataset(rows: DataFrame) -> DataFrame:
     """Effect scale for rows that only have p-values.
 

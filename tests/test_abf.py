@@ -93,15 +93,38 @@ def test_equals_direct_computation(spark, scale):
         assert sum(got[a, b][1]) == pytest.approx(1.0)
 
 
-def test_slicing_a_pair_does_not_change_it(spark):
+@pytest.mark.parametrize("rows_per_cell", [1, 60, 130])
+def test_cells_do_not_change_a_pair(spark, rows_per_cell):
     signals = _signals(np.random.default_rng(2))
     pairs, frame = _pairs(spark, PAIRS), _frame(spark, signals)
-    whole, cut = _result(A.coloc_abf(pairs, frame)), _result(A.coloc_abf(pairs, frame, rows_per_slice=7))
+    whole = _result(A.coloc_abf(pairs, frame))
+    cut = _result(A.coloc_abf(pairs, frame, rows_per_cell=rows_per_cell))
     assert whole.keys() == cut.keys()
     for k in whole:
         assert whole[k][0] == cut[k][0] and whole[k][1] == pytest.approx(cut[k][1], abs=1e-12)
 
 
+def test_each_signal_goes_to_a_cell_once(spark):
+    """What is shipped does not grow with the pairs."""
+    signals = _signals(np.random.default_rng(2), 6)
+    frame = _frame(spark, signals)
+    info = A.study_type_prop(frame)
+    every = [(a, b) for a in range(6) for b in range(6) if a != b]
+    for pairs in (PAIRS, every):
+        tests = A._in_cells(_pairs(spark, pairs), info, info, 10**6)
+        assert tests.select(*A.CELL).distinct().count() == 1
+    blocks = A.column_blocks(A.usable_rows(frame), 50).collect()
+    assert sum(len(r.key) for r in blocks) == 360 and all(len({p // 50 for p in r.pos}) == 1 for r in blocks)
+
+
+def test_repeated_variants_meet_in_every_combination(spark):
+    rows = {p: {"beta": 0.1 * p, "se": 0.02, "eaf": 0.3, "n_total": 1000, "is_cc": True} for p in (5, 6, 7)}
+    frame = _frame(spark, {0: rows, 1: rows})
+    frame = frame.union(frame.filter("pos = 6")).union(frame.filter("pos = 6 and sid = X'01'"))
+    shared = A.harmonise_pair(_pairs(spark, [(0, 1)]), frame)
+    assert _result(A.coloc_abf(_pairs(spark, [(0, 1)]), frame))[0, 1][0] == shared.count() == 2 + 2 * 3
+
+
 def test_swapping_sides_swaps_h1_and_h2(spark):
     signals = _signals(np.random.default_rng(3))
     frame = _frame(spark, signals)
