@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -30,7 +31,8 @@ def with_recipes(sql: str, needs=(), ctes=()) -> str:
     parts = [(n, fixtures.RECIPES[n]) for n in fixtures.closure(needs)] + list(ctes)
     if not parts:
         return sql.strip()
-    return "with " + ",\n".join(f"{n} as ({body.strip()})" for n, body in parts) + "\n" + sql.strip()
+    recursive = any(re.search(rf"\bfrom {n}\b", body) for n, body in ctes)
+    return ("with recursive " if recursive else "with ") + ",\n".join(f"{n} as ({body.strip()})" for n, body in parts) + "\n" + sql.strip()
 
 
 def query(name: str, sql: str | None = None, needs=(), ctes=()):

@@ -4,18 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from lociweave.catalog.common import CLEAN_KEYS_SQL, csv, r6, rounded, same
+from lociweave.catalog.common import CLEAN_KEYS_SQL, MAX_DIST, csv, r6, rounded, same
 from lociweave.catalog.registry import query
+from lociweave.catalog.signals import COND_NEEDS, CONDITIONED_ABF_CTES, n_samples
 from lociweave.config import Config
 from lociweave.functions import scalars as S
 from lociweave.operators import audit, enrich, merge
 from lociweave.operators import process as P
+from lociweave.plans import coloc
+from lociweave.plans.coloc import Inputs
 from lociweave.schemas import (
     COLOC_KEYS,
     COLOC_STATS,
     DEDUP_KEYS,
     MERGE_KEYS,
     MERGE_KEYS_PROCESSED,
+    SIGNAL_TO_COLOC,
     VARIANT,
 )
 from lociweave.sources.writers import range_layout
@@ -227,6 +231,44 @@ def _(t):
     return rounded(out, *H, "coloc_h4_h3", "coloc_log2_h4_h3")
 
 
+# -- a whole run ----------------------------------------------------------------
+
+RUN_MIN_VARS = 10
+#: Digits to which a run's raw results are compared, also where processing ranks them.
+RAW_DIGITS = 9
+_RAW_SIDE = ", ".join(
+    f"{{a}}.{old} as {{s}}_{new}" for old, new in SIGNAL_TO_COLOC.items()
+)
+RUN_CTES = [
+    *CONDITIONED_ABF_CTES,
+    (
+        "coloc_raw",
+        "select cast(n as int) as coloc_n_vars, "
+        + ", ".join(f"round(exp(h{i}-g)/t, {RAW_DIGITS}) + 0.0 as coloc_h{i}" for i in range(5))
+        + f", {_RAW_SIDE.format(a='l', s='left')}, {_RAW_SIDE.format(a='r', s='right')}"
+        + " from ht join sig l on l.sid = ht.ls join sig r on r.sid = ht.rs",
+    ),
+    *_process_ctes(RUN_MIN_VARS),
+]
+
+
+@query(
+    "coloc_run",
+    f"select {csv(PROC_OUT)}, {_r(*H, 'coloc_log2_h4_h3')} from processed",
+    [*COND_NEEDS, "gene_lut"],
+    RUN_CTES,
+)
+def _(t):
+    """From credible sets to processed results: overlap, windows, conditioning, test, processing."""
+    inputs = Inputs(
+        t("credset"), t("sumstats"), t("top_loci"), t("gene_lut"), t("panel"), n_samples=n_samples(t)
+    )
+    config = Config(max_lead_distance=MAX_DIST, min_overlapping_vars=RUN_MIN_VARS)
+    out = coloc.run(inputs, config, digits=RAW_DIGITS)
+    columns = [*PROC_OUT, *H, "coloc_log2_h4_h3"]
+    return rounded(out.coloc_processed.select(*columns), *H, "coloc_log2_h4_h3")
+
+
 @query(
     "range_layout",
     f"select {STATS}, {KEYS} from coloc_raw",

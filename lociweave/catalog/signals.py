@@ -28,7 +28,7 @@ from lociweave.operators import sumstats as SS
 from lociweave.operators.audit import run_failures
 from lociweave.operators.overlap import attach_signals
 from lociweave.schemas import COLOC_KEYS, SIGNAL, SUMSTATS, VARIANT
-from lociweave.session import scratch_path
+from lociweave.session import materialise, scratch_path
 from lociweave.sources import readers as R
 from lociweave.sources import writers as W
 
@@ -375,90 +375,124 @@ def _(t):
     return rounded(C.cojo_input(rows, 0.01, keep=["sid"]), "p")
 
 
-ONE_KB = 200
+COND_KB = 1000
 D = "2 * {p}eaf * (1 - {p}eaf) * {p}n_total"
-ONE_CTES = [
-    *cond_ctes(1000 * ONE_KB),
+VARIANT_SAME = " and ".join(f"{{a}}.{c} = {{b}}.{c}" for c in VARIANT)
+LEAD_IS = " and ".join(f"ld.lead_{c} = c.{c}" for c in VARIANT)
+TAG_IS = " and ".join(f"ld.tag_{c} = w.{c}" for c in VARIANT)
+# Conditioning on any number of leads. The correlations of a signal's leads, bordered by sqrt(D) b,
+# are swept by one lead after another, strongest first, as a list of lists; a lead of which those
+# before it explain more than 0.9 is passed over.
+CONDITIONAL_CTES = [
+    *cond_ctes(1000 * COND_KB),
     *PANEL_CTES,
-    ("one", "select sid from cond group by sid having count(*) = 1"),
+    (
+        "cl",
+        f"select c.*, {D.format(p='c.')} as d, row_number() over (partition by sid order by {csv(VARIANT, 'c.')}) as i,"
+        f" row_number() over (partition by sid order by c.pval, {csv(VARIANT, 'c.')}) as o"
+        f" from cond c join pv on {VARIANT_SAME.format(a='pv', b='c')} cross join n where n.n * pv.ss - pv.s * pv.s > 0",
+    ),
+    ("lv", f"select distinct {V} from cl"),
     (
         "wp",
-        "select distinct c.chrom as lead_chrom, c.pos as lead_pos, c.ref as lead_ref, c.alt as lead_alt, w.chrom as tag_chrom, w.pos as tag_pos, w.ref as tag_ref, w.alt as tag_alt"
-        " from cond c join one o on o.sid = c.sid join w on w.sid = c.sid",
+        f"select distinct {csv([f'c.{c} as lead_{c}' for c in VARIANT])}, {csv([f'w.{c} as tag_{c}' for c in VARIANT])} from cl c join w on w.sid = c.sid",
+    ),
+    (
+        "shared",
+        f"select {csv([f'a.{c} as lead_{c}' for c in VARIANT])}, {csv([f'b.{c} as tag_{c}' for c in VARIANT])}, sum(a.dosage * b.dosage) as sab"
+        f" from (select p.* from panel p join lv on {VARIANT_SAME.format(a='lv', b='p')}) a"
+        f" join panel b on b.sample_id = a.sample_id and b.chrom = a.chrom and b.pos between a.pos - {2000 * COND_KB} and a.pos + {2000 * COND_KB} group by all",
+    ),
+    corr_ctes("wp")[1],
+    (
+        "rows_of",
+        f"select c.sid, c.i, sqrt(c.d) * c.beta as z, list(ld.r order by w.i) as r from cl c join cl w on w.sid = c.sid join ld on {LEAD_IS} and {TAG_IS} group by all",
+    ),
+    (
+        "bordered",
+        "select sid, count(*) as k, list(list_append(r, z) order by i) || [list_append(list(z order by i), 0.0)] as m from rows_of group by sid",
+    ),
+    (
+        "swept",
+        "select sid, k, 0::bigint as o, m, []::bigint[] as kept from bordered"
+        " union all select s.sid, s.k, c.o,"
+        " case when s.m[c.i][c.i] < 0.1 then s.m else"
+        " [[case when a = c.i and b = c.i then -1 / s.m[a][b] when a = c.i or b = c.i then s.m[a][b] / s.m[c.i][c.i]"
+        " else s.m[a][b] - s.m[a][c.i] * s.m[c.i][b] / s.m[c.i][c.i] end for b in range(1, s.k + 2)] for a in range(1, s.k + 2)] end,"
+        " case when s.m[c.i][c.i] < 0.1 then s.kept else list_append(s.kept, c.i) end"
+        " from swept s join cl c on c.sid = s.sid and c.o = s.o + 1",
     ),
-    *corr_ctes("wp"),
     (
         "var",
-        f"select w.sid, quantile_cont({D.format(p='w.')} * se * se + {D.format(p='w.')} * beta * beta / (n_total - 1), 0.5) as vp from w join one o on o.sid = w.sid group by w.sid",
+        f"select w.sid, quantile_cont({D.format(p='w.')} * se * se + {D.format(p='w.')} * beta * beta / (n_total - 1), 0.5) as vp from w join bordered b on b.sid = w.sid group by w.sid",
     ),
     (
-        "cj",
-        f"select w.*, c.beta as b1, {D.format(p='c.')} as d1, {D.format(p='w.')} as d, ld.r, var.vp from w join cond c on c.sid = w.sid join var on var.sid = w.sid join ld on "
-        + " and ".join(f"ld.lead_{c} = c.{c} and ld.tag_{c} = w.{c}" for c in VARIANT)
-        + " where ld.r2 <= 0.9",
+        "rv",
+        f"select w.sid, {csv(VARIANT, 'w.')}, list(ld.r order by c.i) as r from (select distinct sid, {V} from w) w join cl c on c.sid = w.sid join ld on {LEAD_IS} and {TAG_IS} group by all",
     ),
-    ("cb", "select *, beta - r * b1 * sqrt(d1 / d) as bc from cj"),
     (
-        "cv",
-        "select *, (vp * (n_total - 1) - b1 * b1 * d1 - bc * beta * d) / (n_total - 2) * (1 - r * r) / d as vc from cb",
+        "cj",
+        f"select w.*, {D.format(p='w.')} as d, var.vp, len(s.kept) as n_kept, -s.m[k + 1][k + 1] as explained, list_sum([rv.r[a] * s.m[a][k + 1] for a in s.kept]) as ru,"
+        " list_sum([list_sum([rv.r[a] * rv.r[b] * -s.m[a][b] for b in s.kept]) for a in s.kept]) as taken"
+        f" from rv join w on w.sid = rv.sid and {VARIANT_SAME.format(a='w', b='rv')} join swept s on s.sid = w.sid and s.o = s.k join var on var.sid = w.sid",
     ),
+    ("cb", "select *, beta - ru / sqrt(d) as bc from cj where taken <= 0.9"),
+    ("cv", "select *, (vp * (n_total - 1) - explained - bc * beta * d) / (n_total - n_kept - 1) * (1 - taken) / d as vc from cb"),
     ("conditional", "select * from cv where vc > 0"),
 ]
+NEAR = "pos between lead_pos - 500000 and lead_pos + 500000"
+_STAT = "chrom, pos, ref, alt, n_total, n_cases, eaf, is_cc"
+REDUCED_CTE = (
+    "red",
+    f"select sid, {_STAT}, beta, se from w where sid not in (select sid from cond) and {NEAR}"
+    f" union all select sid, {_STAT}, bc, sqrt(vc) from conditional where {NEAR}",
+)
+COND_NEEDS = ["credset", "sumstats", "top_loci", "panel"]
 
 
-def conditioning_inputs(t, kb: int):
-    """Windowed rows, leads to condition on and their LD, as a run keeps them."""
+def conditioning_inputs(t, kb: int = COND_KB):
+    """Windowed rows and the leads to condition on, as a run keeps them."""
     windowed = t.derived(
         f"windowed_{kb}", lambda: SS.window_join(signals(t), t("sumstats"), kb, 0.01)
     )
     conds = t.derived(
         f"cond_list_{kb}", lambda: SS.cond_list(signals(t), windowed, t("top_loci"), kb)
     )
-    ld = t.derived(
-        f"cond_ld_{kb}",
-        lambda: L.ld_pairs(conds.select(*VARIANT), t("panel"), 2 * kb, 0.0, n_samples(t), windowed),
-    )
-    return windowed, conds, ld
+    return windowed, conds
 
 
-def _one_lead(t):
-    """Signals with exactly one other lead within the window, conditioned on it."""
-    windowed, conds, ld = conditioning_inputs(t, ONE_KB)
-    single = conds.groupBy("sid").count().filter("count = 1").select("sid")
-    return C.conditional_sumstats(
-        windowed.join(single, "sid", "left_semi"), conds.join(single, "sid", "left_semi"), ld
-    )
+def _conditional(t):
+    windowed, conds = conditioning_inputs(t)
+    return C.conditional_sumstats(windowed, conds, t("panel"), n_samples(t), keep=materialise)
 
 
 @query(
     "conditional_sumstats",
     f"select sid, {V}, {r6('bc', 'beta')}, {r6('sqrt(vc)', 'se')}, eaf, n_total from conditional",
-    ["credset", "sumstats", "top_loci", "panel"],
-    ONE_CTES,
+    COND_NEEDS,
+    CONDITIONAL_CTES,
 )
 def _(t):
-    out = _keyed(t, _one_lead(t)).select("sid", *VARIANT, "beta", "se", "eaf", "n_total")
+    out = _keyed(t, _conditional(t)).select("sid", *VARIANT, "beta", "se", "eaf", "n_total")
     return rounded(out, "beta", "se")
 
 
 @query(
     "merge_conditional",
     f"select sid, {V}, beta, {r6('bc', 'beta_cond')}, {r6('sqrt(vc)', 'se_cond')} from conditional",
-    ["credset", "sumstats", "top_loci", "panel"],
-    ONE_CTES,
+    COND_NEEDS,
+    CONDITIONAL_CTES,
 )
 def _(t):
-    windowed, _, _ = conditioning_inputs(t, ONE_KB)
-    merged = C.merge_conditional(windowed, _one_lead(t))
+    merged = C.merge_conditional(conditioning_inputs(t)[0], _conditional(t))
     out = _keyed(t, merged).select("sid", *VARIANT, "beta", "beta_cond", "se_cond")
     return rounded(out, "beta_cond", "se_cond")
 
 
 @query("conditional_sumstats_many")
 def _(t):
-    # several leads per signal: needs a matrix inverse, checked against brute force
-    out = C.conditional_sumstats(*conditioning_inputs(t, 1000))
-    return _keyed(t, out).select("sid", *VARIANT, "beta", "se", "pval")
+    # with p-values, which SQL has no function for
+    return _keyed(t, _conditional(t)).select("sid", *VARIANT, "beta", "se", "pval")
 
 
 @query(
@@ -474,25 +508,25 @@ def _(t):
     return _keyed(t, rows).select(*_RED_COLS)
 
 
-def reduced_conditioned(t):
-    from lociweave.session import materialise
-
-    return t.derived(
-        "reduced_conditioned",
-        lambda: C.reduced_sumstats(
-            signals(t),
-            t("sumstats"),
-            t("top_loci"),
-            t("panel"),
-            n_samples=n_samples(t),
-            keep=materialise,
-        ),
+def reduce_conditioned(t):
+    """What a run tests with: conditioned where a signal has other leads around it."""
+    return C.reduced_sumstats(
+        signals(t), t("sumstats"), t("top_loci"), t("panel"), n_samples=n_samples(t), keep=materialise
     )
 
 
-@query("reduced_sumstats")
+def reduced_conditioned(t):
+    return t.derived("reduced_conditioned", lambda: reduce_conditioned(t))
+
+
+@query(
+    "reduced_sumstats",
+    f"select sid, {V}, {r6('beta')}, {r6('se')}, eaf from red",
+    COND_NEEDS,
+    [*CONDITIONAL_CTES, REDUCED_CTE],
+)
 def _(t):
-    return _keyed(t, reduced_conditioned(t)).select(*_RED_COLS, "pval")
+    return rounded(_keyed(t, reduced_conditioned(t)).select(*_RED_COLS), "beta", "se")
 
 
 # -- ABF --------------------------------------------------------------------
@@ -627,11 +661,21 @@ def _(t):
     return rounded(_keyed_pairs(t, out), *HS)
 
 
-@query("coloc_abf_conditioned")
+# The test over conditioned statistics.
+CONDITIONED_ABF_CTES = [*CONDITIONAL_CTES, REDUCED_CTE, *ABF_CTES[[n for n, _ in ABF_CTES].index("red") + 1 :]]
+
+
+def conditioned_posteriors(t):
+    return t.derived(
+        "posteriors_conditioned",
+        lambda: A.coloc_abf(manifest(t).select(*A.PAIR), reduced_conditioned(t)),
+    )
+
+
+@query("coloc_abf_conditioned", ABF_SQL, COND_NEEDS, CONDITIONED_ABF_CTES)
 def _(t):
-    # a whole run: overlap, manifest, windows, conditioning and the test
-    out = A.coloc_abf(manifest(t).select(*A.PAIR), reduced_conditioned(t))
-    return rounded(_keyed_pairs(t, out), *HS)
+    # overlap, manifest, windows, conditioning and the test
+    return rounded(_keyed_pairs(t, conditioned_posteriors(t)), *HS)
 
 
 BROKEN = "eaf > 0.9"

@@ -10,6 +10,7 @@ from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from lociweave.config import Config
 from lociweave.operators import manifest as M
@@ -71,8 +72,10 @@ def run(
     inputs: Inputs,
     config: Config = Config(),
     keep: Callable[[DataFrame, str], DataFrame] = materialise,
+    digits: int | None = None,
 ) -> Outputs:
-    """All stages. ``keep`` stores the intermediate tables."""
+    """All stages. ``keep`` stores the intermediate tables. ``digits``: decimals to which raw
+    posteriors are rounded, so that ties between tests do not hang on the order of sums."""
     overlap = keep(
         overlap_table(
             inputs.credset,
@@ -104,7 +107,10 @@ def run(
     )
     reduced = fresh if inputs.reduced is None else fresh.unionByName(inputs.reduced.select(*fresh.columns))
     tested = coloc_abf(manifest.select(*PAIR), reduced, config.p1, config.p2, config.p12)
-    raw = keep(raw_results(tested, signals), "coloc_raw")
+    raw = raw_results(tested, signals)
+    if digits is not None:
+        raw = raw.withColumns({c: F.round(c, digits) for c in COLOC_STATS if c != "coloc_n_vars"})
+    raw = keep(raw, "coloc_raw")
     failures = run_failures(signals, manifest, reduced, tested)
     return Outputs(
         overlap, manifest, reduced, raw, process_results(raw, inputs.gene_lut, config), failures

@@ -106,7 +106,9 @@ def brute_conditional(stats, corr, leads, max_r2=0.9):
     )
     kept = []
     for i in sorted(leads, key=lambda i: (leads[i], i)):
-        if all(corr[i, j] ** 2 <= max_r2 for j in kept):
+        # a lead of which those before it explain more than max_r2 is left out
+        own = corr[np.ix_(kept, [i])][:, 0]
+        if not kept or own @ np.linalg.solve(corr[np.ix_(kept, kept)], own) <= max_r2:
             kept.append(i)
     kept.sort()
     dz = np.diag([d[i] for i in kept])
@@ -116,7 +118,8 @@ def brute_conditional(stats, corr, leads, max_r2=0.9):
     joint = np.linalg.solve(b_matrix, dz @ marginal)
     out = {}
     for j, (b, s, f, n) in stats.items():
-        if any(corr[i, j] ** 2 > max_r2 for i in leads):
+        own = corr[np.ix_(kept, [j])][:, 0]
+        if own @ np.linalg.solve(corr[np.ix_(kept, kept)], own) > max_r2:
             continue
         c = math.sqrt(d[j]) * root @ corr[np.ix_(kept, [j])][:, 0]
         bc = b - c @ joint / d[j]
@@ -146,12 +149,16 @@ def _conditioning(spark, panel_data, lead_sets):
 LEADS = {1: {0: 1e-9}, 2: {1: 1e-5, 6: 1e-9}, 3: {0: 1e-8, 4: 1e-20, 7: 1e-3, 10: 1e-4}}
 
 
-@pytest.mark.parametrize("max_r2", [0.9, 0.3])
-def test_conditioning_equals_brute_force(spark, panel, panel_data, max_r2):
+@pytest.mark.parametrize(
+    ("max_r2", "limits"),
+    [(0.9, {}), (0.3, {}), (0.9, {"TILE_BP": 3000, "ROWS_PER_CELL": 5, "TILE_CARRIERS": 100, "SAMPLE_BLOCK": 13}), (0.9, {"LEADS_PER_CELL": 1, "TILE_VARIANTS": 2})],
+)
+def test_conditioning_equals_brute_force(spark, panel, panel_data, max_r2, limits, monkeypatch):
+    for name, value in limits.items():
+        monkeypatch.setattr(C, name, value)
     windowed, conds, stats = _conditioning(spark, panel_data, LEADS)
-    ld = L.ld_pairs(conds.select(*VARIANT), panel, 100, 0.0, 80)
     got = {}
-    for r in C.conditional_sumstats(windowed, conds, ld, max_r2).collect():
+    for r in C.conditional_sumstats(windowed, conds, panel, 80, max_r2).collect():
         got.setdefault(r.sid[0], {})[r.pos // 1000 - 1] = (r.beta, r.se, r.pval)
     corr = np.corrcoef(panel_data[:12])
     for sid, leads in LEADS.items():
@@ -165,12 +172,22 @@ def test_conditioning_equals_brute_force(spark, panel, panel_data, max_r2):
 def test_signal_whose_leads_the_panel_lacks_is_reported(spark, panel, panel_data):
     windowed, conds, _ = _conditioning(spark, panel_data, {1: {2: 1e-9}})
     conds = conds.withColumn("alt", conds["ref"])
-    ld = L.ld_pairs(conds.select(*VARIANT), panel, 100, 0.0, 80)
-    out = C.conditional_sumstats(windowed, conds, ld)
+    out = C.conditional_sumstats(windowed, conds, panel, 80)
     assert out.count() == 0
     assert C.conditioning_failures(conds, out).collect()[0].n_leads == 1
 
 
+def test_sweeping_is_inverting():
+    rng = np.random.default_rng(1)
+    g = rng.normal(size=(50, 6))
+    g[:, 5] = g[:, 0] + g[:, 1]  # explained by two others, by neither alone
+    r, w = np.corrcoef(g.T), rng.normal(size=6)
+    inverse, u, explained, k = C.sweep_leads(r, w, np.arange(6), 0.9)
+    want = np.linalg.inv(r[:5, :5])
+    assert k == 5 and np.allclose(inverse[:5, :5], want) and not inverse[5].any() and not u[5]
+    assert np.allclose(u[:5], want @ w[:5]) and explained == pytest.approx(w[:5] @ want @ w[:5])
+
+
 def _signals(spark, data):
     return spark.createDataFrame(
         data,
