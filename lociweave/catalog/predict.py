@@ -343,7 +343,99 @@ def _(t):
     return _every_target(lambda target: ml.feature_importance(data, target))
 
 
-@query("learning_curve")
+# Linear fits in SQL: sums of products per group, added up to training sets and swept.
+_SHARE = "('0x' || substr(md5(concat_ws('|', '{salt}', " + ", ".join(f"{c}::varchar" for c in COLOC_KEYS) + ")), 1, 5))::int"
+_K = len(FE.FEATURE_COLUMNS) + 1  # features and the constant
+_STEP = "case " + " ".join(f"when u < {f}::double then {i}" for i, f in enumerate(ml.FRACTIONS)) + " end"
+GRAM_CTES = [
+    *FE_CTES,
+    (
+        "drawn",
+        f"select *, {_SHARE.format(salt=123)} % 5 as fold, {_SHARE.format(salt=321)} / {ml.HASH_RANGE}::double as u, right_type = 'gwas' as gwas"
+        " from outerj where total_overlap is not null and coloc_log2_h4_h3 is not null",
+    ),
+    (
+        "z",
+        " union all ".join(
+            f"select '{t}' as target, gwas, fold, {_STEP} as step, [1.0::double, "
+            + ", ".join(f'"{c}"::double' for c in FE.FEATURE_COLUMNS)
+            + f", {column}] as z from drawn where {column} is not null"
+            for t, column in ml.TARGETS.items()
+        ),
+    ),
+    ("places", f"select unnest(range(1, {_K + 2})) as i"),
+    ("sums", "select target, gwas, fold, step, p.i, q.i as j, sum(z.z[p.i] * z.z[q.i]) as v from z, places p, places q group by all"),
+    ("subsets(subset, gwas)", "values ('all', true), ('all', false), ('gwas', true), ('molecular_trait', false)"),
+    ("shares(step, fraction)", "values " + ", ".join(f"({i}, {f}::double)" for i, f in enumerate(ml.FRACTIONS))),
+    ("held(held_out)", "select unnest(range(5))"),
+    (
+        "trained",
+        "select subset, target, h.step, fraction, held_out, i, j, sum(v) as v from sums join subsets using (gwas) join shares h on sums.step <= h.step join held on held_out <> fold group by all",
+    ),
+    ("tested_on", "select subset, target, fold as held_out, i, j, sum(v) as v from sums join subsets using (gwas) group by all"),
+]
+for _name in ("trained", "tested_on"):
+    _by = "subset, target, held_out" + (", step, fraction" if _name == "trained" else "")
+    GRAM_CTES.append(
+        (f"{_name}_m", f"select {_by}, list(r order by i) as m from (select {_by}, i, list(v order by j) as r from {_name} group by all) x group by all")
+    )
+GRAM_CTES += [
+    (
+        "swept_fits",
+        "select subset, target, held_out, step, fraction, 0 as p, m, [m[i][i] for i in range(1, len(m) + 1)] as own, []::bigint[] as kept from trained_m"
+        f" union all select subset, target, held_out, step, fraction, p + 1, case when m[p + 1][p + 1] <= {ml.COLLINEAR} * own[p + 1] then m else"
+        " [[case when a = p + 1 and b = p + 1 then -1 / m[a][b] when a = p + 1 or b = p + 1 then m[a][b] / m[p + 1][p + 1]"
+        " else m[a][b] - m[a][p + 1] * m[p + 1][b] / m[p + 1][p + 1] end for b in range(1, len(m) + 1)] for a in range(1, len(m) + 1)] end, own,"
+        f" case when m[p + 1][p + 1] <= {ml.COLLINEAR} * own[p + 1] then kept else list_append(kept, p + 1) end from swept_fits where p < {_K}",
+    ),
+    (
+        "fits",
+        f"select f.* exclude (m), t.m as train, e.m as test, [case when list_contains(f.kept, a) then f.m[a][{_K + 1}] else 0 end for a in range(1, {_K + 1})] as b from swept_fits f"
+        " join trained_m t using (subset, target, held_out, step) join tested_on_m e using (subset, target, held_out) where f.p = " + str(_K),
+    ),
+    (
+        "r2",
+        "select subset, target, fraction, held_out, "
+        + ", ".join(
+            f"case when {s}[{_K + 1}][{_K + 1}] - {s}[1][{_K + 1}] ** 2 / {s}[1][1] > 1e-12 * {s}[{_K + 1}][{_K + 1}] then"
+            f" 1 - ({s}[{_K + 1}][{_K + 1}] - 2 * list_sum([b[a] * {s}[a][{_K + 1}] for a in range(1, {_K + 1})])"
+            f" + list_sum([list_sum([b[a] * b[c] * {s}[a][c] for c in range(1, {_K + 1})]) for a in range(1, {_K + 1})]))"
+            f" / ({s}[{_K + 1}][{_K + 1}] - {s}[1][{_K + 1}] ** 2 / {s}[1][1]) end as {s}_r2"
+            for s in ("train", "test")
+        )
+        + " from fits",
+    ),
+]
+#: Scores are compared to 3 digits, those of fits that fail (far below 0) to whole numbers: the sums
+#: of nearly collinear features cost digits.
+R2_DIGITS, FAILED = 3, 10
+
+
+def _score_sql(expr: str) -> str:
+    return f"case when abs({expr}) > {FAILED} then round({expr}) else round({expr}, {R2_DIGITS}) end + 0.0"
+
+
+def _scores(df):
+    def short(c):
+        return F.when(F.abs(c) > FAILED, F.round(c)).otherwise(F.round(c, R2_DIGITS)) + F.lit(0.0)
+
+    return df.withColumns({c: short(c) for c in _MEAN_NAMES})
+
+
+_MEANS = ", ".join(
+    f"{_score_sql(f'{agg}({s}_r2)')} as {s}_r2_{label}"
+    for s in ("train", "test")
+    for agg, label in (("avg", "mean"), ("stddev_pop", "sd"))
+)
+_MEAN_NAMES = [f"{s}_r2_{label}" for s in ("train", "test") for label in ("mean", "sd")]
+
+
+@query("cv_regress_ols", f"select subset, target, {_MEANS} from r2 where fraction = 1.0 group by subset, target", NEEDS, GRAM_CTES)
 def _(t):
-    data = model_input(t)
-    return _every_target(lambda target: ml.learning_curve(data, target, "OLS"))
+    scores = ml.mean_scores(ml.ols_scores(t.derived("model_input", lambda: model_input(t)), fractions=(1.0,))).drop("fraction")
+    return _scores(scores)
+
+
+@query("learning_curve", f"select subset, target, fraction, {_MEANS} from r2 group by subset, target, fraction", NEEDS, GRAM_CTES)
+def _(t):
+    return _scores(ml.mean_scores(ml.ols_scores(t.derived("model_input", lambda: model_input(t)))))

@@ -31,7 +31,7 @@ def with_recipes(sql: str, needs=(), ctes=()) -> str:
     parts = [(n, fixtures.RECIPES[n]) for n in fixtures.closure(needs)] + list(ctes)
     if not parts:
         return sql.strip()
-    recursive = any(re.search(rf"\bfrom {n}\b", body) for n, body in ctes)
+    recursive = any(re.search(rf"\bfrom {re.escape(n)}\b", body) for n, body in ctes)
     return ("with recursive " if recursive else "with ") + ",\n".join(f"{n} as ({body.strip()})" for n, body in parts) + "\n" + sql.strip()
 
 

@@ -8,6 +8,8 @@ from __future__ import annotations
 
 from functools import reduce
 
+import numpy as np
+import pyarrow as pa
 from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -179,6 +181,131 @@ def learning_curve(
     )
 
 
+#: A feature is left out of a fit if those before it explain all but this share of its squares.
+COLLINEAR = 1e-6
+FRACTIONS = (0.1, 0.325, 0.55, 0.775, 1.0)
+
+
+def row_share(salt: int):
+    """A number in [0, HASH_RANGE) that depends on the row's keys and the salt only, from the first
+    five digits of a digest, so that other engines can draw the same folds."""
+    text = F.concat_ws("|", F.lit(str(salt)), *[F.col(c).cast("string") for c in COLOC_KEYS])
+    return F.conv(F.substring(F.md5(text), 1, 5), 16, 10).cast("int")
+
+
+def gram_sums(df: DataFrame, targets=tuple(TARGETS), folds: int = 5, fractions=FRACTIONS) -> DataFrame:
+    """Sums of products of (1, features, outcome): ``target, gwas, fold, step, sums``.
+
+    ``gwas`` tells the subset that a row is in, ``step`` the smallest of the nested shares. ``sums``
+    is the upper triangle by rows. A task hands on one row per group, and groups do not grow with
+    the table, so everything a linear fit or its score needs comes from one pass over the rows.
+    """
+    share = row_share(321) / HASH_RANGE
+    step = reduce(lambda s, f: F.when(share < f[1], f[0]).otherwise(s), reversed(list(enumerate(fractions))), F.lit(None))
+    features = [f"x{i}" for i in range(len(FEATURE_COLUMNS))]
+    rows = df.select(
+        (F.col("right_type") == "gwas").alias("gwas"),
+        F.pmod(row_share(123), F.lit(folds)).cast("int").alias("fold"),
+        step.cast("int").alias("step"),
+        *[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(FEATURE_COLUMNS, features, strict=True)],
+        *[F.col(TARGETS[t]).cast("double").alias(t) for t in targets],
+    ).filter("step is not null")
+    schema = "target string, gwas boolean, fold int, step int, sums array<double>"
+    upper = np.triu_indices(len(features) + 2)
+
+    def run(batches):
+        found: dict[tuple, np.ndarray] = {}
+        for batch in batches:
+            x = np.stack([np.ones(batch.num_rows), *(batch.column(f).to_numpy(zero_copy_only=False) for f in features)], axis=1)
+            group = np.stack([batch.column(c).to_numpy(zero_copy_only=False).astype(int) for c in ("gwas", "fold", "step")], axis=1)
+            keys, member = np.unique(group, axis=0, return_inverse=True)
+            for t in targets:
+                y = batch.column(t).to_numpy(zero_copy_only=False).astype(float)
+                for i, key in enumerate(keys.tolist()):
+                    mine = (member.ravel() == i) & ~np.isnan(y)
+                    z = np.column_stack([x[mine], y[mine]])
+                    own = found.setdefault((t, *key), np.zeros(len(upper[0])))
+                    own += (z.T @ z)[upper]
+        if found:
+            columns = list(zip(*found, strict=True))
+            arrays = [pa.array(columns[0]), pa.array([bool(g) for g in columns[1]]), *(pa.array(c, pa.int32()) for c in columns[2:])]
+            yield pa.RecordBatch.from_arrays([*arrays, pa.array(list(found.values()), pa.list_(pa.float64()))], names=["target", "gwas", "fold", "step", "sums"])
+
+    keys = ["target", "gwas", "fold", "step"]
+    parts = rows.mapInArrow(run, schema).select(*keys, F.posexplode("sums").alias("at", "value"))
+    total = parts.groupBy(*keys, "at").agg(F.sum("value").alias("value"))
+    return total.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("at", "value"))).alias("v")).select(*keys, F.col("v.value").alias("sums"))
+
+
+def least_squares(gram: np.ndarray) -> np.ndarray:
+    """Coefficients of the last variable on the others, by sweeping; 0 for those left out."""
+    m, k = gram.copy(), len(gram) - 1
+    kept = np.zeros(k, dtype=bool)
+    for i in range(k):
+        pivot = m[i, i]
+        if pivot <= COLLINEAR * gram[i, i]:
+            continue
+        kept[i] = True
+        row, column = m[i].copy(), m[:, i].copy()
+        m -= np.outer(column, row) / pivot
+        m[i], m[:, i], m[i, i] = row / pivot, column / pivot, -1 / pivot
+    return np.where(kept, m[:k, k], 0.0)
+
+
+def gram_r2(b: np.ndarray, gram: np.ndarray) -> float | None:
+    """R2 of the coefficients on the rows behind a Gram matrix, None if the outcome is constant."""
+    k = len(b)
+    spread = gram[k, k] - gram[0, k] ** 2 / gram[0, 0] if gram[0, 0] else 0.0
+    if spread <= 1e-12 * max(gram[k, k], 1e-300):
+        return None
+    return float(1 - (gram[k, k] - 2 * b @ gram[:k, k] + b @ gram[:k, :k] @ b) / spread)
+
+
+def ols_scores(df: DataFrame, targets=tuple(TARGETS), subsets=SUBSETS, folds: int = 5, fractions=FRACTIONS) -> DataFrame:
+    """``subset, target, fraction, fold, train_r2, test_r2`` of linear fits, each on a share of the
+    other folds' rows and scored on them and on the whole fold.
+
+    All fits come from one pass: a training set is the sum of its groups of :func:`gram_sums`, that
+    is all folds minus one, up to a share. Only these sums reach the driver; their number depends
+    on features, folds and shares, not on rows.
+    """
+    size = len(FEATURE_COLUMNS) + 2
+    upper = np.triu_indices(size)
+    sums = {}
+    for r in gram_sums(df, targets, folds, fractions).collect():
+        gram = np.zeros((size, size))
+        gram[upper] = r["sums"]
+        sums[r["target"], r["gwas"], r["fold"], r["step"]] = gram + np.triu(gram, 1).T
+    scores = []
+    for which in subsets:
+        sides = {"all": (False, True), "gwas": (True,), "molecular_trait": (False,)}[which]
+        for target in targets:
+            cell = np.zeros((folds, len(fractions), size, size))
+            for (t, gwas, fold, step), gram in sums.items():
+                if t == target and gwas in sides:
+                    cell[fold, step] += gram
+            upto = cell.cumsum(axis=1)  # shares are nested
+            for step, fraction in enumerate(fractions):
+                for fold in range(folds):
+                    train, test = upto[:, step].sum(axis=0) - upto[fold, step], upto[fold, -1]
+                    if train[0, 0] and test[0, 0]:
+                        b = least_squares(train)
+                        scores.append((which, target, float(fraction), fold, gram_r2(b, train), gram_r2(b, test)))
+    schema = "subset string, target string, fraction double, fold int, train_r2 double, test_r2 double"
+    return df.sparkSession.createDataFrame(scores, schema)
+
+
+def mean_scores(scores: DataFrame) -> DataFrame:
+    """Mean and sd over folds of :func:`ols_scores`."""
+    return scores.groupBy("subset", "target", "fraction").agg(
+        *[
+            agg(f"{s}_r2").alias(f"{s}_r2_{label}")
+            for s in ("train", "test")
+            for agg, label in ((F.avg, "mean"), (F.stddev_pop, "sd"))
+        ]
+    )
+
+
 def matrix_rows(matrix: DataFrame) -> DataFrame:
     """The feature vectors as one row per (pair, feature), for export."""
     named = F.arrays_zip(
