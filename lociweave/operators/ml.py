@@ -201,7 +201,7 @@ def gram_sums(df: DataFrame, targets=tuple(TARGETS), folds: int = 5, fractions=F
     the table, so everything a linear fit or its score needs comes from one pass over the rows.
     """
     share = row_share(321) / HASH_RANGE
-    step = reduce(lambda s, f: F.when(share < f[1], f[0]).otherwise(s), reversed(list(enumerate(fractions))), F.lit(None))
+    step = reduce(lambda s, f: F.when(share < f[1], f[0]).otherwise(s), reversed(list(enumerate(fractions))), F.lit(len(fractions)))
     features = [f"x{i}" for i in range(len(FEATURE_COLUMNS))]
     rows = df.select(
         (F.col("right_type") == "gwas").alias("gwas"),
@@ -209,7 +209,7 @@ def gram_sums(df: DataFrame, targets=tuple(TARGETS), folds: int = 5, fractions=F
         step.cast("int").alias("step"),
         *[F.col(f"`{c}`").cast("double").alias(x) for c, x in zip(FEATURE_COLUMNS, features, strict=True)],
         *[F.col(TARGETS[t]).cast("double").alias(t) for t in targets],
-    ).filter("step is not null")
+    )
     schema = "target string, gwas boolean, fold int, step int, sums array<double>"
     upper = np.triu_indices(len(features) + 2)
 
@@ -222,6 +222,8 @@ def gram_sums(df: DataFrame, targets=tuple(TARGETS), folds: int = 5, fractions=F
             for t in targets:
                 y = batch.column(t).to_numpy(zero_copy_only=False).astype(float)
                 for i, key in enumerate(keys.tolist()):
+                    if key[2] == len(fractions):  # beyond the largest share
+                        continue
                     mine = (member.ravel() == i) & ~np.isnan(y)
                     z = np.column_stack([x[mine], y[mine]])
                     own = found.setdefault((t, *key), np.zeros(len(upper[0])))
