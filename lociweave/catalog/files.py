@@ -166,8 +166,11 @@ LOG_P = "round(log10(pval), 6) as log_p"
     ["sumstats"],
 )
 def _(t):
+    # all studies, then one of them again, as a repeated job would
     out = _path(t, "sumstats_by_study")
-    W.partition_sumstats(t("sumstats").select(*SUMSTATS.names), out)
+    rows = t("sumstats").select(*SUMSTATS.names)
+    W.partition_sumstats(rows, out)
+    W.partition_sumstats(rows.filter("study_id = 'ST1'"), out)
     table = R.scan_sumstats_table(t.spark, out)
     columns = [*SUMSTATS.names[:9], "n_total", "n_cases", "eaf", "is_cc"]
     return table.select(*columns, F.round(F.log10("pval"), 6).alias("log_p"))

@@ -66,12 +66,15 @@ def range_layout(
     return ranged.sortWithinPartitions(*cols)
 
 
-def partition_sumstats(df: DataFrame, path: str, mode: str = "append") -> None:
-    """One directory per study, bio-feature, chromosome and phenotype."""
+def partition_sumstats(df: DataFrame, path: str, mode: str = "overwrite") -> None:
+    """One directory per study, bio-feature, chromosome and phenotype.
+
+    A directory that ``df`` has rows for is replaced and all others stay, so a repeated job does not
+    double rows and new studies can be added. ``mode="append"`` adds files to the directories.
+    """
     cols = ["study_id", "bio_feature", "chrom", "phenotype_id"]
-    _files(df, None, *cols).write.mode(mode).option("compression", "snappy").partitionBy(
-        *cols
-    ).parquet(path)
+    writer = _files(df, None, *cols).write.mode(mode).option("compression", "snappy")
+    writer.option("partitionOverwriteMode", "dynamic").partitionBy(*cols).parquet(path)
 
 
 def partition_credset(df: DataFrame, path: str) -> None:

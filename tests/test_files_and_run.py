@@ -79,6 +79,17 @@ def test_hive_layout_reads_back_nulls_and_prunes(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(study_id" in plan and "GreaterThan(pos,5)" in plan
 
 
+def test_a_repeated_partition_job_replaces_its_directories_only(spark, tmp_path):
+    schema = "study_id string, phenotype_id string, bio_feature string, chrom string, pos int"
+    out = str(tmp_path / "s")
+    W.partition_sumstats(spark.createDataFrame([("S1", None, None, "1", 5), ("S1", "P", "B", "X", 6), ("S2", None, None, "2", 7)], schema), out)
+    again = spark.createDataFrame([("S1", None, None, "1", 8), ("S3", None, None, "1", 9)], schema)
+    for _ in range(2):
+        W.partition_sumstats(again, out)
+    got = sorted((r.study_id, r.pos) for r in R.scan_sumstats_table(spark, out).collect())
+    assert got == [("S1", 6), ("S1", 8), ("S2", 7), ("S3", 9)]
+
+
 def test_logs_are_read_whole(spark, tmp_path):
     (tmp_path / "x.txt").write_text("one\nTime taken: 0:0:7\n")
     out = R.scan_logs(spark, str(tmp_path)).collect()
