@@ -60,18 +60,26 @@ def _keyed(t, df):
     return df.join(keys, "sid").drop("sid").withColumnRenamed("key", "sid")
 
 
+# p-values are compared as logarithms: to 6 decimals most would be 0
+LOG_P = "round(log10(nullif(pval, 0)), 6) + 0.0 as log_p"
+
+
+def log_p(df):
+    return df.withColumn("log_p", F.round(F.log10("pval"), 6) + F.lit(0.0)).drop("pval")
+
+
 # -- summary statistics -----------------------------------------------------
 
 @query(
     "scan_sumstats",
-    f"select study_id, phenotype_id, bio_feature, {V}, beta, se, {r6('pval')}, n_total, n_cases, eaf, is_cc, {VID} as variant_id from sumstats where study_id = 'ST5' and bio_feature = 'BRAIN' and pos >= 100000 and pos <= 1500000 and not ({MAF} < 0.05)",
+    f"select study_id, phenotype_id, bio_feature, {V}, beta, se, {LOG_P}, n_total, n_cases, eaf, is_cc, {VID} as variant_id from sumstats where study_id = 'ST5' and bio_feature = 'BRAIN' and pos >= 100000 and pos <= 1500000 and not ({MAF} < 0.05)",
     ["sumstats"],
 )
 def _(t):
     rows = SS.select_sumstats(
         t("sumstats"), "ST5", bio_feature="BRAIN", start=100_000, end=1_500_000, min_maf=0.05
     )
-    return rounded(rows, "pval")
+    return log_p(rows)
 
 
 @query("variant_id", f"select distinct {V}, {VID} as variant_id from sumstats", ["sumstats"])
@@ -227,14 +235,14 @@ def cond_ctes(half_bp: int):
 
 @query(
     "cond_list",
-    f"select sid, {V}, beta, {r6('pval')} from cond",
+    f"select sid, {V}, beta, {LOG_P} from cond",
     ["credset", "sumstats", "top_loci"],
     cond_ctes(1_000_000),
 )
 def _(t):
     windowed = SS.window_join(signals(t), t("sumstats"), 1000, 0.01)
     conds = SS.cond_list(signals(t), windowed, t("top_loci"), 1000)
-    return rounded(_keyed(t, conds).select("sid", *VARIANT, "beta", "pval"), "pval")
+    return log_p(_keyed(t, conds).select("sid", *VARIANT, "beta", "pval"))
 
 
 # -- LD ---------------------------------------------------------------------
