@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lociweave.functions.scalars import none_to_null
+from lociweave.operators.keyfilter import KeyFilter
 from lociweave.operators.process import best_first, keep_rank
-from lociweave.operators.skew import broadcast_if_small
 from lociweave.schemas import DEDUP_KEYS_ENRICHED, VARIANT
 
 BETA_COLUMNS = {
@@ -18,17 +18,25 @@ BETA_COLUMNS = {
 }
 
 
+MATCHED = ["study_id", "phenotype_id", "bio_feature", *VARIANT]
+
+
 def relevant_sumstats(coloc: DataFrame, sumstats: DataFrame) -> DataFrame:
-    """Statistics rows that can match: right studies and left lead variants only.
+    """Statistics rows that can match a left lead variant in the right dataset.
 
-    The statistics are by far the larger table. Both key lists are broadcast when a
-    row count allows, so rows are dropped while scanning and never shuffled.
+    The statistics are by far the larger table. A filter over the keys of the results drops rows
+    while scanning, and whole directories of other studies and chromosomes where the table is laid
+    out by them. Few rows without a match may pass.
     """
-    studies = coloc.select(F.col("right_study").alias("study_id")).distinct()
-    leads = coloc.select(*[F.col(f"left_{c}").alias(c) for c in VARIANT]).distinct()
-    return sumstats.join(broadcast_if_small(studies), "study_id", "left_semi").join(
-        broadcast_if_small(leads), VARIANT, "left_semi"
-    )
+    keys = coloc.select(
+        F.col("right_study").alias("study_id"),
+        F.col("right_phenotype").alias("phenotype_id"),
+        F.col("right_bio_feature").alias("bio_feature"),
+        *[F.col(f"left_{c}").alias(c) for c in VARIANT],
+    ).select(*[F.col(c).cast(sumstats.schema[c].dataType).alias(c) for c in MATCHED])
+    place = ["study_id", "chrom"]
+    wanted = KeyFilter(keys, {"place": place, "row": MATCHED})
+    return sumstats.filter(wanted.passes("place", place)).filter(wanted.passes("row", MATCHED))
 
 
 def join_betas(coloc: DataFrame, sumstats: DataFrame) -> DataFrame:

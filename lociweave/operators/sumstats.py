@@ -12,13 +12,17 @@ from lociweave.functions.scalars import (
     maf_at_least,
     variant_id,
 )
-from lociweave.operators.skew import broadcast_if_small, hashed_join, is_small
+from lociweave.operators.keyfilter import KeyFilter
+from lociweave.operators.skew import hashed_join
 from lociweave.schemas import SUMSTATS, VARIANT
 
 # Positions are joined by bucket first; finer than the windows, so that few rows
 # outside a window are ever paired with it.
 BUCKET_BP = 250_000
 
+# Which of phenotype and bio-feature a signal gives.
+PATTERNS = ("--", "p-", "-b", "pb")
+
 
 def select_sumstats(
     sumstats: DataFrame,
@@ -85,16 +89,16 @@ def window_join(
     keys. ``rows`` is any per-dataset variant table (summary statistics, top loci).
 
     A null phenotype or bio-feature of the signal is a wildcard. To keep that an
-    equi-join, signals are keyed by the pattern of keys they give and each row
-    takes the key its study's signals use; practically every study has one
-    pattern, so rows are not multiplied. The list of studies also drops the rows of
-    studies without signals before anything is shuffled.
+    equi-join, signals are keyed by the pattern of keys they give, and a row has a candidate
+    key for each of the four patterns; those that no signal has are dropped at once.
 
     Signals are copied to the position buckets their window touches; a row has
-    exactly one bucket. Where the list of (study, chromosome, bucket) that signals touch is
-    small enough to broadcast, rows outside it are dropped while scanning, and only rows near a
-    window are shuffled. Hot buckets are left to the adaptive skew join, which can
-    split the large side because nothing above relies on this join's partitioning.
+    exactly one bucket. One filter of fixed size holds what signals touch: studies with
+    chromosomes, which leaves out whole directories of a table laid out by them, buckets of
+    these, and full keys. So only rows near a window of their own dataset are shuffled, the
+    plan is the same at every size, and no job runs while it is built. Hot buckets are left
+    to the adaptive skew join, which can split the large side because nothing above relies on
+    this join's partitioning.
     """
     half = F.lit(window_kb) if isinstance(window_kb, int) else window_kb
     lo, hi = F.col("lead_pos") - F.col("span"), F.col("lead_pos") + F.col("span")
@@ -115,27 +119,24 @@ def window_join(
             )
         ),
     )
-    patterns = broadcast_if_small(signals.select(
-        "study_id", _wildcard_keys(F.col("phenotype_id"), F.col("bio_feature")).alias("pattern")
-    ).distinct())
-
     payload = [c for c in rows.columns if c not in ("type", "study_id", "phenotype_id", "bio_feature")]
     if min_maf:
         rows = rows.filter(maf_at_least(F.col("eaf"), min_maf))
-    sources = rows.join(patterns, "study_id").select(
-        "study_id",
-        "pattern",
-        F.when(F.col("pattern").startswith("p"), F.col("phenotype_id")).otherwise("").alias("pk"),
-        F.when(F.col("pattern").endswith("b"), F.col("bio_feature")).otherwise("").alias("bk"),
-        F.floor(F.col("pos") / bucket_bp).cast("int").alias("bucket"),
-        *payload,
+    place, near = ["study_id", "chrom"], ["study_id", "chrom", "bucket"]
+    on = ["study_id", "pattern", "pk", "bk", "chrom", "bucket"]
+    touched = KeyFilter(keyed, {"place": place, "near": near, "key": on})
+    sources = (
+        rows.filter(touched.passes("place", place))
+        .withColumn("bucket", F.floor(F.col("pos") / bucket_bp).cast("int"))
+        .filter(touched.passes("near", near))
+        .withColumn("pattern", F.explode(F.array(*[F.lit(p) for p in PATTERNS])))
+        .withColumn("pk", F.when(F.col("pattern").startswith("p"), F.col("phenotype_id")).otherwise(""))
+        .withColumn("bk", F.when(F.col("pattern").endswith("b"), F.col("bio_feature")).otherwise(""))
+        .filter(touched.passes("key", on))
+        .select(*on[:-2], "bucket", *payload)
     )
-    place = ["study_id", "chrom", "bucket"]
-    touched = keyed.select(*place).distinct()
-    if is_small(touched):
-        sources = sources.join(F.broadcast(touched), place, "left_semi")
     return (
-        hashed_join(keyed, sources, ["study_id", "pattern", "pk", "bk", "chrom", "bucket"])
+        hashed_join(keyed, sources, on)
         .filter(F.col("pos").between(lo, hi))
         .select("sid", "lead_pos", *payload)
     )
