@@ -214,8 +214,7 @@ def _(t):
 )
 def _(t):
     left, right = (FE.ld_tags(tested(t), both_ld(t), s) for s in ("left", "right"))
-    out = FE.prop_overlap_at_r2(FE.ld_intersection(left, right), [*LEFT, *RIGHT])
-    return _round(out, PROPS)
+    return _round(FE.shared_tag_props(left, right), PROPS)
 
 
 @query(
@@ -305,14 +304,17 @@ def _(t):
     return rounded(ml.matrix_rows(matrix), "label", "value")
 
 
+_SEED_KEY = "md5(concat('123', " + ", ".join(f"'|', coalesce(cast({c} as varchar(400)), '~')" for c in COLOC_KEYS) + "))"
+
+
 @query(
     "shuffle_sample",
-    f"select {csv(COLOC_KEYS)}, total_overlap from outerj where total_overlap is not null and coloc_log2_h4_h3 is not null",
+    f"select {csv(COLOC_KEYS)}, total_overlap, row_number() over (order by {_SEED_KEY}) - 1 as place from outerj where total_overlap is not null and coloc_log2_h4_h3 is not null",
     NEEDS,
     FE_CTES,
 )
 def _(t):
-    return ml.shuffle_sample(model_input(t)).select(*COLOC_KEYS, "total_overlap")
+    return ml.shuffle_sample(model_input(t)).select(*COLOC_KEYS, "total_overlap", "place")
 
 
 # Model fits have no SQL form; tests check them against bounds.

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,11 @@ R2_THRESHOLDS = [
     "0.75", "0.8", "0.85", "0.9", "0.95", "0.975", "1.0",
 ]
 
+# Width of a place, tags of a strip and tags multiplied at once, when shared tags are counted.
+PLACE_BP = 1_000_000
+CELL_TAGS = 50_000
+TAG_BLOCK = 4_096
+
 FEATURE_COLUMNS = [
     "total_overlap",
     *[f"prop_overlap_{t}" for t in R2_THRESHOLDS],
@@ -79,6 +86,101 @@ def prop_overlap_at_r2(intersection: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
+def _strips(tags: DataFrame, side: str, counts: DataFrame) -> DataFrame:
+    """Tags dealt into the strips of their place that the other side's strips meet them in."""
+    names = [f"{side}_{c}" for c in VARIANT]
+    other = "right" if side == "left" else "left"
+    own, theirs = f"{side}_strip", f"{other}_strip"
+    return tags.join(counts, "place").select(
+        *names,
+        # both sides come from the same table: names of their own keep the columns apart
+        *[F.col(c).alias(f"{side}_{c}") for c in TAG],
+        f"{side}_R2_EUR",
+        "place",
+        F.pmod(F.xxhash64(*names), F.col(f"{side}_n")).cast("int").alias(own),
+        F.explode(F.sequence(F.lit(0), F.col(f"{other}_n") - 1)).alias(theirs),
+    )
+
+
+def _shared_tags(left: pd.DataFrame, right: pd.DataFrame) -> pd.DataFrame:
+    """For each pair of leads of a cell, how many tags they share at each r2 threshold."""
+    leads = {}
+    for side, rows in (("left", left), ("right", right)):
+        names = [f"{side}_{c}" for c in VARIANT]
+        groups = rows.groupby(names, sort=True)
+        leads[side] = (groups.ngroup().to_numpy(), groups.size().reset_index()[names])
+    tags = [rows[sided(s, TAG)].set_axis(TAG, axis=1) for s, rows in (("left", left), ("right", right))]
+    tag_ids = pd.concat(tags).groupby(TAG, sort=False).ngroup().to_numpy()
+    at = {"left": tag_ids[: len(left)], "right": tag_ids[len(left) :]}
+    # only tags of both sides count
+    kept = {s: np.isin(at[s], at["right" if s == "left" else "left"]) for s in at}
+    shared, where = np.unique(np.concatenate([at[s][kept[s]] for s in at]), return_inverse=True)
+    cut = int(kept["left"].sum())
+    column = {"left": where[:cut], "right": where[cut:]}
+    row = {s: leads[s][0][kept[s]] for s in at}
+    r2 = {
+        s: rows[f"{s}_R2_EUR"].to_numpy(dtype=float, na_value=np.nan)[kept[s]]
+        for s, rows in (("left", left), ("right", right))
+    }
+    size = {s: len(leads[s][1]) for s in at}
+
+    def counts(test) -> np.ndarray:
+        total = np.zeros((size["left"], size["right"]))
+        for lo in range(0, len(shared), TAG_BLOCK):
+            planes = []
+            for s in ("left", "right"):
+                inside = test(s) & (column[s] >= lo) & (column[s] < lo + TAG_BLOCK)
+                plane = np.zeros((size[s], min(TAG_BLOCK, len(shared) - lo)), dtype=np.float32)
+                np.add.at(plane, (row[s][inside], column[s][inside] - lo), 1)
+                planes.append(plane)
+            total += planes[0] @ planes[1].T
+        return total
+
+    every = counts(lambda s: np.ones(len(r2[s]), dtype=bool))
+    i, j = np.nonzero(every)
+    out = {f"left_{c}": leads["left"][1][f"left_{c}"].to_numpy()[i] for c in VARIANT}
+    out |= {f"right_{c}": leads["right"][1][f"right_{c}"].to_numpy()[j] for c in VARIANT}
+    known = counts(lambda s: ~np.isnan(r2[s]) if s == "left" else np.ones(len(r2[s]), dtype=bool))
+    out["n"] = known[i, j].astype(np.int64)
+    for k, t in enumerate(["0", *R2_THRESHOLDS]):
+        out[f"n{k}"] = counts(lambda s: r2[s] >= float(t))[i, j].astype(np.int64)
+    return pd.DataFrame(out)
+
+
+def shared_tag_props(left: DataFrame, right: DataFrame) -> DataFrame:
+    """``prop_overlap_at_r2`` of all pairs of a left and a right lead, without the shared tags
+    themselves: only a pair's counts leave a task.
+
+    Tags are dealt by place (1 Mb of a chromosome); a crowded place is cut by lead into strips of
+    both sides, which meet in cells of about ``CELL_TAGS`` by ``CELL_TAGS`` rows. A lead with tags in
+    several places has counts from each, which are added. A task multiplies 0/1 planes of leads by
+    tags, one for each threshold.
+    """
+    place = F.concat_ws(":", "tag_chrom", F.floor(F.col("tag_pos") / PLACE_BP))
+    places = {s: df.withColumn("place", place) for s, df in (("left", left), ("right", right))}
+    cell = ["place", "left_strip", "right_strip"]
+    sizes = [
+        df.groupBy("place").agg(F.ceil(F.count(F.lit(1)) / CELL_TAGS).cast("int").alias(f"{s}_n"))
+        for s, df in places.items()
+    ]
+    counts = sizes[0].join(sizes[1], "place")
+    one, two = (_strips(df, s, counts) for s, df in places.items())
+    keys = sided("left", VARIANT) + sided("right", VARIANT)
+    types = {c: (left if c in left.columns else right).schema[c].dataType for c in keys}
+    numbers = ["n", *[f"n{k}" for k in range(len(R2_THRESHOLDS) + 1)]]
+    schema = ", ".join([*[f"{c} {t.simpleString()}" for c, t in types.items()], *[f"{c} long" for c in numbers]])
+    found = one.groupBy(*cell).cogroup(two.groupBy(*cell)).applyInPandas(
+        lambda l, r: _shared_tags(l, r) if len(l) and len(r) else pd.DataFrame({c: [] for c in [*keys, *numbers]}),
+        schema,
+    )
+    total = found.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in numbers])
+    return total.select(
+        *keys,
+        F.col("n0").alias("total_overlap"),
+        *[F.try_divide(F.col(f"n{k}"), F.col("n")).alias(f"prop_overlap_{t}") for k, t in enumerate(R2_THRESHOLDS, 1)],
+    )
+
+
 def side_tag_counts(tags: DataFrame, side: str) -> DataFrame:
     return tags.groupBy(*sided(side, VARIANT)).agg(
         F.count("tag_chrom").alias(f"{side}_num_tags")
@@ -88,8 +190,7 @@ def side_tag_counts(tags: DataFrame, side: str) -> DataFrame:
 def lead_pair_features(coloc: DataFrame, ld: DataFrame) -> DataFrame:
     """Overlap counts and proportions per pair of lead variants."""
     tags = {s: ld_tags(coloc, ld, s) for s in ("left", "right")}
-    keys = sided("left", VARIANT) + sided("right", VARIANT)
-    out = prop_overlap_at_r2(ld_intersection(tags["left"], tags["right"]), keys)
+    out = shared_tag_props(tags["left"], tags["right"])
     for s in ("left", "right"):
         out = out.join(side_tag_counts(tags[s], s), sided(s, VARIANT))
     return out.withColumns(

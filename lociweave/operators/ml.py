@@ -14,11 +14,12 @@ from pyspark.ml.evaluation import RegressionEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import LinearRegression, RandomForestRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lociweave.operators.features import FEATURE_COLUMNS
 from lociweave.schemas import COLOC_KEYS
+from lociweave.session import materialise
 
 TARGETS = {"h3": "coloc_h3", "h4": "coloc_h4", "log_h4_h3": "coloc_log2_h4_h3"}
 SUBSETS = ("all", "gwas", "molecular_trait")
@@ -39,9 +40,29 @@ def _hash(salt: int):
     return F.pmod(F.xxhash64(F.lit(salt), *COLOC_KEYS), F.lit(HASH_RANGE))
 
 
-def shuffle_sample(df: DataFrame, seed: int = 123) -> DataFrame:
-    """All rows in a random order that depends only on the keys and the seed."""
-    return df.orderBy(F.xxhash64(F.lit(seed), *COLOC_KEYS), *COLOC_KEYS)
+def shuffle_sample(df: DataFrame, seed: int = 123, keep=materialise) -> DataFrame:
+    """All rows with their ``place``, 0 to n - 1, in a random order that depends only on the keys
+    and the seed. Rows with equal keys follow each other in the order of their other columns.
+
+    The order is that of a digest of the keys. Rows are dealt by ranges of it and written by
+    ``keep``, so that the ranges are fixed; a range's first place is the number of rows before it.
+    """
+    text = [F.concat(F.lit("|"), F.coalesce(F.col(c).cast("string"), F.lit("~"))) for c in COLOC_KEYS]
+    drawn = df.withColumn("_draw", F.md5(F.concat(F.lit(str(seed)), *text)))
+    ranges = keep(
+        drawn.repartitionByRange("_draw").withColumn("_range", F.spark_partition_id()), "shuffled"
+    )
+    # one row per range
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    first = ranges.groupBy("_range").agg(F.count(F.lit(1)).alias("_n")).select(
+        "_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_first")
+    )
+    inside = Window.partitionBy("_range").orderBy("_draw", *[f"`{c}`" for c in df.columns])
+    return (
+        ranges.join(F.broadcast(first), "_range")
+        .withColumn("place", F.col("_first") + F.row_number().over(inside) - 1)
+        .drop("_draw", "_range", "_first")
+    )
 
 
 def subset(df: DataFrame, which: str = "all") -> DataFrame:

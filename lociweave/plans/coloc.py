@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from lociweave.config import Config
 from lociweave.operators import manifest as M
 from lociweave.operators.abf import PAIR, coloc_abf
-from lociweave.operators.audit import run_failures
+from lociweave.operators.audit import CountedWrites, run_failures
 from lociweave.operators.conditional import reduced_sumstats
 from lociweave.operators.overlap import attach_signals, overlap_table
 from lociweave.operators.process import process_results
@@ -139,21 +139,29 @@ def run_files(spark: SparkSession, config: Config) -> Outputs:
     """A run from the configured paths; results are written below ``config.output``.
 
     The reduced statistics are written too: given as ``config.reduced``, a later run skips their
-    signals. ``failures`` lists what could not be tested. Intermediate tables are deleted at the
+    signals. ``failures`` lists what could not be tested, ``row_counts`` how many rows each table
+    was written with. Intermediate tables are deleted at the
     end; the frames returned read the written results.
     """
     scratch = Scratch(spark)
     out = run(read_inputs(spark, config), config, scratch.keep)
     base = config.output.rstrip("/")
-    writers.write_json_gz(out.overlap.drop("left_sid", "right_sid"), f"{base}/overlap_table")
-    writers.write_parquet_snappy(out.coloc_raw, f"{base}/coloc_raw.parquet")
+    writes = CountedWrites(spark)
+    writes.write(
+        "overlap_table",
+        out.overlap.drop("left_sid", "right_sid"),
+        lambda df: writers.write_json_gz(df, f"{base}/overlap_table"),
+    )
+    writes.write("coloc_raw", out.coloc_raw, lambda df: writers.write_parquet_snappy(df, f"{base}/coloc_raw.parquet"))
     writers.write_csv_gz(out.coloc_raw, f"{base}/coloc_raw.csv")
+    parquet = lambda name: lambda df: df.write.mode("overwrite").parquet(f"{base}/{name}.parquet")
     laid_out = writers.range_layout(out.coloc_processed, n=config.output_partitions)
-    laid_out.write.mode("overwrite").parquet(f"{base}/coloc_processed.parquet")
+    writes.write("coloc_processed", laid_out, parquet("coloc_processed"))
     written = {}
     for name in ("manifest", "reduced", "failures"):
-        getattr(out, name).write.mode("overwrite").parquet(f"{base}/{name}.parquet")
+        writes.write(name, getattr(out, name), parquet(name))
         written[name] = spark.read.parquet(f"{base}/{name}.parquet")
+    parquet("row_counts")(writes.report().coalesce(1))
     scratch.clear()
     return Outputs(
         overlap=readers.scan_overlaps(spark, f"{base}/overlap_table"),

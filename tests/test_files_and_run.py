@@ -142,7 +142,15 @@ def test_run_from_files(spark, tmp_path):
     raw = spark.read.parquet(p("out/coloc_raw.parquet"))
     overlap = R.scan_overlaps(spark, p("out/overlap_table"))
     assert 0 < raw.count() <= overlap.count()
-    assert spark.read.parquet(p("out/coloc_processed.parquet")).columns.count("right_gene_id") == 1
+    processed = spark.read.parquet(p("out/coloc_processed.parquet"))
+    assert processed.columns.count("right_gene_id") == 1
+    # the counts that the writes carried are those of the written tables
+    counts = {r.dataset: r.n_rows for r in spark.read.parquet(p("out/row_counts.parquet")).collect()}
+    assert counts["coloc_raw"] == raw.count() and counts["overlap_table"] == overlap.count()
+    assert counts["coloc_processed"] == processed.count()
+    assert {n: spark.read.parquet(p(f"out/{n}.parquet")).count() for n in ("manifest", "reduced", "failures")} == {
+        n: counts[n] for n in ("manifest", "reduced", "failures")
+    }
 
 
 @pytest.fixture(scope="module")
