@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 TREES, DEPTH, BINS, RATE, RIDGE = 8, 3, 16, 0.3, 1.0
-#: Labelled URLs of one suffix count together with this many at one half.
+#: Hosts are dealt into this many folds by hash; the rate of a suffix leaves out the host's own fold.
+FOLDS = 8
+#: Labelled URLs of one suffix count together with this many at the share of bad ones overall.
 SUFFIX_PRIOR = 20.0
 CUT = 0.5
 
@@ -91,14 +93,19 @@ def lexical(url: Column) -> dict[str, Column]:
 
 
 def labelled_urls(pages: DataFrame, rules: dict[str, str], seeds: tuple[str, ...], url_col: str = "url") -> DataFrame:
-    """(``url_col``, ``bad``): URLs whose host holds a seed word are bad, others are what a rule
-    says; URLs with neither are left out."""
+    """(``url_col``, ``bad``) of every URL with a host.
+
+    Bad are URLs that a rule blocks, and those of hosts with a seed word as one of their words (runs
+    of letters and digits). All others are counted as ordinary, those that nothing is known of too,
+    as is usual with positive and unlabelled rows: most URLs are ordinary, and a bad one among
+    them only lowers the scores of all that look like it.
+    """
     host, path = host_of(F.col(url_col)), path_of(F.col(url_col))
-    seeded = reduce(lambda a, b: a | b, [F.contains(host, F.lit(w)) for w in seeds], F.lit(False))
+    seeded = F.arrays_overlap(F.split(host, "[^a-z0-9]+"), F.array(*[F.lit(w) for w in seeds])) if seeds else F.lit(False)
     blocked = [r for r, v in rules.items() if v == "block"]
-    rule = rule_of(host, path, rules)
-    bad = F.when(seeded, 1).when(rule.isin(blocked), 1).when(rule.isNotNull(), 0)
-    return pages.select(url_col, bad.alias("bad")).dropna()
+    rule = F.coalesce(rule_of(host, path, rules), F.lit(""))
+    bad = (seeded | rule.isin(blocked)).cast("int")
+    return pages.filter(host != "").select(url_col, bad.alias("bad"))
 
 
 def suffix_of(host: Column) -> Column:
@@ -220,9 +227,8 @@ def judge(
     def featured(df: DataFrame, *keep: Column) -> DataFrame:
         url = F.col(url_col)
         values = [c.alias(f"x_{n}") for n, c in lexical(url).items()]
-        return df.select(*keep, host_of(url).alias("host"), path_of(url).alias("path"), *values).withColumn(
-            "suffix", suffix_of(F.col("host"))
-        )
+        parts = df.select(*keep, host_of(url).alias("host"), path_of(url).alias("path"), *values)
+        return parts.withColumns({"suffix": suffix_of(F.col("host")), "fold": F.pmod(F.xxhash64("host"), F.lit(FOLDS))})
 
     own = materialise(
         featured(pages, F.col(id_col).alias("_id")).withColumn("rule", rule_of(F.col("host"), F.col("path"), rules)),
@@ -239,20 +245,20 @@ def judge(
     overall = known.agg(
         F.avg("bad").alias("share"), *[F.percentile_approx(c, points, 1000).alias(c) for c in lexicals]
     ).first()  # one row
-    # both classes weigh the same, so what was never seen is at one half
     share = overall["share"] or 0.0
-    to_block, to_allow = (0.5 / x if x else 0.0 for x in (share, 1.0 - share))
-    weight = F.when(F.col("bad") == 1, to_block).otherwise(to_allow)
-    known = known.withColumn("weight", weight)
-    by_suffix = known.groupBy("suffix").agg(
-        ((F.sum(F.col("weight") * F.col("bad")) + SUFFIX_PRIOR / 2) / (F.sum("weight") + SUFFIX_PRIOR)).alias("x_suffix")
+    # sums by suffix and fold of hosts, then of all other folds: no URL's own host is in its rate
+    sums = known.groupBy("suffix", "fold").agg(F.count("bad").alias("n"), F.sum("bad").alias("bad"))
+    folds = F.explode(F.sequence(F.lit(0), F.lit(FOLDS - 1)).cast("array<bigint>"))
+    others = sums.withColumnRenamed("fold", "left_out").withColumn("fold", folds).filter("fold <> left_out")
+    by_suffix = others.groupBy("suffix", "fold").agg(
+        ((F.sum("bad") + SUFFIX_PRIOR * share) / (F.sum("n") + SUFFIX_PRIOR)).alias("x_suffix")
     )
     cuts = {c: sorted(set(overall[c] or [])) for c in lexicals}
     cuts["x_suffix"] = [i / bins for i in range(1, bins)]
     names = [c.removeprefix("x_") for c in cuts]
 
     def binned(df: DataFrame) -> DataFrame:
-        rated = df.join(by_suffix, "suffix", "left").withColumn("x_suffix", F.coalesce("x_suffix", F.lit(0.5)))
+        rated = df.join(by_suffix, ["suffix", "fold"], "left").withColumn("x_suffix", F.coalesce("x_suffix", F.lit(share)))
         above = {
             f"b_{c.removeprefix('x_')}": reduce(add, [(F.col(c) > p).cast("int") for p in points_], F.lit(0))
             for c, points_ in cuts.items()
@@ -261,7 +267,7 @@ def judge(
 
     columns = [f"b_{n}" for n in names]
     distinct = binned(known).groupBy(*columns).agg(
-        F.sum("weight").alias("n"), F.sum(F.col("weight") * F.col("bad")).alias("bad")
+        F.count("bad").cast("double").alias("n"), F.sum("bad").cast("double").alias("bad")
     )
     model = fit_trees(materialise(distinct, "bins"), names)
     probability = 1 / (1 + F.exp(-model.margin())) if model.trees else F.lit(0.0)

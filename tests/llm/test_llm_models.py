@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from lociweave.llm import multi_index, qda, url_filter
-from lociweave.llm.queries import QUERIES, URL_RULES
+from lociweave.llm.queries import QUERIES, SPAM_WORDS, URL_RULES
 from lociweave.session import materialise
 
 SF = "/root/testdata/sf0.01"
@@ -115,6 +115,69 @@ def test_trees_learn_what_urls_tell(spark):
     assert all((r["verdict"] == "block") == (r["page_id"] >= 60) for r in got)
 
 
+def area_under_curve(good, bad):
+    return sum((b > g) + (b == g) / 2 for b in bad for g in good) / (len(good) * len(bad))
+
+
+def test_hosts_held_out(spark):
+    """Trained on half of the hosts, the trees tell the bad hosts of the other half from ordinary ones."""
+    pages = spark.read.parquet("/root/testdata/sf0.1/pages.parquet").select("page_id", "url")
+    held = F.pmod(F.crc32(F.regexp_extract(url_filter.host_of(F.col("url")), r"([^.]+)\.example", 1)), F.lit(2)) == 0
+    labelled = url_filter.labelled_urls(pages.filter(~held), URL_RULES, SPAM_WORDS)
+    got = url_filter.judge(pages.filter(held), URL_RULES, materialise, labelled).filter("rule is null").collect()
+    spam = [r["score"] for r in got if any(w in r["host"] for w in SPAM_WORDS)]
+    ordinary = [r["score"] for r in got if not any(w in r["host"] for w in SPAM_WORDS)]
+    assert spam and ordinary
+    assert area_under_curve(ordinary, spam) > 0.9
+    assert {r["verdict"] for r in got} == {"allow", "block"} and len({r["score"] for r in got}) > 2
+
+
+def test_seed_words_are_whole_words(spark):
+    urls = ["http://fun-ads.org/", "http://heads.org/", "http://x.net/fr/1", "http://x.com/", "nothing", None]
+    pages = spark.createDataFrame([(u,) for u in urls], "url string")
+    got = url_filter.labelled_urls(pages, URL_RULES, ("ads",)).collect()
+    assert [(r["url"], r["bad"]) for r in got] == [(urls[0], 1), (urls[1], 0), (urls[2], 1), (urls[3], 0)]
+
+
+def boosted(rows, trees, depth, rate, ridge):
+    """Margins of rows (bins, n, bad) by plain boosting: every cut of every node is tried."""
+    share = (sum(r[2] for r in rows) + 1) / (sum(r[1] for r in rows) + 2)
+    margins = [np.log(share / (1 - share))] * len(rows)
+    for _ in range(trees):
+        p = [1 / (1 + np.exp(-m)) for m in margins]
+        g = [bad - n * q for (_, n, bad), q in zip(rows, p, strict=True)]
+        h = [n * q * (1 - q) for (_, n, _), q in zip(rows, p, strict=True)]
+        score = lambda of: sum(g[i] for i in of) ** 2 / (sum(h[i] for i in of) + ridge)
+
+        def grow(of, left):
+            cuts = [
+                (score(low) + score(high) - score(of), -f, -a, low, high)
+                for f in range(len(rows[0][0]))
+                for a in sorted({rows[i][0][f] for i in of})[:-1]
+                for low, high in [([i for i in of if rows[i][0][f] <= a], [i for i in of if rows[i][0][f] > a])]
+            ]
+            best = max(cuts, default=(0.0,))
+            if left and best[0] > 1e-6:
+                for side in best[3:]:
+                    grow(side, left - 1)
+            else:
+                for i in of:
+                    margins[i] += rate * sum(g[j] for j in of) / (sum(h[j] for j in of) + ridge)
+
+        grow(range(len(rows)), depth)
+    return margins
+
+
+def test_trees_are_those_of_plain_boosting(spark):
+    rng = random.Random(3)
+    rows = [([rng.randrange(4) for _ in range(3)], float(rng.randrange(5, 40)), 0.0) for _ in range(60)]
+    rows = [(b, n, float(round(n * (0.8 if b[0] > 1 and b[2] < 2 else 0.2) * rng.random()))) for b, n, _ in rows]
+    df = spark.createDataFrame([(*b, n, bad) for b, n, bad in rows], "b_x int, b_y int, b_z int, n double, bad double")
+    model = url_filter.fit_trees(df, ["x", "y", "z"], trees=4)
+    got = [r["m"] for r in df.select(model.margin().alias("m")).collect()]
+    assert got == pytest.approx(boosted(rows, 4, url_filter.DEPTH, url_filter.RATE, url_filter.RIDGE))
+
+
 def test_features_of_a_url(spark):
     url = "https://a-b.x.com/p/q1?k=v&z=22"
     row = spark.range(1).select(*[c.alias(n) for n, c in url_filter.lexical(F.lit(url)).items()]).first()
