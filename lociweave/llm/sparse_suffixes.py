@@ -6,8 +6,8 @@ least ``LEAST`` words long has a kept suffix at the same place in both copies. S
 seed occurs once cannot match and go first. The others are sorted, by range over all tasks, and
 each is compared with the ones before it; a match is extended to the right along the suffixes
 and to the left along the words before them. That order knows the words on the right only, so where
-a seed has more than two kept suffixes the windows of ``LEAST`` words whose smallest seed it is are
-matched too, by 128 bits of hash, whatever stands between them in the order.
+a seed has more kept suffixes than one meets (``REACH`` and itself) the windows of ``LEAST`` words
+whose smallest seed it is are matched too, by 128 bits of hash, whatever stands between them in the order.
 
 Suffixes carry a bounded number of words to either side. Longer passages hold several kept
 suffixes whose matches overlap, and are put together per document.
@@ -40,46 +40,54 @@ def selected(hashes: np.ndarray, span: int) -> np.ndarray:
     if len(hashes) < span:
         return np.zeros(0, np.int64)
     low = tx.sliding_min(hashes, span)
-    chosen = np.zeros(len(hashes), bool)
-    # a run's minimum moves on only where the value changes or the old place has left the run
-    at, last = np.flatnonzero(np.r_[True, low[1:] != low[:-1]]), -1
-    for a, b in zip(at.tolist(), [*at[1:].tolist(), len(low)], strict=True):
-        value = low[a]
-        places = np.flatnonzero(hashes[a : b - 1 + span] == value) + a
-        if len(places) == 1:
-            chosen[places] = True
-            continue
-        last = -1
-        for run in range(a, b):  # equal hashes side by side: leftmost in each run
-            if last < run:
-                last = int(places[np.searchsorted(places, run)])
-                chosen[last] = True
-    return np.flatnonzero(chosen)
+    # a place is the minimum of a run if no run that holds it has a larger minimum than its hash
+    sides = np.zeros(span - 1, hashes.dtype)
+    highest = ~tx.sliding_min(~np.concatenate([sides, low, sides]), span)
+    chosen = np.flatnonzero(highest == hashes)
+    values = hashes[chosen]
+    if not ((values[1:] == values[:-1]) & (np.diff(chosen) < span)).any():
+        return chosen
+    # equal minima in one run: the leftmost place of each run, by doubling
+    at, width = np.arange(len(hashes)), 1
+    while width < span:
+        step = min(width, span - width)
+        one, two = at[:-step], at[step:]
+        at = np.where(hashes[one] <= hashes[two], one, two)
+        width += step
+    return np.unique(at)
+
+
+def by_seed(seeds: np.ndarray, places: np.ndarray) -> list[tuple[int, list[int]]]:
+    """Each seed of a text once, with all its places."""
+    order = np.argsort(seeds, kind="stable")
+    own, at = seeds[order], places[order]
+    starts = np.flatnonzero(np.r_[True, own[1:] != own[:-1]]) if len(own) else np.zeros(0, np.int64)
+    ends = np.r_[starts[1:], len(own)].astype(np.int64)
+    return [(int(own[a]), at[a:b]) for a, b in zip(starts.tolist(), ends.tolist(), strict=True)]
 
 
 def _seeds(docs: DataFrame, least: int, seed: int) -> DataFrame:
-    """Per row: no_id, doc, text_key, n_words and its kept suffixes as (seed, place)."""
-    schema = "no_id long, doc long, text_key long, n_words long, seeds array<long>, places array<long>"
+    """Per row: no_id, doc, text_key, n_words and its kept suffixes as (seed, places), each seed once."""
+    schema = "no_id long, doc long, text_key long, n_words long, kept array<struct<seed: long, places: array<long>>>"
+    kind = pa.list_(pa.struct([("seed", pa.int64()), ("places", pa.list_(pa.int64()))]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = tx.WordHashes()
         for batch in tx.chunks(batches, "text"):
-            sizes, seeds, places = [], [], []
+            sizes, kept = [], []
             for data in batch.column("text").to_pylist():
                 words = (data or b"").split()
                 sizes.append(len(words))
-                at, values = np.zeros(0, np.int64), np.zeros(0, np.int64)
+                found = []
                 if len(words) >= least:
                     grams = tx.scrambled(tx.rolling(hashes.of(words), seed))
                     at = selected(grams, least - seed + 1)
-                    values = grams[at].view(np.int64)
-                seeds.append(values)
-                places.append(at)
+                    found = [{"seed": s, "places": p} for s, p in by_seed(grams[at].view(np.int64), at)]
+                kept.append(found)
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("no_id", "doc", "text_key")), pa.array(sizes, pa.int64()),
-                 pa.array(seeds, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int64()))],
-                names=["no_id", "doc", "text_key", "n_words", "seeds", "places"],
-            )
+                [*(batch.column(c) for c in ("no_id", "doc", "text_key")), pa.array(sizes, pa.int64()), pa.array(kept, kind)],
+                names=["no_id", "doc", "text_key", "n_words", "kept"],
+            )
 
     return docs.mapInArrow(run, schema)
 
@@ -94,11 +102,11 @@ def _suffixes(texts: DataFrame, left: int, right: int) -> DataFrame:
             for key, data, kept in zip(*(batch.column(c).to_pylist() for c in ("text_key", "text", "kept")), strict=True):
                 words = (data or b"").split()
                 for k in kept:
-                    p = k["place"]
-                    rows.append((k["seed"], key, p, b" ".join(words[max(0, p - left) : p]), b" ".join(words[p : p + right])))
-                    if len(rows) == 5_000:
-                        yield _batch(rows)
-                        rows = []
+                    for p in k["places"]:
+                        rows.append((k["seed"], key, p, b" ".join(words[max(0, p - left) : p]), b" ".join(words[p : p + right])))
+                        if len(rows) == 5_000:
+                            yield _batch(rows)
+                            rows = []
             if rows:
                 yield _batch(rows)
 
@@ -112,15 +120,23 @@ def _suffixes(texts: DataFrame, left: int, right: int) -> DataFrame:
     return texts.mapInArrow(run, "seed long, text_key long, place long, before binary, suffix binary")
 
 
-def common(a: list[bytes], b: list[bytes]) -> int:
-    """Length of the common beginning."""
-    if a == b:
-        return len(a)
+def common(a: bytes, b: bytes) -> int:
+    """How many words of two texts with one space between words are the same from the beginning."""
     n = min(len(a), len(b))
-    for i in range(n):
-        if a[i] != b[i]:
-            return i
-    return n
+    if a[:n] == b[:n]:
+        same = n
+    else:  # the first byte that differs lies in [same, beyond)
+        same, beyond = 0, n
+        while beyond - same > 1:
+            middle = (same + beyond) // 2
+            if a[same:middle] == b[same:middle]:
+                same = middle
+            else:
+                beyond = middle
+    if not same:
+        return 0
+    whole = a[same : same + 1] in (b"", b" ") and b[same : same + 1] in (b"", b" ")
+    return a.count(b" ", 0, same) + whole
 
 
 class Suffix:
@@ -130,7 +146,7 @@ class Suffix:
 
     def __init__(self, seed: int, key: int, place: int, before: bytes, suffix: bytes):
         self.seed, self.key, self.place = seed, key, place
-        self.before, self.suffix = before.split()[::-1], suffix.split()
+        self.before, self.suffix = before[::-1], suffix
         self.found: list[tuple[int, int, int, int]] = []
 
     def meet(self, other: Suffix, least: int) -> None:
@@ -206,13 +222,14 @@ def _matches(ordered: DataFrame, reach: int, least: int) -> DataFrame:
 
 
 def _across(edges: DataFrame, reach: int, least: int) -> DataFrame:
-    """Matches between the last suffixes of a task and the first of the next that has any.
-    ``edges`` holds 2 * reach rows per task."""
+    """Matches between the last suffixes of a task and the first of the ``reach`` tasks after it that
+    have any, as a task may hold fewer than ``reach``. ``edges`` holds 2 * reach rows per task."""
     tasks = sorted(r["task"] for r in edges.select("task").distinct().collect())  # one number per task
     if len(tasks) < 2:
         return edges.sparkSession.createDataFrame([], MATCH)
     order = edges.sparkSession.createDataFrame([(t, i) for i, t in enumerate(tasks)], "task long, number long")
-    seams = edges.join(order, "task").withColumn("seam", F.col("number") - F.when(F.col("side") == 0, 1).otherwise(0))
+    back = F.when(F.col("side") == 0, F.sequence(F.lit(1), F.lit(reach))).otherwise(F.array(F.lit(0)))
+    seams = edges.join(order, "task").withColumn("back", F.explode(back)).withColumn("seam", F.col("number") - F.col("back"))
 
     def run(table: pa.Table) -> pa.Table:
         rows = sorted(table.select(["seed", "suffix", "text_key", "place", "side", "before"]).to_pylist(), key=lambda r: (r["side"], r["seed"], r["suffix"], r["text_key"], r["place"]))
@@ -336,16 +353,16 @@ def repeated_passages(
             F.min(who).alias("first"),
             F.max(who).alias("last"),
             F.first("n_words").alias("n_words"),
-            F.first(F.arrays_zip(F.col("seeds").alias("seed"), F.col("places").alias("place"))).alias("kept"),
+            F.first("kept").alias("kept"),
         )
         .filter(F.col("n_words") >= least),
         "texts",
     )
-    kept = texts.select("text_key", F.explode("kept").alias("k")).select("text_key", "k.seed", "k.place")
-    often = kept.groupBy("seed").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    kept = texts.select("text_key", F.explode("kept").alias("k")).select("text_key", "k.seed", "k.places")
+    often = kept.groupBy("seed").agg(F.sum(F.size("places")).alias("n")).filter("n > 1")
     some = kept.join(often, "seed").groupBy("text_key").agg(
-        F.collect_list(F.struct("seed", "place")).alias("kept"),
-        F.collect_set(F.when(F.col("n") > 2, F.col("seed"))).alias("crowded"),
+        F.collect_list(F.struct("seed", "places")).alias("kept"),
+        F.collect_list(F.when(F.col("n") > reach + 1, F.col("seed"))).alias("crowded"),
     )
     some = some.join(texts.select("text_key", "first.no_id", "first.doc"), "text_key")
     own = named.join(some, ["text_key", "no_id", "doc"]).select("text_key", "text", "kept", "crowded")
