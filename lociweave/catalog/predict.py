@@ -14,8 +14,9 @@ from lociweave.functions import scalars as S
 from lociweave.operators import features as FE
 from lociweave.operators import ld as L
 from lociweave.operators import ml
+from lociweave.plans import prediction
 from lociweave.schemas import COLOC_KEYS, COLOC_SIGNAL, TAG, VARIANT
-from lociweave.session import materialise
+from lociweave.session import materialise, scratch_path
 
 LEFT, RIGHT = [f"left_{c}" for c in VARIANT], [f"right_{c}" for c in VARIANT]
 PROPS = [f"prop_overlap_{r}" for r in FE.R2_THRESHOLDS]
@@ -278,6 +279,21 @@ def _(t):
     return rounded(out, "coloc_h3", "coloc_h4", "coloc_log2_h4_h3")
 
 
+@query(
+    "feature_run",
+    f"select {csv(COLOC_KEYS)}, total_overlap, {_r(FRACTIONS)}, left_num_tags, right_num_tags, abs_distance, left_is_gwas, right_is_gwas, {_r(['coloc_h3', 'coloc_h4', 'coloc_log2_h4_h3'])} from outerj",
+    NEEDS,
+    FE_CTES,
+)
+def _(t):
+    # the plan from results to its written feature table, LD included
+    spark = t("coloc_raw").sparkSession
+    written = prediction.feature_files(
+        spark, t("coloc_raw"), t("panel"), t("top_loci"), scratch_path(spark, "feature_run"), n_samples(t), min_vars=50, fits=False
+    )
+    return _round(written["features_outer"], [*FRACTIONS, "coloc_h3", "coloc_h4", "coloc_log2_h4_h3"])
+
+
 @query(
     "feature_match_counts",
     "select count(case when total_overlap is not null and coloc_log2_h4_h3 is null then 1 end) as ld_only, count(case when total_overlap is null and coloc_log2_h4_h3 is not null then 1 end) as coloc_only,"
