@@ -166,3 +166,19 @@ def test_rolling_hashes_and_minima():
         want = [sum(int(values[i + j]) * pow(tx.BASE, j, 2**64) for j in range(width)) % 2**64 for i in range(51 - width)]
         assert tx.rolling(values, width).tolist() == want
         assert tx.sliding_min(values, width).tolist() == [values[i : i + width].min() for i in range(51 - width)]
+
+
+def test_common_words_at_the_beginning():
+    rng = random.Random(7)
+    for _ in range(3000):
+        a = [rng.choice([b"a", b"ab", b"b", b"abc"]) for _ in range(rng.randrange(7))]
+        b = a[: rng.randrange(7)] + [rng.choice([b"a", b"ab", b"b"]) for _ in range(rng.randrange(4))]
+        want = next((i for i, (x, y) in enumerate(zip(a, b)) if x != y), min(len(a), len(b)))  # noqa: B905
+        assert sparse_suffixes.common(b" ".join(a), b" ".join(b)) == want
+
+
+def test_a_text_of_one_repeated_word(spark):
+    """Every place of it is kept, as one row; it is one passage and shares words with the other."""
+    rows = [(1, "so " * 20_000), (2, "yes " + "so " * 60 + "no"), (3, "other " * 10)]
+    got = sparse_suffixes.repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), materialise).collect()
+    assert sorted((r["doc_id"], r["start"], r["words"]) for r in got) == [(1, 0, 20_000), (2, 1, 60)]
