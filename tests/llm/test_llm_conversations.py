@@ -3,6 +3,8 @@
 import hashlib
 import itertools
 import random
+import subprocess
+import sys
 
 import duckdb
 import pytest
@@ -178,3 +180,10 @@ def test_templates_are_checked():
         chat_format.Template(controls=(*chat_format.CONTROLS, "x"))
     own = chat_format.Template(begin="[[", end="]]", controls=("[[", "]]", "^^"))
     assert own.reader()[0]("[[user\nhi]]\n") == [("user", "hi")]
+
+
+@pytest.mark.parametrize("module", ["text", "multi_index"])
+def test_modules_load_what_their_tasks_call(module):
+    # in a process of its own, as on an executor where nothing else has loaded it
+    code = f"import pyarrow as pa, lociweave.llm.{module}; assert pa.compute.binary_length(pa.array(['ab']))[0].as_py() == 2"
+    subprocess.run([sys.executable, "-c", code], check=True)
