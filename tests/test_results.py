@@ -3,6 +3,8 @@ import itertools
 import pytest
 from pyspark.sql import functions as F
 
+from lociweave import fixtures
+from lociweave.catalog import QUERIES
 from lociweave.config import Config
 from lociweave.operators import audit, enrich, merge
 from lociweave.operators import process as P
@@ -177,3 +179,14 @@ def test_config():
     assert Config.from_dict({"p12": 1e-6}).p12 == 1e-6
     with pytest.raises(ValueError):
         Config.from_dict({"nonsense": 1})
+
+
+def test_results_far_along_a_chromosome(spark, tmp_path):
+    # three times such a position is more than 32 bits hold
+    rows = [(n, 1_000_000, n, 0, 10.0 + n, 0.05, 0.02) for n in range(8)]
+    schema = "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_discount double, l_tax double"
+    spark.createDataFrame(rows, schema).write.parquet(f"{tmp_path}/lineitem.parquet")
+    raw = fixtures.table(spark, str(tmp_path), "coloc_raw").collect()
+    assert {r["left_pos"] for r in raw} == {1_000_005_000} and len(raw) > 7
+    assert {round(r["coloc_h3"], 9) for r in raw} == {round(0.09 * ((1_000_005_000 // 5000 * 4) % 11), 9)}
+    assert QUERIES["abs_distance"](spark, str(tmp_path)).count() == len(raw)
