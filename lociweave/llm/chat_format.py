@@ -1,11 +1,10 @@
 """Chat formatting by prefix-target expansion.
 
 Every assistant turn becomes an example of its own: all turns before it are context, and its reply
-is the only trainable part. The examples of a conversation are prefixes of each other, so their
-text is kept once: one row per turn holds the turn's formatted *segment*, where it starts, and,
-where an example ends with it, that example with its trainable range. The text of an example is
-the segments up to its own, joined; :func:`render` writes it out. So the output grows with the
-turns and not with their square.
+is the only trainable part. :func:`expand` writes each example out, with the whole text of its
+prefix, as a row of its own with its trainable range, and :func:`read_back` reads these rows. The
+examples of a conversation are prefixes of each other, so the output grows with the square of its
+turns; they are formed in the task that streams the conversation and pass no shuffle.
 
 A turn is ``<|im_start|>role\\ntext<|im_end|>\\n``. Control strings inside texts and roles get a
 backslash behind their first character, and a string that has backslashes there already gets one
@@ -108,54 +107,56 @@ CHATML = Template()
 
 
 def expand(conversations: DataFrame, template: Template = CHATML) -> DataFrame:
-    """One row per turn of ``conversations`` (conv_id, turn, role, text), with the examples.
+    """One row per example of ``conversations`` (conv_id, turn, role, text).
 
-    * ``position``: number of the turn in its conversation, from 0;
-    * ``segment``: the formatted turn; ``start``: code points before it in the conversation;
-    * ``example``: number, from 0, of the example that ends with this turn, else null. An assistant
-      turn ends one, and so does the last turn of a conversation that another role closes, so every
-      turn is in an example;
-    * ``loss_start``, ``loss_end``: trainable code points of the example, null where none are;
-    * ``chars``: code points of the example.
+    * ``example``: its number in the conversation, from 0. An assistant turn ends one, and so does
+      the last turn of a conversation that another role closes, so every turn is in an example;
+    * ``text``: all turns up to that one, formatted;
+    * ``loss_start``, ``loss_end``: trainable code points of ``text``, null where none are;
+    * ``chars``: its code points.
 
     Turns follow ``turn`` (nulls first), then role, then text. Null roles and texts are empty; rows
     of a null conv_id are one conversation; repeated rows are turns of their own; an assistant turn
     without text ends an example with an empty trainable range; an empty table gives no rows. The
-    rows of a conversation pass one task as a stream, and one turn at a time is in memory.
+    rows of a conversation pass one task as a stream, in the order of their examples; a task holds
+    the text of one conversation and a few MB of examples.
     """
     kind = conversations.schema["conv_id"].dataType
     schema = T.StructType(
-        [T.StructField("conv_id", kind), T.StructField("position", T.LongType()), T.StructField("segment", T.StringType())]
-        + [T.StructField(c, T.LongType()) for c in ("start", "example", "loss_start", "loss_end", "chars")]
+        [T.StructField("conv_id", kind), T.StructField("example", T.LongType()), T.StructField("text", T.StringType())]
+        + [T.StructField(c, T.LongType()) for c in ("loss_start", "loss_end", "chars")]
     )
     target, close = template.target, len(template.end) + 1
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, group, position, start, examples = None, None, 0, 0, 0
+        group, parts, size, examples, reply = None, None, 0, 0, True
+        out, held = [], 0
 
-        def row(of: tuple, last: bool) -> tuple:
-            conv, at, segment, begin, example, reply, head = of
-            size = begin + len(segment)
-            loss = (begin + head, size - close) if reply else (None, None)
-            return (conv, at, segment, begin, example if reply or last else None, *loss, size if reply or last else None)
+        def example(loss: tuple) -> None:
+            nonlocal parts, held, examples
+            parts = ["".join(parts)]
+            out.append((group, examples, parts[0], *loss, size))
+            held, examples = held + size, examples + 1
 
         for batch in batches:
             for part in tx.chunks([batch], "segment"):
-                out = []
                 columns = (part.column(c).to_pylist() for c in ("conv", "role", "head", "segment"))
                 for conv, role, head, segment in zip(*columns, strict=True):
-                    new = held is None or conv != group
-                    if held is not None:
-                        out.append(row(held, new))
-                    if new:
-                        group, position, start, examples = conv, 0, 0, 0
-                    reply = role == target
-                    held = (conv, position, segment, start, examples, reply, head)
-                    position, start, examples = position + 1, start + len(segment), examples + reply
-                if out:
-                    yield table(out)
-        if held is not None:
-            yield table([row(held, True)])
+                    if parts is None or conv != group:
+                        if not reply:
+                            example((None, None))
+                        group, parts, size, examples = conv, [], 0, 0
+                    start, size, reply = size, size + len(segment), role == target
+                    parts.append(segment)
+                    if reply:
+                        example((start + head, size - close))
+                    if held >= tx.CHUNK_BYTES:
+                        yield table(out)
+                        out, held = [], 0
+        if not reply:
+            example((None, None))
+        if out:
+            yield table(out)
 
     def table(out: list[tuple]) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=schema.names)
@@ -174,34 +175,17 @@ def expand(conversations: DataFrame, template: Template = CHATML) -> DataFrame:
 
 
 def render(expanded: DataFrame) -> DataFrame:
-    """(conv_id, example, text, loss_start, loss_end) of every example of ``expand``, the text
-    written out. A task holds the text of one conversation."""
-    names = ["conv_id", "example", "text", "loss_start", "loss_end"]
-    fields = [expanded.schema["conv_id"], T.StructField("example", T.LongType()), T.StructField("text", T.StringType())]
-    schema = T.StructType([*fields, expanded.schema["loss_start"], expanded.schema["loss_end"]])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts: list[str] = []
-        for batch in batches:
-            for r in batch.to_pylist():
-                if r["position"] == 0:
-                    parts = []
-                parts.append(r["segment"])
-                if r["example"] is not None:
-                    parts = ["".join(parts)]
-                    out = {**r, "text": parts[0]}
-                    yield pa.RecordBatch.from_arrays([pa.array([out[c]], batch.schema.field(c if c != "text" else "segment").type) for c in names], names=names)
-
-    ordered = expanded.repartition("conv_id").sortWithinPartitions("conv_id", "position")
-    return ordered.mapInArrow(run, schema)
+    """(conv_id, example, text, loss_start, loss_end) of every example of ``expand``."""
+    return expanded.select("conv_id", "example", "text", "loss_start", "loss_end")
 
 
 def read_back(expanded: DataFrame, template: Template = CHATML) -> DataFrame:
-    """What the rows of ``expand`` say, one row per conversation.
+    """What the examples of ``expand`` say, one row per conversation.
 
     ``n_turns`` and ``turns_sha256`` (role, line break, text, line break of each turn) come from the
-    segments alone; ``loss_chars`` and ``loss_sha256`` from the trainable ranges of the examples,
-    unescaped; ``formatted_chars`` is the length of all examples of the conversation.
+    text of a conversation's last example, which has all turns; ``loss_chars`` and ``loss_sha256``
+    from the trainable ranges of all examples, unescaped; ``formatted_chars`` is the length of all
+    their texts.
 
     ``expanded`` has to come from :func:`expand` as it is: its rows are read in their order.
     """
@@ -214,25 +198,26 @@ def read_back(expanded: DataFrame, template: Template = CHATML) -> DataFrame:
         now = None
 
         def done() -> list:
-            conv, n, turns, chars, loss, total, _ = now
-            return [conv, n, turns.hexdigest(), chars, loss.hexdigest(), total]
+            conv, text, chars, loss, total = now
+            turns = read(text)
+            told = hashlib.sha256("".join(f"{role}\n{said}\n" for role, said in turns).encode())
+            return [conv, len(turns), told.hexdigest(), chars, loss.hexdigest(), total]
 
         for batch in batches:
             out = []
-            for r in batch.to_pylist():
-                if r["position"] == 0:
-                    if now is not None:
-                        out.append(done())
-                    now = [r["conv_id"], 0, hashlib.sha256(), 0, hashlib.sha256(), 0, 0]
-                for role, text in read(r["segment"]):
-                    now[1] += 1
-                    now[2].update(f"{role}\n{text}\n".encode())
-                if r["loss_start"] is not None:
-                    own = plain(r["segment"][r["loss_start"] - now[6] : r["loss_end"] - now[6]])
-                    now[3] += len(own)
-                    now[4].update(own.encode())
-                now[6] += len(r["segment"])
-                now[5] += r["chars"] or 0
+            for part in tx.chunks([batch], "text"):
+                columns = (part.column(c).to_pylist() for c in ("conv_id", "example", "text", "loss_start", "loss_end"))
+                for conv, example, text, start, end in zip(*columns, strict=True):
+                    if example == 0:
+                        if now is not None:
+                            out.append(done())
+                        now = [conv, "", 0, hashlib.sha256(), 0]
+                    now[1] = text
+                    if start is not None:
+                        own = plain(text[start:end])
+                        now[2] += len(own)
+                        now[3].update(own.encode())
+                    now[4] += len(text)
             if out:
                 yield table(out, batch.schema.field("conv_id").type)
         if now is not None:

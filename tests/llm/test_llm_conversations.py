@@ -173,6 +173,17 @@ def test_examples_hold_all_turns_before_and_train_on_the_reply_only(spark):
     assert told[2]["loss_chars"] == 0 and told[2]["loss_sha256"] == hashlib.sha256().hexdigest()
 
 
+def test_each_example_is_a_row_with_the_text_of_its_whole_prefix(spark):
+    rows = [(c, t, ("user", "assistant")[t % 2], "x" * 50_000) for c in range(2) for t in range(40)]
+    expanded = chat_format.expand(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert expanded.count() == 40 and set(expanded.columns) >= {"example", "text", "loss_start", "loss_end"}
+    read, _ = chat_format.CHATML.reader()
+    for r in expanded.filter("example in (0, 19)").collect():
+        turns = read(r["text"])
+        assert len(turns) == 2 * r["example"] + 2 and all(said == "x" * 50_000 for _, said in turns)
+        assert r["text"][r["loss_start"] : r["loss_end"]] == turns[-1][1] and r["chars"] == len(r["text"])
+
+
 def test_templates_are_checked():
     with pytest.raises(ValueError):
         chat_format.Template(begin="<turn>")
