@@ -214,3 +214,19 @@ def test_left_window_uses_the_wider_right_rows(spark):
     left = {p: r for p, r in signals[0].items() if p < 120}
     n, want = numpy_coloc(left, signals[1])
     assert got[0] == n and got[1] == pytest.approx(want, abs=1e-9)
+
+
+def test_rows_are_counted_and_pairs_placed_once(spark):
+    signals = _signals(np.random.default_rng(8), 3)
+    frame = _frame(spark, signals).withColumn("beta", F.when(F.col("sid") != F.lit(bytes([2])), F.col("beta")))
+    pairs = _pairs(spark, [(0, 1), (0, 2)])
+    kept = []
+
+    def keep(df, name):
+        kept.append((name, df.count()))
+        return df.localCheckpoint()
+
+    tested = A.coloc_abf(pairs, frame, keep=keep)
+    assert kept == [("signal_info", 2), ("tests", 1)] and tested.count() == 1
+    counts = {bytes(r.sid): (r.n_rows, r.n_unusable) for r in A.usable_counts(frame).collect()}
+    assert counts == {bytes([i]): (len(signals[i]) if i < 2 else 0, 0) for i in range(3)}
