@@ -301,3 +301,25 @@ def test_normal_helpers(spark):
     assert got[0.05] == pytest.approx(1.959963984540054)
     assert got[0.0] is None or math.isnan(got[0.0])
     assert math.erfc(got[1e-200] / math.sqrt(2)) == pytest.approx(1e-200, rel=1e-6)
+
+
+def test_cells_are_told_from_stored_spans(spark, panel, panel_data):
+    windowed, conds, stats = _conditioning(spark, panel_data, LEADS)
+    kept = {}
+
+    def keep(df, name):
+        kept[name] = df.localCheckpoint()
+        return kept[name]
+
+    assert C.conditional_sumstats(windowed, conds, panel, 80, keep=keep).count() > 0
+    assert {(r.sid[0], r.tile): r.n for r in kept["spans"].collect()} == {(s, 0): 12 for s in stats}
+    assert [(r.chrom, r.tile, r.subs, r.parts) for r in kept["cells"].collect()] == [("1", 0, 1, 1)]
+
+
+def test_phenotype_variance_is_a_median(spark):
+    rows = [(b"a", 0.1, s, 0.5, 101) for s in (0.3, 0.1, 0.2)] + [(b"b", 0.0, s, 0.5, 101) for s in (0.1, 0.4, None, 0.2, 0.3)]
+    df = spark.createDataFrame([*rows, (b"c", None, 0.1, 0.5, 101)], "sid binary, beta double, se double, eaf double, n_total int")
+    got = {bytes(r.sid): r.vp for r in C.phenotype_variance(df).collect()}
+    d = 0.5 * 101
+    assert got[b"a"] == pytest.approx(d * 0.04 + d * 0.01 / 100) and got[b"c"] is None
+    assert got[b"b"] == pytest.approx(d * (0.04 + 0.09) / 2)
