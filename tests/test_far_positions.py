@@ -2,7 +2,9 @@
 
 import pytest
 
-from lociweave.catalog import QUERIES
+from lociweave.catalog import QUERIES, predict
+from lociweave.catalog.registry import Tables
+from lociweave.operators import ml
 
 # Keeps allele, chromosome, block of a credible set and the made-up H3 and H4 of every part key.
 SHIFT = 1_006_500
@@ -46,3 +48,13 @@ def test_far_results_are_the_near_ones_shifted(spark, folders, name):
 @pytest.mark.parametrize("name", ["cv_regress_ols", "learning_curve"])
 def test_far_fits(spark, folders, name):
     assert QUERIES[name](spark, folders[1]).count()
+
+
+@pytest.fixture(scope="module")
+def far_input(spark, folders):
+    return predict.model_input(Tables(spark, folders[1]))
+
+
+def test_far_cross_validation(far_input):
+    scores = ml.cv_regress(far_input, targets=("h4",), subsets=("all",), folds=2, trees=2).collect()
+    assert sorted((r.subset, r.regressor, r.target) for r in scores) == [("all", "OLS", "h4"), ("all", "RandomForest", "h4")]
