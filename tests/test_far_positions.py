@@ -5,6 +5,7 @@ import pytest
 from lociweave.catalog import QUERIES, predict
 from lociweave.catalog.registry import Tables
 from lociweave.operators import ml
+from lociweave.operators.features import FEATURE_COLUMNS
 
 # Keeps allele, chromosome, block of a credible set and the made-up H3 and H4 of every part key.
 SHIFT = 1_006_500
@@ -58,3 +59,9 @@ def far_input(spark, folders):
 def test_far_cross_validation(far_input):
     scores = ml.cv_regress(far_input, targets=("h4",), subsets=("all",), folds=2, trees=2).collect()
     assert sorted((r.subset, r.regressor, r.target) for r in scores) == [("all", "OLS", "h4"), ("all", "RandomForest", "h4")]
+
+
+def test_far_importances(far_input):
+    found = ml.feature_importance(far_input, "h4", folds=2, trees=2).collect()
+    assert {r.feature for r in found} == set(FEATURE_COLUMNS)
+    assert sum(r.importance_mean for r in found) == pytest.approx(1.0)
