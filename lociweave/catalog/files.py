@@ -31,14 +31,14 @@ def _path(t, name: str) -> str:
 def _(t):
     out = _path(t, "credset")
     W.write_json_gz(t("credset"), out)
-    return R.scan_credset(t.spark, out).select(*CRED)
+    return R.scan_credset(t.spark, out, t.far).select(*CRED)
 
 
 @query("scan_json_lines", "select * from manifest", ["credset"], MANIFEST_CTES)
 def _(t):
     out = _path(t, "manifest")
     W.write_json_gz(manifest_table(t).drop("left_sid", "right_sid"), out)
-    return R.scan_json_lines(t.spark, out, MANIFEST)
+    return R.scan_json_lines(t.spark, out, MANIFEST, t.far)
 
 
 @query(
@@ -49,7 +49,7 @@ def _(t):
 def _(t):
     out = _path(t, "top_loci")
     W.write_json_gz(t("top_loci"), out)
-    return rounded(R.scan_top_loci(t.spark, out).select(*LOCI, "pval"), "pval")
+    return rounded(R.scan_top_loci(t.spark, out, t.far).select(*LOCI, "pval"), "pval")
 
 
 _FILE = {"coloc_n_vars": "nsnps"} | {f"coloc_h{h}": f"PP.H{h}.abf" for h in range(5)}
@@ -59,7 +59,7 @@ _FILE = {"coloc_n_vars": "nsnps"} | {f"coloc_h{h}": f"PP.H{h}.abf" for h in rang
 def _(t):
     out = _path(t, "coloc_csv")
     W.write_csv(t("coloc_raw").withColumnsRenamed(_FILE), out)
-    return rounded(P.rename_coloc_stats(R.scan_coloc_csv(t.spark, out)).select(*ALL), *H)
+    return rounded(P.rename_coloc_stats(R.scan_coloc_csv(t.spark, out, t.far)).select(*ALL), *H)
 
 
 @query("write_csv_gz", f"select coloc_n_vars, {ROUNDED}, {csv(COLOC_KEYS)} from coloc_raw", ["coloc_raw"])
@@ -113,7 +113,7 @@ def _(t):
     L.to_ld_file(both_ld(t)).write.option("header", True).option("sep", "\t").option(
         "compression", "gzip"
     ).csv(out)
-    return rounded(L.parse_ld(R.scan_ld_tsv(t.spark, out)), "R_EUR", "R2_EUR")
+    return rounded(L.parse_ld(R.scan_ld_tsv(t.spark, out), t.far), "R_EUR", "R2_EUR")
 
 
 @query(
@@ -154,7 +154,7 @@ def _(t):
         W.write_json_gz(by_type.filter(f"part = {flag}").drop("part"), paths[-1])
     out = _path(t, "loci_all")
     W.concat_json(t.spark, paths, out)
-    return R.scan_top_loci(t.spark, out).select(*LOCI)
+    return R.scan_top_loci(t.spark, out, t.far).select(*LOCI)
 
 
 LOG_P = "round(log10(pval), 6) as log_p"
@@ -171,7 +171,7 @@ def _(t):
     rows = t("sumstats").select(*SUMSTATS.names)
     W.partition_sumstats(rows, out)
     W.partition_sumstats(rows.filter("study_id = 'ST1'"), out)
-    table = R.scan_sumstats_table(t.spark, out)
+    table = R.scan_sumstats_table(t.spark, out, t.far)
     columns = [*SUMSTATS.names[:9], "n_total", "n_cases", "eaf", "is_cc"]
     return table.select(*columns, F.round(F.log10("pval"), 6).alias("log_p"))
 
@@ -180,11 +180,11 @@ def _(t):
 def _(t):
     out = _path(t, "credset_by_study")
     W.partition_credset(t("credset"), out)
-    return R.scan_credset(t.spark, out).select(*CRED)
+    return R.scan_credset(t.spark, out, t.far).select(*CRED)
 
 
 @query("partition_top_loci", f"select {csv(LOCI)} from top_loci", ["top_loci"])
 def _(t):
     out = _path(t, "loci_by_chrom")
     W.partition_top_loci(t("top_loci"), out)
-    return R.scan_top_loci(t.spark, out).select(*LOCI)
+    return R.scan_top_loci(t.spark, out, t.far).select(*LOCI)
